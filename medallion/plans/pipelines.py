@@ -1,0 +1 @@
+"""Streaming, sink and application queries registered for the driver (filled below)."""
