@@ -497,9 +497,7 @@ def q_ytd(spark, sf):
 SELECT c.c_mktsegment, date_trunc('month', o.o_orderdate) AS month, o.o_orderpriority,
        COUNT(DISTINCT o.o_custkey) AS customers, COUNT(o.o_orderkey) AS orders,
        ROUND(SUM(o.o_totalprice), 2) AS total,
-       -- Spark rounds the exact binary value of a double HALF_UP; DuckDB's double round does not
-       CAST(round(CAST(SUM(o.o_totalprice) / COUNT(o.o_orderkey) AS DECIMAL(38, 12)), 1)
-            AS DOUBLE) AS avg_per_order
+       ROUND(ROUND(SUM(o.o_totalprice), 2) / COUNT(o.o_orderkey), 1) AS avg_per_order
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 GROUP BY ALL
 """)
@@ -520,8 +518,10 @@ def q_month_type(spark, sf):
                              _spec("o_orderkey", "COUNT", "orders"), _spec("o_totalprice", "SUM", "total")]},
             {"data": "m.prepared_data"}),
         Node("r", "prepare", {"actions": [
-            {"type": "formula", "target": "avg_per_order", "expression": "ROUND(total / orders, 1)"},
-            {"type": "formula", "target": "total", "expression": "ROUND(total, 2)"}]},
+            {"type": "formula", "target": "total", "expression": "ROUND(total, 2)"},
+            # exact decimal division, so a .x5 average rounds up whatever the binary noise of the sum
+            {"type": "formula", "target": "avg_per_order",
+             "expression": "CAST(ROUND(CAST(total AS DECIMAL(18, 2)) / orders, 1) AS DOUBLE)"}]},
             {"data": "a.aggregated_data"}),
     ])
     return ctx["r.prepared_data"]
