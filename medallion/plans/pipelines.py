@@ -1 +1,308 @@
-"""Streaming, sink and application queries registered for the driver (filled below)."""
+"""Streaming-pipeline, sink and validation queries registered for the driver.
+
+The driver's ``events`` table is turned into landing files (JSON lines, one folder per source entity, one
+file per day) — data Spark derives from the given table, whole — and run through the same bronze → silver
+→ gold machinery as the HR application: two append flows, expectations, SCD 1 and SCD 2 targets.  The
+landing happens in two phases, the *later* half of the month first, so the second run is an incremental
+run (only new files) that brings older, late-arriving versions; results must still equal the batch oracle.
+"""
+
+from __future__ import annotations
+
+import threading
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from medallion.operators import cdc, sets
+from medallion.operators.quality import Expectation
+from medallion.plans.driver import SCD2_SQL, flat_history, register, tbl
+from medallion.session import work_dir
+from medallion.sinks import export
+from medallion.sinks.tables import Table
+from medallion.sources.files import read_files
+from medallion.sources.tables import FlowSpec
+from medallion.streaming.flows import CdcSpec, Dataset, Pipeline, quality_summary
+
+ENTITY_A = ("click", "view", "purchase")
+SPLIT_DAY = "2024-01-16"
+MIN_VALUE = 2
+MAX_FILES_PER_TRIGGER = 20  # a 15-day phase of one entity: one micro-batch
+
+EVENT_RULES = [
+    Expectation("valid_event_id", "event_id IS NOT NULL", "fail"),
+    Expectation("valid_user", "user_id IS NOT NULL", "drop"),
+    Expectation("min_value", f"value >= {MIN_VALUE}", "drop"),
+    Expectation("known_type", "event_type IN ('click', 'view', 'purchase', 'error', 'signup')", "warn"),
+]
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def events_silver(bronze: DataFrame) -> DataFrame:
+    """Typed projection of bronze events (stateless, so it runs per micro-batch)."""
+    return bronze.select(
+        "source_entity", F.col("event_id").cast("long").alias("event_id"),
+        F.try_to_timestamp(F.col("ts").cast("string")).cast("timestamp_ntz").alias("ts"),
+        F.col("user_id").cast("long").alias("user_id"), "event_type",
+        F.col("value").cast("double").alias("value"), F.col("props").cast("string").alias("props"),
+        "_source_file")
+
+
+EVENTS = Dataset(
+    bronze="bronze_events", silver="silver_events", transform=events_silver, expectations=EVENT_RULES,
+    cdc=[CdcSpec("gold_events_current", ["user_id"], ["ts", "event_id"], 1),
+         CdcSpec("gold_events_history", ["user_id"], ["ts", "event_id"], 2, ["event_type"])],
+    buckets=8)
+
+_RUNS: dict = {}
+_LOCK = threading.Lock()
+
+
+def land_events(spark: SparkSession, sf: str, landing: str, phase: int) -> None:
+    """Write the events of one phase as JSON lines: ``landing/entity=<A|B>/day=<yyyy-MM-dd>/*.json``."""
+    e = tbl(spark, sf, "events")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    part = e.where(day >= SPLIT_DAY) if phase == 1 else e.where(day < SPLIT_DAY)
+    (part.withColumn("entity", F.when(F.col("event_type").isin(*ENTITY_A), "A").otherwise("B"))
+     .withColumn("day", day)
+     .repartition("entity", "day")
+     .write.mode("append").partitionBy("entity", "day")
+     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+     .json(landing))
+
+
+def events_pipeline(spark: SparkSession, sf: str) -> Pipeline:
+    """Run (once per session and data folder) the two-phase streaming pipeline over the events."""
+    key = (spark.sparkContext.applicationId, sf)
+    with _LOCK:
+        if key in _RUNS:
+            return _RUNS[key]
+        root = work_dir(spark, "events-pipeline")
+        landing = f"{root}/landing"
+        p = Pipeline(spark, root)
+        flows = [FlowSpec("A", f"{landing}/entity=A/*"), FlowSpec("B", f"{landing}/entity=B/*")]
+        for phase in (1, 2):
+            land_events(spark, sf, landing, phase)
+            p.run([(EVENTS, flows)], max_files_per_trigger=MAX_FILES_PER_TRIGGER)
+        _RUNS[key] = p
+        return p
+
+
+_ENTITY_SQL = "CASE WHEN event_type IN ('click', 'view', 'purchase') THEN 'A' ELSE 'B' END"
+
+
+@register("stream_bronze", f"""
+SELECT event_id, ts, user_id, event_type, value, props, {_ENTITY_SQL} AS source_entity, false AS rescued
+FROM events
+""")
+def q_stream_bronze(spark, sf):
+    b = events_pipeline(spark, sf).catalog.read("bronze_events")
+    return b.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value",
+                    "props", "source_entity", F.col("_rescued_data").isNotNull().alias("rescued"))
+
+
+@register("stream_silver", f"""
+SELECT event_id, ts, user_id, event_type, value, props, {_ENTITY_SQL} AS source_entity
+FROM events WHERE value >= {MIN_VALUE}
+""")
+def q_stream_silver(spark, sf):
+    s = events_pipeline(spark, sf).catalog.read("silver_events")
+    return s.select(*EVENT_COLS, "source_entity")
+
+
+@register("stream_quality_metrics", f"""
+SELECT 'silver_events' AS dataset, rule, action, CAST(failed AS BIGINT) AS failed, CAST(n - failed AS BIGINT) AS passed
+FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE event_id IS NULL) AS f0,
+             COUNT(*) FILTER (WHERE user_id IS NULL) AS f1,
+             COUNT(*) FILTER (WHERE NOT coalesce(value >= {MIN_VALUE}, true)) AS f2,
+             COUNT(*) FILTER (WHERE NOT coalesce(event_type IN ('click', 'view', 'purchase', 'error', 'signup'), true))
+               AS f3 FROM events) c,
+     (VALUES ('valid_event_id', 'fail', 0), ('valid_user', 'drop', 1), ('min_value', 'drop', 2),
+             ('known_type', 'warn', 3)) AS r(rule, action, i),
+     LATERAL (SELECT CASE i WHEN 0 THEN f0 WHEN 1 THEN f1 WHEN 2 THEN f2 ELSE f3 END AS failed)
+""")
+def q_stream_quality(spark, sf):
+    return quality_summary(events_pipeline(spark, sf), "silver_events")
+
+
+@register("stream_quarantine", f"""
+SELECT event_id, user_id, 'min_value' AS failed_rules FROM events WHERE NOT coalesce(value >= {MIN_VALUE}, true)
+""")
+def q_stream_quarantine(spark, sf):
+    q = events_pipeline(spark, sf).catalog.read("silver_events_quarantine")
+    return q.select("event_id", "user_id", F.array_join("_failed_rules", ",").alias("failed_rules"))
+
+
+_FILTERED = f"(SELECT * FROM events WHERE value >= {MIN_VALUE})"
+
+
+@register("stream_scd1", f"""
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM {_FILTERED})
+WHERE rn = 1
+""")
+def q_stream_scd1(spark, sf):
+    return events_pipeline(spark, sf).catalog.read("gold_events_current").select(*EVENT_COLS)
+
+
+@register("stream_scd2", SCD2_SQL.replace("FROM events)", f"FROM {_FILTERED} e)", 1))
+def q_stream_scd2(spark, sf):
+    h = events_pipeline(spark, sf).catalog.read("gold_events_history")
+    return flat_history(h.select(*EVENT_COLS, cdc.START_AT, cdc.END_AT))
+
+
+@register("stream_rows_per_entity", f"""
+SELECT {_ENTITY_SQL} AS source_entity, COUNT(*) AS rows, COUNT(DISTINCT strftime(ts, '%Y-%m-%d')) AS files,
+       COUNT(DISTINCT user_id) AS keys
+FROM events GROUP BY 1
+""")
+def q_rows_per_entity(spark, sf):
+    """Rows, delivered files and distinct keys per source entity (bronze)."""
+    b = events_pipeline(spark, sf).catalog.read("bronze_events")
+    return b.groupBy("source_entity").agg(F.count(F.lit(1)).alias("rows"),
+                                          F.count_distinct("_source_file").alias("files"),
+                                          F.count_distinct("user_id").alias("keys"))
+
+
+@register("stream_duplicates_histogram", f"""
+SELECT versions, COUNT(*) AS keys FROM (
+  SELECT {_ENTITY_SQL} AS e, strftime(ts, '%Y-%m-%d') AS f, user_id, COUNT(*) AS versions
+  FROM events WHERE value >= {MIN_VALUE} GROUP BY ALL)
+GROUP BY versions
+""")
+def q_duplicates_histogram(spark, sf):
+    """How many (entity, file, key) groups have n versions (silver)."""
+    s = events_pipeline(spark, sf).catalog.read("silver_events")
+    per = s.groupBy("source_entity", "_source_file", "user_id").agg(F.count(F.lit(1)).alias("versions"))
+    return per.groupBy("versions").agg(F.count(F.lit(1)).alias("keys"))
+
+
+@register("stream_consistency", "SELECT CAST(0 AS BIGINT) AS differences")
+def q_stream_consistency(spark, sf):
+    """Streaming SCD 1 target equals a batch keep-latest over silver (expected 0)."""
+    p = events_pipeline(spark, sf)
+    from medallion.operators.windows import latest_per_key
+    latest = latest_per_key(p.catalog.read("silver_events"), ["user_id"], ["ts", "event_id"], count_as=None)
+    return cdc.count_differences(p.catalog.read("gold_events_current"), latest, ["user_id"],
+                                 ["event_id", "ts", "event_type", "value", "props"])
+
+
+@register("stream_impl_compare", f"""
+SELECT 'silver_events' AS table_name, CAST(COUNT(*) AS BIGINT) AS left_rows, CAST(COUNT(*) AS BIGINT) AS right_rows,
+       CAST(0 AS BIGINT) AS left_only_distinct, CAST(0 AS BIGINT) AS right_only_distinct,
+       CAST(0 AS BIGINT) AS left_only_rows, CAST(0 AS BIGINT) AS right_only_rows,
+       true AS same_count, true AS identical
+FROM events WHERE value >= {MIN_VALUE}
+""")
+def q_impl_compare(spark, sf):
+    """The streaming silver table vs the same silver computed in batch by SQL text."""
+    p = events_pipeline(spark, sf)
+    p.catalog.view("bronze_events")
+    by_sql = spark.sql(f"""
+        SELECT CAST(event_id AS BIGINT) AS event_id, CAST(try_to_timestamp(CAST(ts AS STRING)) AS TIMESTAMP_NTZ) AS ts,
+               CAST(user_id AS BIGINT) AS user_id, event_type, CAST(value AS DOUBLE) AS value, props
+        FROM bronze_events WHERE event_id IS NOT NULL AND user_id IS NOT NULL
+          AND coalesce(value >= {MIN_VALUE}, true)""")
+    return sets.compare_tables(p.catalog.read("silver_events").select(*EVENT_COLS), by_sql, "silver_events")
+
+
+# ============================================================================ sinks K1–K16
+@register("merge_upsert", """
+WITH src AS (
+  SELECT p_partkey, p_name, p_brand, p_type, p_size, round(p_retailprice * 1.1, 2) AS p_retailprice
+  FROM part WHERE p_size > 40
+  UNION ALL
+  SELECT p_partkey + 1000000, p_name, p_brand, p_type, p_size, p_retailprice FROM part WHERE p_size < 3)
+SELECT * FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM src)
+UNION ALL SELECT * FROM src
+""")
+def q_merge_upsert(spark, sf):
+    """K3: upsert into a bucketed table; only buckets the source touches are rewritten."""
+    part = tbl(spark, sf, "part")
+    t = Table(spark, work_dir(spark, "merge") + "/part", bucket_by=["p_partkey"], buckets=8)
+    t.overwrite(part)
+    updates = part.where("p_size > 40").withColumn("p_retailprice", F.round(F.col("p_retailprice") * 1.1, 2))
+    new = part.where("p_size < 3").withColumn("p_partkey", F.col("p_partkey") + 1000000)
+    t.merge(updates.unionByName(new), ["p_partkey"])
+    return t.read()
+
+
+@register("append_by_name", """
+SELECT c_custkey, c_name, c_acctbal FROM customer
+UNION ALL SELECT c_custkey + 100000, NULL, c_acctbal * 2 FROM customer
+""")
+def q_append_by_name(spark, sf):
+    """Create a table, then insert another frame by name (reordered, one column missing)."""
+    c = tbl(spark, sf, "customer")
+    t = Table(spark, work_dir(spark, "append") + "/customers")
+    t.append(c.select("c_custkey", "c_name", "c_acctbal"))
+    t.append(c.select((F.col("c_acctbal") * 2).alias("c_acctbal"), (F.col("c_custkey") + 100000).alias("c_custkey")))
+    return t.read()
+
+
+@register("table_versions", """
+SELECT 0 AS version, 'CREATE' AS operation, (SELECT COUNT(*) FROM nation) AS rows
+UNION ALL SELECT 1, 'OVERWRITE', (SELECT COUNT(*) FROM nation WHERE n_regionkey <> 0)
+UNION ALL SELECT 2, 'APPEND', (SELECT COUNT(*) FROM nation WHERE n_regionkey <> 0) + (SELECT COUNT(*) FROM region)
+""")
+def q_table_versions(spark, sf):
+    """Overwrite (materialized-view refresh), append, and time travel to every version."""
+    n = tbl(spark, sf, "nation")
+    t = Table(spark, work_dir(spark, "versions") + "/nation")
+    t.overwrite(n.select("n_nationkey", "n_name"))
+    t.overwrite(n.where("n_regionkey <> 0").select("n_nationkey", "n_name"))
+    t.append(tbl(spark, sf, "region").select(F.col("r_regionkey").alias("n_nationkey"), F.col("r_name").alias("n_name")))
+    ops = {r["version"]: r["operation"] for r in t.history().collect()}
+    parts = [t.read(version=v).agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(v).cast("int").alias("version"), F.lit(ops[v]).alias("operation"), "rows")
+             for v in sorted(ops)]
+    return sets.union_all(parts)
+
+
+@register("export_csv_roundtrip", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_acctbal AS VARCHAR) AS c_acctbal,
+       CASE WHEN c_acctbal > 0 THEN 'True' ELSE 'False' END AS positive,
+       CASE WHEN c_acctbal < 0 THEN '''-' || c_mktsegment ELSE c_mktsegment END AS note
+FROM customer
+""")
+def q_export_csv(spark, sf):
+    """CSV export with fixed text rendering and the formula guard, read back as text."""
+    c = tbl(spark, sf, "customer")
+    df = c.select("c_custkey", "c_name", "c_acctbal", (F.col("c_acctbal") > 0).alias("positive"),
+                  F.when(F.col("c_acctbal") < 0, F.concat(F.lit("-"), "c_mktsegment"))
+                  .otherwise(F.col("c_mktsegment")).alias("note"))
+    path = work_dir(spark, "export") + "/customers_csv"
+    export.export_csv(df, path)
+    return read_files(spark, path, "csv", header=True, inferSchema=False, escape='"')
+
+
+@register("export_split", """
+SELECT c_mktsegment AS file_group, COUNT(*) AS rows FROM customer GROUP BY c_mktsegment
+""")
+def q_export_split(spark, sf):
+    """One output group per segment value; read back and count rows per group."""
+    c = tbl(spark, sf, "customer")
+    path = work_dir(spark, "export") + "/by_segment"
+    export.export_split(c, path, "c_mktsegment", fmt="json")
+    back = spark.read.json(path)
+    return back.groupBy(F.col(export.GROUP_COL).alias("file_group")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("export_json_append", """
+SELECT n_nationkey, n_name FROM nation UNION ALL SELECT n_nationkey, n_name FROM nation
+""")
+def q_export_json_append(spark, sf):
+    """JSON export, then an append whose columns come in another order (aligned to the header)."""
+    n = tbl(spark, sf, "nation").select("n_nationkey", "n_name")
+    path = work_dir(spark, "export") + "/nation_json"
+    export.export_json(n, path, mode="overwrite")
+    export.export_json(n.select("n_name", "n_nationkey"), path, mode="append")
+    return spark.read.schema("n_nationkey long, n_name string").json(path)
+
+
+@register("table_detail")
+def q_table_detail(spark, sf):
+    """File count and bytes of the current version of a table (no oracle: depends on file layout)."""
+    t = Table(spark, work_dir(spark, "detail") + "/orders")
+    t.overwrite(tbl(spark, sf, "orders"))
+    return t.detail()

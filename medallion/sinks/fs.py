@@ -10,17 +10,34 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+_HANDLES: dict = {}
+
+
 class FS:
+    """Hadoop FileSystem access with the JVM class handles and file systems cached per session."""
+
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self._jvm = spark.sparkContext._jvm
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        key = id(spark.sparkContext)
+        if key not in _HANDLES:
+            jvm = spark.sparkContext._jvm
+            _HANDLES[key] = {"jvm": jvm, "Path": jvm.org.apache.hadoop.fs.Path,
+                             "conf": spark.sparkContext._jsc.hadoopConfiguration(), "fs": {}}
+        h = _HANDLES[key]
+        self._jvm = h["jvm"]
+        self._Path = h["Path"]
+        self._conf = h["conf"]
+        self._fss = h["fs"]
 
     def _path(self, p: str):
-        return self._jvm.org.apache.hadoop.fs.Path(p)
+        return self._Path(p)
 
     def _fs(self, p: str):
-        return self._path(p).getFileSystem(self._conf)
+        scheme = p.split(":", 1)[0] if ":" in p.split("/", 1)[0] else ""
+        fs = self._fss.get(scheme)
+        if fs is None:
+            fs = self._fss[scheme] = self._path(p).getFileSystem(self._conf)
+        return fs
 
     def exists(self, p: str) -> bool:
         return bool(self._fs(p).exists(self._path(p)))

@@ -67,6 +67,7 @@ class Manifest:
     schema: str
     entries: list = field(default_factory=list)  # [{"path": str, "bucket": int | None}]
     txns: dict = field(default_factory=dict)  # writer -> last committed batch id
+    txn_entries: dict = field(default_factory=dict)  # writer -> entries written by its last batch
     operation: str = "CREATE"
     properties: dict = field(default_factory=dict)
     comment: str | None = None
@@ -94,6 +95,8 @@ class Table:
         self._bucket_by = bucket_by
         self._buckets = buckets
         self._cluster_by = cluster_by
+        self.last_entries: list = []
+        self._manifests: dict[int, Manifest] = {}  # manifests are immutable once written
 
     # ------------------------------------------------------------------ metadata
     @property
@@ -114,22 +117,28 @@ class Table:
         v = self.version() if version is None else version
         if v is None:
             raise FileNotFoundError(f"table {self.path} does not exist")
-        return Manifest.from_json(self.fs.read_text(f"{self._mdir}/{v:020d}.json"))
+        if v not in self._manifests:
+            self._manifests[v] = Manifest.from_json(self.fs.read_text(f"{self._mdir}/{v:020d}.json"))
+        return self._manifests[v]
 
     def schema(self) -> T.StructType:
         return T.StructType.fromJson(json.loads(self.manifest().schema))
 
+    def _layout(self):
+        if self._bucket_by is None and self._buckets is None and self._cluster_by is None and self.exists():
+            m = self.manifest()
+            self._bucket_by, self._buckets, self._cluster_by = m.bucket_by, m.buckets, m.cluster_by
+            if self._bucket_by is None:
+                self._bucket_by = []  # known: not bucketed
+        return self._bucket_by or None, self._buckets, self._cluster_by
+
     @property
     def bucket_by(self):
-        if self._bucket_by is None and self.exists():
-            return self.manifest().bucket_by
-        return self._bucket_by
+        return self._layout()[0]
 
     @property
     def buckets(self):
-        if self._buckets is None and self.exists():
-            return self.manifest().buckets
-        return self._buckets
+        return self._layout()[1]
 
     def committed(self, txn: tuple[str, int] | None) -> bool:
         """True when the writer's batch ``txn`` is already part of the latest version."""
@@ -149,9 +158,11 @@ class Table:
             m = build(prev)
             m.version = 0 if prev_v is None else prev_v + 1
             m.ts = time.time()
+            m.txn_entries = dict(prev.txn_entries) if prev else {}
             if txn is not None:
                 m.txns = dict(prev.txns if prev else {})
                 m.txns[txn[0]] = int(txn[1])
+                m.txn_entries[txn[0]] = list(self.last_entries)
             elif prev is not None:
                 m.txns = dict(prev.txns)
             if self.fs.write_text(f"{self._mdir}/{m.version:020d}.json", m.to_json()):
@@ -171,6 +182,18 @@ class Table:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def read_entries(self, entries: list[dict]) -> DataFrame:
+        """Rows of specific segments (e.g. the ones one micro-batch appended)."""
+        schema = self.schema()
+        paths = [e["path"] for e in entries]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def batch_entries(self, writer: str) -> list[dict]:
+        """Segments appended by ``writer``'s last committed batch."""
+        return list(self.manifest().txn_entries.get(writer, [])) if self.exists() else []
+
     def history(self) -> DataFrame:
         rows = []
         for v in self.versions():
@@ -189,13 +212,16 @@ class Table:
 
     # ------------------------------------------------------------------ writes
     def _write_segment(self, df: DataFrame) -> list[dict]:
+        self.last_entries = self._write(df)
+        return self.last_entries
+
+    def _write(self, df: DataFrame) -> list[dict]:
         seg = f"{self.path}/data/{uuid.uuid4().hex}"
-        keys, n = self.bucket_by, self.buckets
-        cluster = self._cluster_by or (self.manifest().cluster_by if self.exists() else None)
+        keys, n, cluster = self._layout()
         if keys and n:
-            out = df.withColumn(BUCKET_COL, bucket_expr(keys, n))
-            if cluster:
-                out = out.repartition(BUCKET_COL).sortWithinPartitions(BUCKET_COL, *cluster)
+            # one task (and one file) per bucket: the shuffle is on the bucket id itself
+            out = df.withColumn(BUCKET_COL, bucket_expr(keys, n)).repartition(n, BUCKET_COL)
+            out = out.sortWithinPartitions(BUCKET_COL, *cluster) if cluster else out
             out.write.partitionBy(BUCKET_COL).parquet(seg)
             found = []
             for name in self.fs.ls(seg):
@@ -213,7 +239,7 @@ class Table:
             properties=dict(prev.properties) if prev else {},
             comment=prev.comment if prev else None,
             bucket_by=self.bucket_by, buckets=self.buckets,
-            cluster_by=self._cluster_by or (prev.cluster_by if prev else None))
+            cluster_by=self._layout()[2] or (prev.cluster_by if prev else None))
 
     def overwrite(self, df: DataFrame, txn=None, comment: str | None = None,
                   properties: dict | None = None) -> "Table":

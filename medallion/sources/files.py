@@ -66,13 +66,19 @@ def parse_json_lines(value: Column, schema: T.StructType) -> list[Column]:
     return [parsed[n].alias(n) for n in names] + [rescued.alias(RESCUED)]
 
 
-def lineage(entity: str) -> list[Column]:
+def lineage(entity: str, meta: str = "__meta") -> list[Column]:
     return [F.lit(entity).alias("source_entity"),
-            F.col("_metadata.file_path").alias("_source_file"),
-            F.col("_metadata.file_modification_time").alias("_source_file_ts"),
+            F.col(f"{meta}.file_path").alias("_source_file"),
+            F.col(f"{meta}.file_modification_time").alias("_source_file_ts"),
             F.current_timestamp().alias("_ingested_at")]
 
 
+def _lines(df: DataFrame) -> DataFrame:
+    """Raw text lines with the file metadata, renamed so a JSON field called ``value`` cannot clash."""
+    return (df.select(F.col("value").alias("__line"), F.col("_metadata").alias("__meta"))
+            .where(F.trim(F.col("__line")) != ""))
+
+
 def read_json_stream(spark: SparkSession, path: str, entity: str, schema_location: str,
                      glob: str = "*.json", max_files_per_trigger: int | None = None,
                      schema: T.StructType | None = None) -> DataFrame:
@@ -81,15 +87,15 @@ def read_json_stream(spark: SparkSession, path: str, entity: str, schema_locatio
     reader = spark.readStream.format("text").option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    lines = reader.load(path).where(F.trim(F.col("value")) != "")
-    return lines.select(*parse_json_lines(F.col("value"), schema), *lineage(entity))
+    lines = _lines(reader.load(path))
+    return lines.select(*parse_json_lines(F.col("__line"), schema), *lineage(entity))
 
 
 def read_json_batch(spark: SparkSession, path: str, entity: str, schema: T.StructType,
                     glob: str = "*.json") -> DataFrame:
     """Batch twin of ``read_json_stream`` (full refresh, tests)."""
-    lines = spark.read.format("text").option("pathGlobFilter", glob).load(path).where(F.trim(F.col("value")) != "")
-    return lines.select(*parse_json_lines(F.col("value"), schema), *lineage(entity))
+    lines = _lines(spark.read.format("text").option("pathGlobFilter", glob).load(path))
+    return lines.select(*parse_json_lines(F.col("__line"), schema), *lineage(entity))
 
 
 def _clean_option(key: str, value):
