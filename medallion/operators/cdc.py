@@ -67,14 +67,39 @@ def _running_over_buckets(x: DataFrame, keys: list[str], value: str, out: str) -
     return per.select(*[_q(k) for k in keys], "__b", F.coalesce(F.sum("__t").over(w), F.lit(0)).alias(out))
 
 
+# Largest number of rows of one key that a single task may sort for the per-key window plan.
+HOT_KEY_ROWS = 2_000_000
+
+
+def largest_key(df: DataFrame, keys: list[str]) -> int:
+    """Rows of the most frequent key — one partial-aggregated pass, a single number to the driver."""
+    r = df.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).collect()[0][0]
+    return int(r or 0)
+
+
 def scd2(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str],
-         bucket: Column | None = None, start_col: str = START_AT, end_col: str = END_AT) -> DataFrame:
+         bucket: Column | None = None, start_col: str = START_AT, end_col: str = END_AT,
+         strategy: str = "auto", hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """History (C2): a new version starts where a tracked column IS DISTINCT FROM the previous row's.
 
     Each version carries the values of its last row (untracked changes update the version in place),
     ``__START_AT`` = sequence of its first row, ``__END_AT`` = the next version's start (NULL if open).
     A→B→A gives three versions; in-day corrections give short versions that are kept.
+
+    ``strategy``: ``window`` (one shuffle; each key sorted by one task), ``bucketed`` (hot keys spread over
+    all tasks, more shuffles) or ``auto``: the largest key is measured first and ``bucketed`` is used only
+    when it exceeds ``hot_key_rows``.
     """
+    if strategy == "auto":
+        strategy = "bucketed" if largest_key(df, keys) > hot_key_rows else "window"
+    if strategy == "window":
+        return scd2_window(df, keys, sequence, tracked, start_col, end_col)
+    return scd2_bucketed(df, keys, sequence, tracked, bucket, start_col, end_col)
+
+
+def scd2_bucketed(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str],
+                  bucket: Column | None = None, start_col: str = START_AT, end_col: str = END_AT) -> DataFrame:
+    """The skew-safe plan: numbering inside (key, time bucket), equi-joins on (key, row) and (key, island)."""
     orig = list(df.columns)
     kq = [_q(k) for k in keys]
     b = default_bucket(df, sequence) if bucket is None else bucket
@@ -104,7 +129,7 @@ def scd2(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str]
 
 def scd2_window(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str],
                 start_col: str = START_AT, end_col: str = END_AT) -> DataFrame:
-    """Reference formulation with per-key windows (one task per key); used to cross-check ``scd2``."""
+    """Per-key window plan: one shuffle on the key, lag / running sum / lead inside each key."""
     orig = list(df.columns)
     kq = [_q(k) for k in keys]
     w = Window.partitionBy(*kq).orderBy("__o")

@@ -121,7 +121,10 @@ class Pipeline:
             metrics = observed_metrics(result, ds.silver, batch_id)
             stats.metrics.extend(metrics)
             if ds.expectations:
-                self.catalog.table(f"{ds.silver}_quarantine").append(result.quarantine, txn=txn)
+                dropped = sum(m[3] for m in metrics if m[2] in ("drop", "fail"))
+                quarantine = self.catalog.table(f"{ds.silver}_quarantine")
+                if dropped or not quarantine.exists():  # the observation says whether anything was dropped
+                    quarantine.append(result.quarantine if dropped else result.quarantine.limit(0), txn=txn)
                 self.catalog.table(METRICS_TABLE).append(self.spark.createDataFrame(
                     [m + (writer,) for m in metrics],
                     "dataset string, rule string, action string, failed long, passed long, batch_id long, "

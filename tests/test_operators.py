@@ -148,21 +148,23 @@ def test_scd1_and_scd2(spark):
     df = spark.createDataFrame(data, "k string, f int, u int, dep string, other string")
     cur = cdc.scd1(df, ["k"], ["f", "u"])
     assert rows(cur, "k", "dep", "other") == [("e1", "A", "w"), ("e2", "C", "q")]
-    h = cdc.scd2(df, ["k"], ["f", "u"], ["dep"])
+    h = cdc.scd2(df, ["k"], ["f", "u"], ["dep"], strategy="bucketed")
     got = rows(h.select("k", "dep", "other", F.col("__START_AT.f").alias("sf"), F.col("__START_AT.u").alias("su"),
                         F.col("__END_AT.f").alias("ef")), "k", "sf", "su", "dep", "other", "ef")
     # A -> B -> A gives three versions; the B version keeps its last row's untracked value
     assert got == [("e1", 1, 1, "A", "x", 1), ("e1", 1, 2, "B", "z", 3), ("e1", 3, 1, "A", "w", None),
                    ("e2", 1, 1, "C", "q", None)]
-    ref = cdc.scd2_window(df, ["k"], ["f", "u"], ["dep"])
+    ref = cdc.scd2(df, ["k"], ["f", "u"], ["dep"])  # auto: no hot key -> window plan
     assert sets.compare_tables(h, ref).collect()[0]["identical"]
+    hot = cdc.scd2(df, ["k"], ["f", "u"], ["dep"], hot_key_rows=1)  # auto: e1 is "hot" -> bucketed plan
+    assert sets.compare_tables(hot, ref).collect()[0]["identical"]
     with pytest.raises(Exception, match="NULL value in the sequence"):
         cdc.scd1(spark.createDataFrame([("e", None, 1)], "k string, f int, u int"), ["k"], ["f", "u"]).collect()
 
 
 def test_scd2_bucketed_equals_window_on_events(spark):
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    a = cdc.scd2(e, ["user_id"], ["ts", "event_id"], ["event_type"], bucket=F.dayofmonth("ts"))
+    a = cdc.scd2(e, ["user_id"], ["ts", "event_id"], ["event_type"], bucket=F.dayofmonth("ts"), strategy="bucketed")
     b = cdc.scd2_window(e, ["user_id"], ["ts", "event_id"], ["event_type"])
     r = sets.compare_tables(a, b).collect()[0]
     assert r["identical"] and r["left_rows"] > 0
