@@ -64,26 +64,61 @@ def agg_column(a: dict) -> Column:
     return col.alias(alias) if alias else col
 
 
-def aggregate(df: DataFrame, group_bys: list | None = None, aggregations: list | None = None) -> DataFrame:
+def aggregate(df: DataFrame, group_bys: list | None = None, aggregations: list | None = None,
+              exact_percentiles: str = "auto") -> DataFrame:
     """Group by expressions and aggregate.
 
     No aggregations: DISTINCT of the groups, or the input unchanged when there are no groups either.
     No groups: a global aggregate.  A pass-through (``-``/``_``) that just repeats a group key is skipped.
     Group keys are SQL expressions (``year(ts)`` works), not only names.
+
+    PERCENTILE and MEDIAN are exact.  ``exact_percentiles``: ``"buffer"`` uses Spark's ``percentile``
+    aggregate, which holds a group's values in one task; ``"distributed"`` uses
+    ``percentile.exact_percentile`` (no group held in one task) joined to the other aggregates; ``"auto"``
+    (default) measures the largest group first and goes distributed only above ``GROUP_ROWS`` rows.
     """
     keys = [g.get("expr") if isinstance(g, dict) else g for g in (group_bys or [])]
     keys = [k for k in keys if k]
     key_set = set(keys)
-    aggs = []
-    for a in aggregations or []:
-        raw = (a.get("columnExpr") or {}).get("expr", "")
-        if a.get("fn", "-") in _PASS and not a.get("alias") and raw in key_set:
-            continue
-        aggs.append(agg_column(a))
+    specs = [a for a in aggregations or []
+             if not (a.get("fn", "-") in _PASS and not a.get("alias")
+                     and (a.get("columnExpr") or {}).get("expr", "") in key_set)]
     group_cols = [F.expr(k).alias(k) if not _is_plain(k) else F.col(k) for k in keys]
-    if not aggs:
+    if not specs:
         return df.select(*group_cols).distinct() if group_cols else df
-    return df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
+    is_pct = [(a.get("fn") or "").upper() in ("PERCENTILE", "MEDIAN") for a in specs]
+    bins = None
+    if any(is_pct) and exact_percentiles == "auto":
+        from medallion.operators.percentile import GROUP_ROWS, bins_for, largest_group
+        biggest = largest_group(df, group_cols)
+        exact_percentiles = "distributed" if biggest > GROUP_ROWS else "buffer"
+        bins = bins_for(biggest)
+    split = [exact_percentiles == "distributed" and x for x in is_pct]
+    if not any(split):
+        aggs = [agg_column(a) for a in specs]
+        return df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
+
+    from medallion.operators.percentile import _ns_join, exact_percentile
+    kcols = [f"__k{i}" for i in range(len(keys))] or ["__k_all"]
+    pre = df.select("*", *([F.expr(k).alias(c) for k, c in zip(keys, kcols)] if keys else [F.lit(0).alias("__k_all")]))
+    plain = [agg_column(a) for a, s in zip(specs, split) if not s]
+    main = pre.groupBy(*kcols).agg(*plain) if plain else pre.select(*kcols).distinct()
+    plain_names = main.columns[len(kcols):]
+    names, pi = [], 0
+    for i, (a, s) in enumerate(zip(specs, split)):
+        if not s:
+            names.append(plain_names[pi])
+            pi += 1
+            continue
+        raw = (a.get("columnExpr") or {}).get("expr", "")
+        upper = a.get("fn").upper()
+        p = 0.5 if upper == "MEDIAN" else clamp_percentile(a.get("percentage"))
+        name = a.get("alias") or (f"median({raw})" if upper == "MEDIAN" else f"percentile({raw}, {p})")
+        pct = exact_percentile(pre, kcols, F.expr(raw), p, out=f"__p{i}", **({"bins": bins} if bins else {}))
+        main = _ns_join(main, pct, kcols, "left").withColumnRenamed(f"__p{i}", name)
+        names.append(name)
+    out = [F.col(c).alias(k) for k, c in zip(keys, kcols)] + [F.col(f"`{n}`") for n in names]
+    return main.select(*out)
 
 
 def _is_plain(name: str) -> bool:

@@ -220,3 +220,22 @@ def test_classify(spark):
     assert got == {1: "santé", 2: "famille", 3: None, 4: "personnel", 5: "santé"}
     d = classify_distinct(df, "comment", HR_REASON_PATTERNS, "j")
     assert d.count() == 4 and "j" in d.columns
+
+
+def test_distributed_percentile_equals_buffer(spark):
+    from medallion.operators.percentile import exact_percentile
+    l = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    for p in (0.0, 0.37, 0.5, 0.9, 1.0):
+        a = {r[0]: r[1] for r in exact_percentile(l, ["l_returnflag"], F.col("l_extendedprice"), p).collect()}
+        b = {r[0]: r[1] for r in l.groupBy("l_returnflag").agg(F.percentile("l_extendedprice", p)).collect()}
+        assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-6 for k in a), (p, a, b)
+    g = exact_percentile(l, [], F.col("l_quantity"), 0.5).collect()[0][0]
+    assert g == l.agg(F.median("l_quantity")).collect()[0][0]
+    out = aggregate(l, ["l_returnflag"], [{"columnExpr": {"expr": "l_quantity"}, "fn": "MEDIAN", "alias": "m"},
+                                          {"columnExpr": {"expr": "l_quantity"}, "fn": "SUM", "alias": "s"}],
+                    exact_percentiles="distributed")
+    ref = aggregate(l, ["l_returnflag"], [{"columnExpr": {"expr": "l_quantity"}, "fn": "MEDIAN", "alias": "m"},
+                                          {"columnExpr": {"expr": "l_quantity"}, "fn": "SUM", "alias": "s"}],
+                    exact_percentiles="buffer")
+    assert out.columns == ref.columns == ["l_returnflag", "m", "s"]
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ref.collect()))
