@@ -306,3 +306,106 @@ def q_table_detail(spark, sf):
     t = Table(spark, work_dir(spark, "detail") + "/orders")
     t.overwrite(tbl(spark, sf, "orders"))
     return t.detail()
+
+
+# ============================================================================ S1–S3 schema drift and rescue
+def land_drifting_events(spark: SparkSession, sf: str, landing: str, phase: int) -> None:
+    """Phase 1: the first half of the month as clean JSON lines.  Phase 2: the rest, where (a fixed rule of
+    this test) ``error`` events carry an unknown key ``note`` and ``signup`` events a non-numeric ``value``."""
+    e = tbl(spark, sf, "events")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts")
+    base = [F.col("event_id"), ts, F.col("user_id"), F.col("event_type")]
+    clean = F.to_json(F.struct(*base, F.col("value"), F.col("props")))
+    if phase == 1:
+        lines = e.where(day < SPLIT_DAY).select(clean.alias("value"))
+    else:
+        extra = F.to_json(F.struct(*base, F.col("value"), F.col("props"), F.lit("x").alias("note")))
+        text_value = F.to_json(F.struct(*base, F.lit("n/a").alias("value"), F.col("props")))
+        line = (F.when(F.col("event_type") == "error", extra)
+                .when(F.col("event_type") == "signup", text_value).otherwise(clean))
+        lines = e.where(day >= SPLIT_DAY).select(line.alias("value"))
+    lines.write.mode("append").text(f"{landing}/phase={phase}")
+
+
+RESCUE = Dataset(bronze="bronze_drift")
+
+
+def drift_pipeline(spark: SparkSession, sf: str) -> Pipeline:
+    key = (spark.sparkContext.applicationId, sf, "drift")
+    with _LOCK:
+        if key in _RUNS:
+            return _RUNS[key]
+        root = work_dir(spark, "drift-pipeline")
+        p = Pipeline(spark, root)
+        flow = FlowSpec("A", f"{root}/landing/*", glob="*.txt")
+        for phase in (1, 2):  # the schema is inferred from phase 1 and persisted; phase 2 drifts
+            land_drifting_events(spark, sf, f"{root}/landing", phase)
+            p.run([(RESCUE, [flow])])
+        _RUNS[key] = p
+        return p
+
+
+@register("stream_rescue", f"""
+SELECT event_type,
+       CASE WHEN strftime(ts, '%Y-%m-%d') >= '{SPLIT_DAY}' AND event_type = 'error' THEN 'note'
+            WHEN strftime(ts, '%Y-%m-%d') >= '{SPLIT_DAY}' AND event_type = 'signup' THEN 'value' END AS rescued_keys,
+       COUNT(*) AS rows, COUNT(value) FILTER (WHERE NOT (strftime(ts, '%Y-%m-%d') >= '{SPLIT_DAY}'
+                                                       AND event_type = 'signup')) AS values_kept
+FROM events GROUP BY ALL
+""")
+def q_stream_rescue(spark, sf):
+    """Files whose schema drifts after the first run keep every row; unknown keys and values that do
+    not convert land in ``_rescued_data`` while the other fields of the row survive."""
+    b = drift_pipeline(spark, sf).catalog.read("bronze_drift")
+    keys = F.array_join(F.array_sort(F.map_keys(F.from_json("_rescued_data", "map<string,string>"))), ",")
+    return b.groupBy("event_type", keys.alias("rescued_keys")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("value").alias("values_kept"))
+
+
+# ============================================================================ P16/P17, J12, A19
+@register("sql_cte", """
+WITH big AS (SELECT o_custkey, o_totalprice FROM orders WHERE o_totalprice > 150000),
+per AS (SELECT o_custkey, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total FROM big GROUP BY o_custkey)
+SELECT n, COUNT(*) AS customers, ROUND(SUM(total), 2) AS total FROM per GROUP BY n
+""")
+def q_sql_cte(spark, sf):
+    """A multi-step CTE in the SQL node, with a bound ``:min_total`` parameter."""
+    from medallion.operators.sqlnode import run_sql
+    return run_sql(spark, """
+        WITH big AS (SELECT o_custkey, o_totalprice FROM Orders_in WHERE o_totalprice > :min_total),
+        per AS (SELECT o_custkey, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total FROM big GROUP BY o_custkey)
+        SELECT n, COUNT(*) AS customers, ROUND(SUM(total), 2) AS total FROM per GROUP BY n""",
+                   {"Orders_in": tbl(spark, sf, "orders")}, {"min_total": 150000})
+
+
+@register("join_using_compare", """
+SELECT o_orderstatus, COUNT(*) AS rows_dataframe, COUNT(*) AS rows_sql, true AS identique
+FROM orders GROUP BY o_orderstatus
+""")
+def q_join_using(spark, sf):
+    """Row counts of two implementations side by side (join USING the key) with an equality flag."""
+    from medallion.operators.sqlnode import run_sql
+    o = tbl(spark, sf, "orders")
+    a = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows_dataframe"))
+    b = run_sql(spark, "SELECT o_orderstatus, COUNT(*) AS rows_sql FROM Orders_sql GROUP BY o_orderstatus",
+                {"Orders_sql": o})
+    j = a.join(b, "o_orderstatus")
+    return j.withColumn("identique", F.col("rows_dataframe") == F.col("rows_sql"))
+
+
+@register("rollup_stored", """
+WITH kpi AS (
+  SELECT c.c_mktsegment, date_trunc('month', o.o_orderdate) AS month, o.o_orderpriority,
+         COUNT(o.o_orderkey) AS orders, ROUND(SUM(o.o_totalprice), 2) AS total
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY ALL)
+SELECT c_mktsegment, CAST(SUM(orders) AS BIGINT) AS orders, ROUND(SUM(total), 2) AS total
+FROM kpi GROUP BY c_mktsegment
+""")
+def q_rollup_stored(spark, sf):
+    """Store an aggregate as a materialized view, then re-aggregate the stored table."""
+    from medallion.plans.driver import q_month_type
+    t = Table(spark, work_dir(spark, "mv") + "/month_type_kpis")
+    t.overwrite(q_month_type(spark, sf))
+    return t.read().groupBy("c_mktsegment").agg(F.sum("orders").cast("long").alias("orders"),
+                                                F.round(F.sum("total"), 2).alias("total"))
