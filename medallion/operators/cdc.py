@@ -202,3 +202,15 @@ def count_differences(left: DataFrame, right: DataFrame, keys: list[str], column
         d = distinct_from(F.col(f"l_{c}"), F.col(f"r_{c}")) if null_safe else (F.col(f"l_{c}") != F.col(f"r_{c}"))
         diff = diff | F.coalesce(d, F.lit(False))
     return j.agg(F.count_if(diff).alias("differences"))
+
+
+def changes_from_snapshots(snapshots: list[tuple[int, DataFrame]], keys: list[str],
+                           version_col: str = "_snapshot_version") -> DataFrame:
+    """CDC from snapshots (C7): the change feed between each pair of consecutive snapshots, tagged with the
+    later snapshot's version — input for ``scd1``/``scd2`` with ``version_col`` as the sequence."""
+    ordered = sorted(snapshots, key=lambda s: s[0])
+    parts = [change_feed(before, after, keys).withColumn(version_col, F.lit(v))
+             for (_, before), (v, after) in zip(ordered, ordered[1:])]
+    first_v, first = ordered[0]
+    parts.insert(0, first.withColumn("_change_type", F.lit("insert")).withColumn(version_col, F.lit(first_v)))
+    return reduce(lambda a, b: a.unionByName(b), parts)

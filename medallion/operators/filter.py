@@ -16,8 +16,10 @@ def split_filter(df: DataFrame, condition) -> dict[str, DataFrame]:
     """
     if condition is None or (isinstance(condition, str) and not condition.strip()):
         return {"filtered_data": df, "excluded_data": df.limit(0)}
-    keep = F.coalesce(as_column(condition), F.lit(False))
-    return {"filtered_data": df.filter(keep), "excluded_data": df.filter(~keep)}
+    cond = as_column(condition)
+    # WHERE already drops NULL, so the kept port is a plain filter the scan can push down;
+    # the excluded port is "not TRUE" (FALSE or NULL)
+    return {"filtered_data": df.filter(cond), "excluded_data": df.filter(~F.coalesce(cond, F.lit(False)))}
 
 
 def disable(value):

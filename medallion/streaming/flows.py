@@ -90,9 +90,11 @@ class Pipeline:
         stream = read_json_stream(self.spark, flow.path, flow.entity, f"{cp}/_schema", flow.glob,
                                   max_files_per_trigger)
         stats = RunStats(name)
+        # batch ids restart with a new checkpoint, so the writer id names the checkpoint epoch too
+        writer = f"{name}@{epoch}"
 
         def handle(batch: DataFrame, batch_id: int) -> None:
-            self._process_batch(ds, name, batch, batch_id, stats)
+            self._process_batch(ds, writer, batch, batch_id, stats)
 
         q = (stream.writeStream.foreachBatch(handle)
              .option("checkpointLocation", f"{cp}/stream")

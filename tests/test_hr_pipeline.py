@@ -117,3 +117,44 @@ def test_fail_rule_stops_the_batch(spark, tmp):
     c = Catalog(spark, os.path.join(tmp, "lake", "tables"))
     assert c.read("bronze_employees").count() == 2  # bronze has no expectations
     assert not c.table("silver_employees").exists() or c.read("silver_employees").count() == 0
+
+
+def test_validation_queries(hr, spark):
+    p, _ = hr
+    silver, bronze = p.catalog.read("silver_employees"), p.catalog.read("bronze_employees")
+    last = p.catalog.read("silver_employees_last_extract")
+    rf = {r["source_entity"]: (r["rows"], r["files"]) for r in hr360.rows_files_keys(bronze).collect()}
+    assert rf == {"FR": (20, 3), "BE": (3, 1)}
+    hist = {r["versions"]: r["employees"] for r in hr360.duplicates_histogram(silver).collect()}
+    assert hist[2] == 1  # EMPFR0000002: draft + final in the seed file
+    assert hr360.correction_report(last).count() == 0  # no correction inside the newest files
+    listing = hr360.key_listing(silver, last, "EMPFR0000001")
+    assert sorted(r["kind"] for r in listing.collect()) == ["latest", "version", "version", "version"]
+    brackets = {r["age_bracket"]: r["employees"] for r in hr360.active_by_bracket(
+        p.catalog.read("gold_employees_current")).collect()}
+    assert brackets == {"35-44": 10}  # 7 active FR (one leaver) + 3 BE, all born in 1990
+    mob = hr360.mobility(p.catalog.read("gold_employees_history"))
+    assert {r["employee_id"] for r in mob.collect()} == {"EMPFR0000001", "EMPFR0000002", "EMPFR0000003",
+                                                       "EMPFR0000005"}
+    r = hr360.rollups(p.catalog.read("gold_absenteeism_by_department"),
+                      p.catalog.read("gold_absence_reasons_by_department"), p.catalog.read("gold_employee_360"))
+    assert {x["absence_type"] for x in r["days_by_bu_type"].collect()} >= {"Maladie", "RTT"}
+    assert r["work_related"].count() == 0 and r["top_absentees"].count() <= 20
+
+
+def test_full_refresh_equals_incremental(hr, spark):
+    p, _ = hr
+    from medallion.operators.sets import compare_tables
+    before = p.catalog.read("gold_employees_history")
+    snapshot = before.select("employee_id", "department_id", "job_title", "contract_type",
+                             F.col(f"{cdc.START_AT}.extract_ts").alias("s")).collect()
+    emp, abs_ = hr360.datasets(p.catalog.read("departments"), AS_OF, buckets=4)
+    import glob
+    root = os.path.dirname(p.root)
+    flows = [f for f in hr360.PipelineConfig(root=p.root, employees={
+        "FR": f"{root}/landing_FR/employees", "BE": f"{root}/landing_BE/employees"}).employee_flows()]
+    assert glob.glob(f"{root}/landing_FR/employees/*.json")
+    p.full_refresh([(emp, flows)], epoch="refresh-1")
+    after = p.catalog.read("gold_employees_history").select(
+        "employee_id", "department_id", "job_title", "contract_type", F.col(f"{cdc.START_AT}.extract_ts").alias("s"))
+    assert compare_tables(spark.createDataFrame(snapshot, after.schema), after).collect()[0]["identical"]

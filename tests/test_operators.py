@@ -239,3 +239,15 @@ def test_distributed_percentile_equals_buffer(spark):
                     exact_percentiles="buffer")
     assert out.columns == ref.columns == ["l_returnflag", "m", "s"]
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ref.collect()))
+
+
+def test_changes_from_snapshots(spark):
+    s1 = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    s2 = spark.createDataFrame([(1, "A"), (2, "b"), (3, "c")], "k int, v string")
+    s3 = spark.createDataFrame([(1, "A"), (3, "c")], "k int, v string")
+    ch = cdc.changes_from_snapshots([(2, s2), (1, s1), (3, s3)], ["k"])
+    got = rows(ch, "_snapshot_version", "k", "_change_type")
+    assert got == [(1, 1, "insert"), (1, 2, "insert"), (2, 1, "update_postimage"), (2, 1, "update_preimage"),
+                   (2, 3, "insert"), (3, 2, "delete")]
+    current = cdc.scd1(ch.where("_change_type <> 'update_preimage'"), ["k"], ["_snapshot_version"])
+    assert rows(current.where("_change_type <> 'delete'"), "k", "v") == [(1, "A"), (3, "c")]
