@@ -170,13 +170,17 @@ class Table:
         raise RuntimeError(f"could not commit to {self.path}: too many concurrent writers")
 
     # ------------------------------------------------------------------ reads
-    def read(self, version: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+    def read(self, version: int | None = None, buckets: list[int] | None = None,
+             kinds: set | None = None) -> DataFrame:
+        """A snapshot; optionally only some buckets and segment kinds (e.g. the open SCD 2 versions)."""
         m = self.manifest(version)
         schema = T.StructType.fromJson(json.loads(m.schema))
         entries = m.entries
         if buckets is not None:
             wanted = set(int(b) for b in buckets)
             entries = [e for e in entries if e.get("bucket") in wanted]
+        if kinds is not None:
+            entries = [e for e in entries if e.get("kind") in kinds]
         paths = [e["path"] for e in entries]
         if not paths:
             return self.spark.createDataFrame([], schema)
@@ -211,22 +215,32 @@ class Table:
                 .agg(F.count("*").alias("num_files"), F.sum("file_size").alias("size_in_bytes")))
 
     # ------------------------------------------------------------------ writes
-    def _write_segment(self, df: DataFrame) -> list[dict]:
-        self.last_entries = self._write(df)
+    def _write_segment(self, df: DataFrame, kind_col: str | None = None) -> list[dict]:
+        self.last_entries = self._write(df, kind_col)
         return self.last_entries
 
-    def _write(self, df: DataFrame) -> list[dict]:
+    def _write(self, df: DataFrame, kind_col: str | None = None) -> list[dict]:
+        """Write one segment.  ``kind_col`` (bucketed tables): a string column whose value tags each
+        sub-folder in the manifest (``kind``), e.g. open / closed SCD 2 versions; it is not stored."""
         seg = f"{self.path}/data/{uuid.uuid4().hex}"
         keys, n, cluster = self._layout()
         if keys and n:
             # one task (and one file) per bucket: the shuffle is on the bucket id itself
             out = df.withColumn(BUCKET_COL, bucket_expr(keys, n)).repartition(n, BUCKET_COL)
             out = out.sortWithinPartitions(BUCKET_COL, *cluster) if cluster else out
-            out.write.partitionBy(BUCKET_COL).parquet(seg)
+            parts = [BUCKET_COL] + ([kind_col] if kind_col else [])
+            out.write.partitionBy(*parts).parquet(seg)
             found = []
             for name in self.fs.ls(seg):
-                if name.startswith(BUCKET_COL + "="):
-                    found.append({"path": f"{seg}/{name}", "bucket": int(name.split("=", 1)[1])})
+                if not name.startswith(BUCKET_COL + "="):
+                    continue
+                b = int(name.split("=", 1)[1])
+                if not kind_col:
+                    found.append({"path": f"{seg}/{name}", "bucket": b})
+                    continue
+                for sub in self.fs.ls(f"{seg}/{name}"):
+                    if sub.startswith(kind_col + "="):
+                        found.append({"path": f"{seg}/{name}/{sub}", "bucket": b, "kind": sub.split("=", 1)[1]})
             return found
         if cluster:
             df = df.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
@@ -281,19 +295,27 @@ class Table:
         self._commit(build, txn)
         return self
 
-    def replace_buckets(self, df: DataFrame, buckets: list[int], txn=None, op: str = "MERGE") -> "Table":
-        """Replace exactly the given buckets with ``df`` (rows of other buckets in ``df`` are an error)."""
+    def replace_buckets(self, df: DataFrame, buckets: list[int], txn=None, op: str = "MERGE",
+                        drop_kinds: set | None = None, kind_col: str | None = None) -> "Table":
+        """Replace the given buckets with ``df`` in one commit (rows of other buckets in ``df`` are an error).
+
+        ``drop_kinds`` limits what is removed from those buckets to segments of these kinds (others stay);
+        ``kind_col`` tags the new segments (see ``_write``).
+        """
         if self.committed(txn):
             return self
         touched = set(int(b) for b in buckets)
-        entries = self._write_segment(df)
+        entries = self._write_segment(df, kind_col)
         bad = [e for e in entries if e["bucket"] not in touched]
         if bad:
             raise ValueError(f"rows outside the replaced buckets: {bad[:3]}")
-        schema = df.schema
+        schema = df.drop(kind_col).schema if kind_col else df.schema
+
+        def gone(e):
+            return e.get("bucket") in touched and (drop_kinds is None or e.get("kind") in drop_kinds)
 
         def build(prev):
-            keep = [e for e in (prev.entries if prev else []) if e.get("bucket") not in touched]
+            keep = [e for e in (prev.entries if prev else []) if not gone(e)]
             return self._meta(prev, schema, op, keep + entries)
 
         self._commit(build, txn)

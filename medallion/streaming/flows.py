@@ -33,6 +33,11 @@ from medallion.sources.files import read_json_stream
 from medallion.sources.tables import FlowSpec
 
 METRICS_TABLE = "_quality_metrics"
+KIND_COL = "_kind"  # segment tag of SCD 2 targets: "open" (current versions) or "closed"
+
+
+def _tag_kind(versions: DataFrame) -> DataFrame:
+    return versions.withColumn(KIND_COL, F.when(F.col(cdc.END_AT).isNull(), "open").otherwise("closed"))
 
 
 @dataclass
@@ -131,16 +136,22 @@ class Pipeline:
                     [m + (writer,) for m in metrics],
                     "dataset string, rule string, action string, failed long, passed long, batch_id long, "
                     "flow string"), txn=txn)
-        new_silver = silver.read_entries(silver.batch_entries(writer))
+        entries = silver.batch_entries(writer)
+        new_silver = silver.read_entries(entries)
         for spec in ds.cdc:
-            self._merge_cdc(ds, spec, silver, new_silver, txn)
+            touched = None
+            if silver.bucket_by == spec.keys and silver.buckets == ds.buckets:
+                touched = sorted({e["bucket"] for e in entries})  # the silver segment is bucketed alike
+            self._merge_cdc(ds, spec, silver, new_silver, txn, touched)
 
     # ---------------------------------------------------------------- CDC
-    def _merge_cdc(self, ds: Dataset, spec: CdcSpec, silver: Table, batch: DataFrame, txn) -> None:
+    def _merge_cdc(self, ds: Dataset, spec: CdcSpec, silver: Table, batch: DataFrame, txn,
+                   touched: list | None = None) -> None:
         target = self.table(spec.target, ds, spec.keys)
         if target.committed(txn):
             return
-        touched = [r[0] for r in batch.select(bucket_expr(spec.keys, ds.buckets).alias("b")).distinct().collect()]
+        if touched is None:  # at most `buckets` values
+            touched = [r[0] for r in batch.select(bucket_expr(spec.keys, ds.buckets).alias("b")).distinct().collect()]
         if not touched:
             target.create_if_absent(_cdc_schema(batch, spec)) if not target.exists() else None
             return
@@ -150,13 +161,51 @@ class Pipeline:
             target.replace_buckets(merged, touched, txn=txn, op="CDC SCD1")
             return
         tracked = spec.track_history or [c for c in batch.columns if c not in spec.keys + spec.sequence]
+        if target.exists() and self._scd2_in_order(target, spec, batch, touched):
+            self._scd2_append(target, spec, batch, touched, tracked, txn)
+            return
+        # late or out-of-order rows (or a first load): rebuild the batch keys' history from the silver log
         keys_df = batch.select(*spec.keys).distinct()
         log = silver.read(buckets=touched).join(keys_df, spec.keys, "left_semi")
         rebuilt = cdc.scd2(log, spec.keys, spec.sequence, tracked)
         if target.exists():
             others = target.read(buckets=touched).join(keys_df, spec.keys, "left_anti")
             rebuilt = others.unionByName(rebuilt)
-        target.replace_buckets(rebuilt, touched, txn=txn, op="CDC SCD2")
+        target.replace_buckets(_tag_kind(rebuilt), touched, txn=txn, op="CDC SCD2", kind_col=KIND_COL)
+
+    @staticmethod
+    def _scd2_in_order(target: Table, spec: CdcSpec, batch: DataFrame, touched: list) -> bool:
+        """True when every batch row comes after the last row of its key's open version."""
+        seq = F.struct(*[F.col(c) for c in spec.sequence])
+        first = batch.groupBy(*spec.keys).agg(F.min(seq).alias("__first"))
+        last = target.read(buckets=touched, kinds={"open"}).select(*spec.keys, seq.alias("__last"))
+        late = first.join(last, spec.keys).where(F.col("__first") <= F.col("__last")).limit(1).count()
+        return late == 0
+
+    @staticmethod
+    def _scd2_append(target: Table, spec: CdcSpec, batch: DataFrame, touched: list, tracked: list, txn) -> None:
+        """In-order batch: only the open versions of the batch keys are re-evaluated.
+
+        The open version enters as one row (its values are those of its last row, sequence included);
+        versions the batch closes are appended as closed segments and the open set of the touched buckets is
+        replaced — the closed history is neither read nor rewritten.
+        """
+        seq = F.struct(*[F.col(c) for c in spec.sequence])
+        cols = batch.columns
+        open_cur = target.read(buckets=touched, kinds={"open"})
+        keys_df = batch.select(*spec.keys).distinct()
+        affected = open_cur.join(keys_df, spec.keys, "left_semi")
+        untouched = open_cur.join(keys_df, spec.keys, "left_anti")
+        starts = affected.select(*spec.keys, seq.alias("__pseudo"), F.col(cdc.START_AT).alias("__orig"))
+        versions = cdc.scd2(affected.select(*cols).unionByName(batch), spec.keys, spec.sequence, tracked)
+        fixed = versions.join(starts, [versions[k].eqNullSafe(starts[k]) for k in spec.keys] +
+                              [versions[cdc.START_AT] == starts["__pseudo"]], "left")
+        versions = fixed.select(*[versions[c] for c in cols],
+                                F.coalesce(F.col("__orig"), versions[cdc.START_AT]).alias(cdc.START_AT),
+                                versions[cdc.END_AT])
+        out = untouched.unionByName(versions)
+        target.replace_buckets(_tag_kind(out), touched, txn=txn, op="CDC SCD2 APPEND",
+                               drop_kinds={"open"}, kind_col=KIND_COL)
 
     # ---------------------------------------------------------------- whole runs
     def run(self, plan: list[tuple[Dataset, list[FlowSpec]]], views: dict | None = None,
