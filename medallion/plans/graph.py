@@ -92,8 +92,33 @@ OPS = {"source": _source, "filter": _filter, "join": _join, "sql": _sql, "aggreg
        "unique": _unique, "prepare": _prepare, "ai_function": _ai, "output": _output}
 
 
-def run_graph(spark: SparkSession, nodes: list[Node]) -> dict[str, DataFrame]:
+def toposort(nodes: list[Node]) -> list[Node]:
+    """Order nodes so every input is produced before it is used (Kahn's algorithm over node ids)."""
+    by_id = {n.id: n for n in nodes}
+
+    def deps(n):
+        refs = []
+        for ref in n.inputs.values():
+            refs.extend(ref if isinstance(ref, list) else [ref])
+        return {r.split(".", 1)[0] for r in refs if r.split(".", 1)[0] in by_id}
+
+    pending = {n.id: deps(n) for n in nodes}
+    order = []
+    while pending:
+        ready = [i for i in by_id if i in pending and not pending[i]]
+        if not ready:
+            raise ValueError(f"node graph has a cycle among {sorted(pending)}")
+        for i in ready:
+            order.append(by_id[i])
+            del pending[i]
+        for d in pending.values():
+            d.difference_update(ready)
+    return order
+
+
+def run_graph(spark: SparkSession, nodes: list[Node], sort: bool = True) -> dict[str, DataFrame]:
     ctx: dict[str, DataFrame] = {}
+    nodes = toposort(nodes) if sort else nodes
 
     def resolve(ref):
         if isinstance(ref, list):
@@ -117,6 +142,18 @@ def run_graph(spark: SparkSession, nodes: list[Node]) -> dict[str, DataFrame]:
     return ctx
 
 
+def observe_ports(ctx: dict[str, DataFrame], ports: list[str]) -> dict:
+    """Attach a row-count ``Observation`` to each port (P19 without a second scan): the counts are filled
+    by whatever action later consumes the port (a sink write), and read with ``obs.get["rows"]``."""
+    from pyspark.sql import Observation
+    out = {}
+    for ref in ports:
+        obs = Observation(f"rows_{ref.replace('.', '_')}")
+        ctx[ref] = ctx[ref].observe(obs, F.count(F.lit(1)).alias("rows"))
+        out[ref] = obs
+    return out
+
+
 def row_counts(ctx: dict[str, DataFrame], ports: list[str]) -> DataFrame:
     """``(node, port, rows)`` for the given ``"node.port"`` names, as one union of global counts."""
     parts = []

@@ -251,3 +251,28 @@ def test_changes_from_snapshots(spark):
                    (2, 3, "insert"), (3, 2, "delete")]
     current = cdc.scd1(ch.where("_change_type <> 'update_preimage'"), ["k"], ["_snapshot_version"])
     assert rows(current.where("_change_type <> 'delete'"), "k", "v") == [(1, "A"), (3, "c")]
+
+
+def test_graph_toposort_disabled_and_observed_counts(spark, tmp):
+    from medallion.plans.graph import Node, observe_ports, row_counts, run_graph
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, s string")
+    nodes = [  # deliberately out of order
+        Node("agg", "aggregate", {"group_bys": [{"expr": "s"}], "aggregations": [
+            {"columnExpr": {"expr": "id"}, "fn": "COUNT", "alias": "n"}]}, {"data": "f.filtered_data"}),
+        Node("f", "filter", {"condition": "id > 1"}, {"data": "src.data"}),
+        Node("src", "source", {"dataframe": df}),
+    ]
+    ctx = run_graph(spark, nodes)
+    assert rows(ctx["agg.aggregated_data"], "s", "n") == [("b", 1), (None, 1)]
+    obs = observe_ports(ctx, ["f.filtered_data", "f.excluded_data"])
+    ctx["f.filtered_data"].write.parquet(f"{tmp}/kept")
+    ctx["f.excluded_data"].write.parquet(f"{tmp}/dropped")
+    assert obs["f.filtered_data"].get["rows"] == 2 and obs["f.excluded_data"].get["rows"] == 1
+    counts = {r["port"]: r["rows"] for r in row_counts(ctx, ["f.filtered_data", "f.excluded_data"]).collect()}
+    assert counts == {"filtered_data": 2, "excluded_data": 1}
+    off = run_graph(spark, [Node("src", "source", {"dataframe": df}),
+                            Node("f", "filter", {"condition": "id > 1"}, {"data": "src.data"}, disabled=True)])
+    assert off["f.filtered_data"].count() == 0 and off["f.filtered_data"].columns == ["id", "s"]
+    with pytest.raises(ValueError, match="cycle"):
+        run_graph(spark, [Node("a", "filter", {}, {"data": "b.filtered_data"}),
+                          Node("b", "filter", {}, {"data": "a.filtered_data"})])
