@@ -276,3 +276,18 @@ def test_graph_toposort_disabled_and_observed_counts(spark, tmp):
     with pytest.raises(ValueError, match="cycle"):
         run_graph(spark, [Node("a", "filter", {}, {"data": "b.filtered_data"}),
                           Node("b", "filter", {}, {"data": "a.filtered_data"})])
+
+
+def test_guardrails_and_column_checks(spark):
+    from medallion.functions.columns import col_exact
+    from medallion.operators.prepare import require_columns
+    df = spark.createDataFrame([(1, "CDI"), (None, "Freelance")], "`a.b` int, contract string")
+    r = quality.apply_expectations(df, [quality.not_null("a.b", "drop"),
+                                        quality.accepted_values("contract", ["CDI", "CDD"], "warn")], "g")
+    assert r.kept.count() == 1
+    assert {x["rule"]: x["failed"] for x in r.metrics.collect()} == {"a.b_not_null": 1,
+                                                                     "contract_accepted_values": 1}
+    assert df.select(col_exact("a.b")).where("`a.b` = 1").count() == 1  # dotted name taken literally
+    require_columns(df, ["a.b", "contract"])
+    with pytest.raises(ValueError, match="not found"):
+        require_columns(df, ["missing"])
