@@ -47,23 +47,30 @@ def persisted_schema(spark: SparkSession, path: str, schema_location: str, glob:
     return T.StructType.fromJson(json.loads(fs.read_text(f)))
 
 
-def parse_json_lines(value: Column, schema: T.StructType) -> list[Column]:
-    """Typed columns of ``schema`` plus ``_rescued_data`` from a JSON text column."""
-    parsed = F.from_json(value, schema, {"mode": "PERMISSIVE"})
-    raw = F.from_json(value, T.MapType(T.StringType(), T.StringType()), {"mode": "PERMISSIVE"})
-    names = [f.name for f in schema.fields]
+def parse_json_lines(df: DataFrame, line: str, schema: T.StructType, keep: list[Column] | None = None) -> DataFrame:
+    """Typed columns of ``schema`` plus ``_rescued_data`` from the JSON text column ``line``.
 
-    def keep(k, v):
-        lost = F.lit(True)  # unknown key
+    The line is parsed once into a struct and once into a ``map<string,string>``; both are materialised as
+    columns first, so the per-key test inside ``map_filter`` reads them instead of re-parsing the line.
+    """
+    names = [f.name for f in schema.fields]
+    text = F.col(line)
+    step = df.select(*(keep or []), text.alias("__text"),
+                     F.from_json(text, schema, {"mode": "PERMISSIVE"}).alias("__parsed"),
+                     F.from_json(text, T.MapType(T.StringType(), T.StringType()), {"mode": "PERMISSIVE"}).alias("__raw"))
+    parsed, raw = F.col("__parsed"), F.col("__raw")
+
+    def lost(k, v):
+        out = F.lit(True)  # a key the schema does not know
         for n in reversed(names):
-            lost = F.when(k == F.lit(n), parsed[n].isNull()).otherwise(lost)
-        return v.isNotNull() & lost
+            out = F.when(k == F.lit(n), parsed[n].isNull()).otherwise(out)
+        return v.isNotNull() & out  # ...or a value that did not convert
 
-    leftovers = F.map_filter(raw, keep)
-    rescued = (F.when(raw.isNull() & F.trim(value).cast("string").isNotNull() & (F.trim(value) != ""),
-                      F.to_json(F.create_map(F.lit("_line"), value)))
+    leftovers = F.map_filter(raw, lost)
+    rescued = (F.when(raw.isNull(), F.to_json(F.create_map(F.lit("_line"), F.col("__text"))))
                .when(F.size(leftovers) > 0, F.to_json(leftovers)))
-    return [parsed[n].alias(n) for n in names] + [rescued.alias(RESCUED)]
+    kept_names = [c for c in step.columns if c not in ("__text", "__parsed", "__raw")]
+    return step.select(*kept_names, *[parsed[n].alias(n) for n in names], rescued.alias(RESCUED))
 
 
 def lineage(entity: str, meta: str = "__meta") -> list[Column]:
@@ -87,15 +94,21 @@ def read_json_stream(spark: SparkSession, path: str, entity: str, schema_locatio
     reader = spark.readStream.format("text").option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    lines = _lines(reader.load(path))
-    return lines.select(*parse_json_lines(F.col("__line"), schema), *lineage(entity))
+    lines = _lines(reader.load(path)).select("__line", *lineage(entity))
+    return _reorder(parse_json_lines(lines, "__line", schema, [F.col(c) for c in LINEAGE]), schema)
 
 
 def read_json_batch(spark: SparkSession, path: str, entity: str, schema: T.StructType,
                     glob: str = "*.json") -> DataFrame:
     """Batch twin of ``read_json_stream`` (full refresh, tests)."""
-    lines = _lines(spark.read.format("text").option("pathGlobFilter", glob).load(path))
-    return lines.select(*parse_json_lines(F.col("__line"), schema), *lineage(entity))
+    lines = _lines(spark.read.format("text").option("pathGlobFilter", glob).load(path)).select(
+        "__line", *lineage(entity))
+    return _reorder(parse_json_lines(lines, "__line", schema, [F.col(c) for c in LINEAGE]), schema)
+
+
+def _reorder(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Data columns, then ``_rescued_data``, then the lineage columns."""
+    return df.select(*[f.name for f in schema.fields], RESCUED, *LINEAGE)
 
 
 def _clean_option(key: str, value):
