@@ -371,17 +371,37 @@ class Table:
         self._commit(build)
         return self
 
-    def compact(self, files_per_bucket: int = 1) -> "Table":
-        """Rewrite many small segments as one (per bucket) without changing content."""
-        df = self.read()
-        if self.bucket_by and self.buckets:
-            df = df.repartition(self.buckets, bucket_expr(self.bucket_by, self.buckets))
+    def optimize(self, target_bytes: int = 128 * 1024 ** 2, min_segments: int = 4) -> int:
+        """Rewrite small segments together (per bucket and kind), so streaming tables do not accumulate
+        thousands of tiny files.  Content and old versions are unchanged; returns segments compacted.
+
+        Open SCD 2 segments are left alone (each batch rewrites them anyway).  The commit checks that every
+        compacted segment is still live, so a concurrent merge that removed one wins and this is skipped.
+        """
+        if not self.exists():
+            return 0
+        m = self.manifest()
+        small = [e for e in m.entries if e.get("kind") != "open" and self.fs.du(e["path"]) < target_bytes]
+        if len(small) < min_segments:
+            return 0
+        df = self.read_entries(small)
+        kinds = {e.get("kind") for e in small}
+        if kinds - {None}:
+            df = df.withColumn("_kind", F.lit("closed"))
+            entries = self._write_segment(df, "_kind")
         else:
-            df = df.coalesce(max(1, files_per_bucket))
-        entries = self._write_segment(df)
+            entries = self._write_segment(df.coalesce(max(1, len({e.get("bucket") for e in small}))))
+        paths = {e["path"] for e in small}
         schema = self.schema()
-        self._commit(lambda prev: self._meta(prev, schema, "OPTIMIZE", entries))
-        return self
+
+        def build(prev):
+            live = {e["path"] for e in prev.entries}
+            if not paths <= live:
+                raise RuntimeError("optimize: a compacted segment was removed concurrently; retry later")
+            return self._meta(prev, schema, "OPTIMIZE", [e for e in prev.entries if e["path"] not in paths] + entries)
+
+        self._commit(build)
+        return len(small)
 
 
 def _all(conds: list[Column]) -> Column:

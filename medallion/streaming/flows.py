@@ -219,6 +219,11 @@ class Pipeline:
             self.catalog.refresh(name, build(self))
         return out
 
+    def optimize(self, names: list[str], target_bytes: int = 128 * 1024 ** 2, min_segments: int = 4) -> dict:
+        """Compact the small segments of the given tables (run between updates, like an OPTIMIZE job)."""
+        return {n: self.catalog.table(n).optimize(target_bytes, min_segments) for n in names
+                if self.catalog.table(n).exists()}
+
     def full_refresh(self, plan, views=None, epoch: str = "refresh", **kw) -> list[RunStats]:
         """Recompute everything from the landing files into fresh table versions and fresh checkpoints."""
         for ds, _ in plan:

@@ -123,3 +123,16 @@ def test_read_files_options_and_sources(spark, tmp):
     spark.conf.set("medallion.as_of", "2026-01-01")
     cfg = PipelineConfig.from_conf(spark)
     assert cfg.root == tmp and cfg.as_of == "2026-01-01"
+
+
+def test_optimize_compacts_small_segments(spark, tmp):
+    t = Table(spark, os.path.join(tmp, "o"), bucket_by=["k"], buckets=2)
+    for i in range(5):
+        t.append(spark.createDataFrame([(i, f"v{i}"), (i + 10, "w")], "k int, v string"))
+    before = sorted(map(tuple, t.read().collect()))
+    n_before = len(t.manifest().entries)
+    assert t.optimize(min_segments=3) == n_before
+    assert len(t.manifest().entries) <= 2
+    assert sorted(map(tuple, t.read().collect())) == before
+    assert sorted(map(tuple, t.read(version=t.version() - 1).collect())) == before
+    assert t.optimize(min_segments=3) == 0  # nothing small left to merge
