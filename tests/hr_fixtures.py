@@ -3,22 +3,8 @@
 import json
 import os
 
-DEPARTMENTS = [
-    ("D001", "Finance", "Corporate", "North", "FR", "CC100"),
-    ("D002", "Payroll", "Corporate", "North", "FR", "CC110"),
-    ("D003", "Sales East", "Commercial", "East", "FR", "CC200"),
-    ("D004", "Sales West", "Commercial", "West", "FR", "CC210"),
-    ("D005", "Logistics", "Operations", "South", "FR", "CC300"),
-    ("D006", "Plant A", "Operations", "South", "FR", "CC310"),
-    ("D007", "Research", "Technology", "North", "BE", "CC400"),
-    ("D008", "IT Support", "Technology", "North", "BE", "CC410"),
-    ("D009", "Marketing", "Commercial", "Central", "BE", "CC220"),
-    ("D010", "Legal", "Corporate", "Central", "BE", "CC120"),
-    ("D011", "Plant B", "Operations", "Central", "BE", "CC320"),
-    ("D012", "People", "Corporate", "Central", "BE", "CC130"),
-]
-DEPARTMENT_SCHEMA = ("department_id string, department_name string, business_unit string, region string, "
-                     "country string, cost_center string")
+from medallion.plans.hr360 import DEPARTMENT_SCHEMA, DEPARTMENTS  # noqa: E402,F401
+
 AS_OF = "2026-01-01"
 
 
