@@ -49,14 +49,12 @@ def scd1(df: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
             .select("__r.*"))
 
 
-def default_bucket(df: DataFrame, sequence: list[str], seconds: int = 86400) -> Column:
+def default_bucket(df: DataFrame, sequence: list[str], seconds: float = 86400) -> Column:
     """Time bucket of the first sequence field (timestamp/date) used to split hot keys; constant otherwise."""
     dt = df.schema[sequence[0]].dataType
     c = _q(sequence[0])
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000))
-    if isinstance(dt, T.DateType):
-        return F.floor(F.unix_date(c) * F.lit(86400) / F.lit(seconds))
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(float(seconds) * 1_000_000)).cast("long")
     return F.lit(0)
 
 
@@ -77,6 +75,23 @@ def largest_key(df: DataFrame, keys: list[str]) -> int:
     return int(r or 0)
 
 
+def hot_key_profile(df: DataFrame, keys: list[str], seq0: str) -> tuple[int, float | None]:
+    """Rows of the largest key and the time span (seconds) of its first sequence field, in one pass."""
+    dt = df.schema[seq0].dataType
+    ts = (F.col(quote_ident(seq0)).cast("timestamp") if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType))
+          else None)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if ts is not None:
+        aggs += [F.min(F.unix_micros(ts)).alias("lo"), F.max(F.unix_micros(ts)).alias("hi")]
+    per = df.groupBy(*[_q(k) for k in keys]).agg(*aggs)
+    top = per.orderBy(F.col("n").desc()).limit(1).collect()
+    if not top:
+        return 0, None
+    r = top[0]
+    span = (r["hi"] - r["lo"]) / 1e6 if ts is not None and r["lo"] is not None else None
+    return int(r["n"]), span
+
+
 def scd2(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str],
          bucket: Column | None = None, start_col: str = START_AT, end_col: str = END_AT,
          strategy: str = "auto", hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
@@ -91,7 +106,12 @@ def scd2(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str]
     when it exceeds ``hot_key_rows``.
     """
     if strategy == "auto":
-        strategy = "bucketed" if largest_key(df, keys) > hot_key_rows else "window"
+        n, span = hot_key_profile(df, keys, sequence[0])
+        strategy = "bucketed" if n > hot_key_rows else "window"
+        if strategy == "bucketed" and bucket is None and span:
+            # time buckets sized so the hottest key holds about `hot_key_rows` rows per bucket
+            pieces = -(-n // hot_key_rows)
+            bucket = default_bucket(df, sequence, seconds=max(1e-6, span / pieces))
     if strategy == "window":
         return scd2_window(df, keys, sequence, tracked, start_col, end_col)
     return scd2_bucketed(df, keys, sequence, tracked, bucket, start_col, end_col)
