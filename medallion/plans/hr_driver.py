@@ -123,13 +123,13 @@ def land_absences(spark: SparkSession, sf: str, landing: str) -> None:
     _write_lines(out, landing)
 
 
-def hr_pipeline(spark: SparkSession, sf: str):
+def run_hr(spark: SparkSession, sf: str):
     """Land, run, land the late delivery, run again (once per session and data folder)."""
     key = (spark.sparkContext.applicationId, sf, "hr")
     with _LOCK:
         if key in _RUNS:
             return _RUNS[key]
-        root = work_dir(spark, "hr-pipeline")
+        root = work_dir(spark, "hr-run")
         emp_land, abs_land = f"{root}/landing/employees", f"{root}/landing/absences"
         land_employees(spark, sf, emp_land, late=False)
         land_absences(spark, sf, abs_land)
@@ -254,7 +254,7 @@ GROUP BY department_id, department_name, business_unit, region
 """))
 def q_hr_headcount(spark, sf):
     """The headcount KPI table of the HR application (13 groups: D999 rows are warned, not dropped)."""
-    h = hr_pipeline(spark, sf).catalog.read("gold_headcount_by_department")
+    h = run_hr(spark, sf).catalog.read("gold_headcount_by_department")
     return h.select(*[c for c in h.columns if c not in ("cdi_count", "female_count")],
                     F.col("cdi_count").cast("long").alias("cdi_count"),
                     F.col("female_count").cast("long").alias("female_count"))
@@ -270,7 +270,7 @@ WHERE e.status = 'Active'
 """))
 def q_hr_employee_360(spark, sf):
     """Active employees with year-to-date absence KPIs (exact id join, zero when none)."""
-    v = hr_pipeline(spark, sf).catalog.read("gold_employee_360")
+    v = run_hr(spark, sf).catalog.read("gold_employee_360")
     return v.select("employee_id", "department_id", "status", "absence_days_ytd", "absence_events_ytd")
 
 
@@ -284,7 +284,7 @@ GROUP BY ALL
 """))
 def q_hr_absenteeism(spark, sf):
     """Absences × employees (case/space-insensitive ids) by department, month and type."""
-    return hr_pipeline(spark, sf).catalog.read("gold_absenteeism_by_department").withColumn(
+    return run_hr(spark, sf).catalog.read("gold_absenteeism_by_department").withColumn(
         "absence_month", F.col("absence_month").cast("timestamp_ntz"))
 
 
@@ -306,7 +306,7 @@ GROUP BY ALL
 """))
 def q_hr_reasons(spark, sf):
     """Distinct comments classified once, joined back, by department and reason."""
-    return hr_pipeline(spark, sf).catalog.read("gold_absence_reasons_by_department")
+    return run_hr(spark, sf).catalog.read("gold_absence_reasons_by_department")
 
 
 @register("hr_history", _sql("""
@@ -334,7 +334,7 @@ FROM i
 """).replace("abs_kept AS (SELECT * FROM abs_silver WHERE NOT v_days)\n\n,", "abs_kept AS (SELECT * FROM abs_silver WHERE NOT v_days),"))
 def q_hr_history(spark, sf):
     """SCD 2 on department / contract / job; drafts give short versions, the late file splits history."""
-    h = hr_pipeline(spark, sf).catalog.read("gold_employees_history")
+    h = run_hr(spark, sf).catalog.read("gold_employees_history")
     return h.select("employee_id", "department_id", "contract_type", "job_title", "status",
                     F.col(f"{cdc.START_AT}.extract_ts").cast("timestamp_ntz").alias("start_extract_ts"),
                     F.col(f"{cdc.START_AT}.updated_at").cast("timestamp_ntz").alias("start_updated_at"),
@@ -351,7 +351,7 @@ FROM f QUALIFY ROW_NUMBER() OVER (PARTITION BY source_entity, employee_id ORDER
 """).replace("abs_kept AS (SELECT * FROM abs_silver WHERE NOT v_days)\n\n,", "abs_kept AS (SELECT * FROM abs_silver WHERE NOT v_days),"))
 def q_hr_last_extract(spark, sf):
     """The newest delivered file per entity (the late file is older, so not the last one)."""
-    v = hr_pipeline(spark, sf).catalog.read("silver_employees_last_extract")
+    v = run_hr(spark, sf).catalog.read("silver_employees_last_extract")
     return v.select("source_entity", "employee_id", "department_id", "job_title", "versions_in_file")
 
 
@@ -382,5 +382,5 @@ ON r.dataset = x.dataset AND r.i = x.i
 def q_hr_quality(spark, sf):
     """Q5/Q7: failed / passed per rule of the 12 application rules, over every delivered row."""
     from medallion.streaming.flows import quality_summary
-    p = hr_pipeline(spark, sf)
+    p = run_hr(spark, sf)
     return quality_summary(p, "silver_employees").unionByName(quality_summary(p, "silver_absences"))

@@ -71,13 +71,13 @@ def land_events(spark: SparkSession, sf: str, landing: str, phase: int) -> None:
      .json(landing))
 
 
-def events_pipeline(spark: SparkSession, sf: str) -> Pipeline:
+def run_events(spark: SparkSession, sf: str) -> Pipeline:
     """Run (once per session and data folder) the two-phase streaming pipeline over the events."""
     key = (spark.sparkContext.applicationId, sf)
     with _LOCK:
         if key in _RUNS:
             return _RUNS[key]
-        root = work_dir(spark, "events-pipeline")
+        root = work_dir(spark, "events-run")
         landing = f"{root}/landing"
         p = Pipeline(spark, root)
         flows = [FlowSpec("A", f"{landing}/entity=A/*"), FlowSpec("B", f"{landing}/entity=B/*")]
@@ -96,7 +96,7 @@ SELECT event_id, ts, user_id, event_type, value, props, {_ENTITY_SQL} AS source_
 FROM events
 """)
 def q_stream_bronze(spark, sf):
-    b = events_pipeline(spark, sf).catalog.read("bronze_events")
+    b = run_events(spark, sf).catalog.read("bronze_events")
     return b.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value",
                     "props", "source_entity", F.col("_rescued_data").isNotNull().alias("rescued"))
 
@@ -106,7 +106,7 @@ SELECT event_id, ts, user_id, event_type, value, props, {_ENTITY_SQL} AS source_
 FROM events WHERE value >= {MIN_VALUE}
 """)
 def q_stream_silver(spark, sf):
-    s = events_pipeline(spark, sf).catalog.read("silver_events")
+    s = run_events(spark, sf).catalog.read("silver_events")
     return s.select(*EVENT_COLS, "source_entity")
 
 
@@ -122,14 +122,14 @@ FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE event_id IS NULL) AS f0,
      LATERAL (SELECT CASE i WHEN 0 THEN f0 WHEN 1 THEN f1 WHEN 2 THEN f2 ELSE f3 END AS failed)
 """)
 def q_stream_quality(spark, sf):
-    return quality_summary(events_pipeline(spark, sf), "silver_events")
+    return quality_summary(run_events(spark, sf), "silver_events")
 
 
 @register("stream_quarantine", f"""
 SELECT event_id, user_id, 'min_value' AS failed_rules FROM events WHERE NOT coalesce(value >= {MIN_VALUE}, true)
 """)
 def q_stream_quarantine(spark, sf):
-    q = events_pipeline(spark, sf).catalog.read("silver_events_quarantine")
+    q = run_events(spark, sf).catalog.read("silver_events_quarantine")
     return q.select("event_id", "user_id", F.array_join("_failed_rules", ",").alias("failed_rules"))
 
 
@@ -142,12 +142,12 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
 WHERE rn = 1
 """)
 def q_stream_scd1(spark, sf):
-    return events_pipeline(spark, sf).catalog.read("gold_events_current").select(*EVENT_COLS)
+    return run_events(spark, sf).catalog.read("gold_events_current").select(*EVENT_COLS)
 
 
 @register("stream_scd2", SCD2_SQL.replace("FROM events)", f"FROM {_FILTERED} e)", 1))
 def q_stream_scd2(spark, sf):
-    h = events_pipeline(spark, sf).catalog.read("gold_events_history")
+    h = run_events(spark, sf).catalog.read("gold_events_history")
     return flat_history(h.select(*EVENT_COLS, cdc.START_AT, cdc.END_AT))
 
 
@@ -158,7 +158,7 @@ FROM events GROUP BY 1
 """)
 def q_rows_per_entity(spark, sf):
     """Rows, delivered files and distinct keys per source entity (bronze)."""
-    b = events_pipeline(spark, sf).catalog.read("bronze_events")
+    b = run_events(spark, sf).catalog.read("bronze_events")
     return b.groupBy("source_entity").agg(F.count(F.lit(1)).alias("rows"),
                                           F.count_distinct("_source_file").alias("files"),
                                           F.count_distinct("user_id").alias("keys"))
@@ -172,7 +172,7 @@ GROUP BY versions
 """)
 def q_duplicates_histogram(spark, sf):
     """How many (entity, file, key) groups have n versions (silver)."""
-    s = events_pipeline(spark, sf).catalog.read("silver_events")
+    s = run_events(spark, sf).catalog.read("silver_events")
     per = s.groupBy("source_entity", "_source_file", "user_id").agg(F.count(F.lit(1)).alias("versions"))
     return per.groupBy("versions").agg(F.count(F.lit(1)).alias("keys"))
 
@@ -180,7 +180,7 @@ def q_duplicates_histogram(spark, sf):
 @register("stream_consistency", "SELECT CAST(0 AS BIGINT) AS differences")
 def q_stream_consistency(spark, sf):
     """Streaming SCD 1 target equals a batch keep-latest over silver (expected 0)."""
-    p = events_pipeline(spark, sf)
+    p = run_events(spark, sf)
     from medallion.operators.windows import latest_per_key
     latest = latest_per_key(p.catalog.read("silver_events"), ["user_id"], ["ts", "event_id"], count_as=None)
     return cdc.count_differences(p.catalog.read("gold_events_current"), latest, ["user_id"],
@@ -196,7 +196,7 @@ FROM events WHERE value >= {MIN_VALUE}
 """)
 def q_impl_compare(spark, sf):
     """The streaming silver table vs the same silver computed in batch by SQL text."""
-    p = events_pipeline(spark, sf)
+    p = run_events(spark, sf)
     p.catalog.view("bronze_events")
     by_sql = spark.sql(f"""
         SELECT CAST(event_id AS BIGINT) AS event_id, CAST(try_to_timestamp(CAST(ts AS STRING)) AS TIMESTAMP_NTZ) AS ts,
@@ -331,12 +331,12 @@ def land_drifting_events(spark: SparkSession, sf: str, landing: str, phase: int)
 RESCUE = Dataset(bronze="bronze_drift")
 
 
-def drift_pipeline(spark: SparkSession, sf: str) -> Pipeline:
+def run_drift(spark: SparkSession, sf: str) -> Pipeline:
     key = (spark.sparkContext.applicationId, sf, "drift")
     with _LOCK:
         if key in _RUNS:
             return _RUNS[key]
-        root = work_dir(spark, "drift-pipeline")
+        root = work_dir(spark, "drift-run")
         p = Pipeline(spark, root)
         flow = FlowSpec("A", f"{root}/landing/*", glob="*.txt")
         for phase in (1, 2):  # the schema is inferred from phase 1 and persisted; phase 2 drifts
@@ -357,7 +357,7 @@ FROM events GROUP BY ALL
 def q_stream_rescue(spark, sf):
     """Files whose schema drifts after the first run keep every row; unknown keys and values that do
     not convert land in ``_rescued_data`` while the other fields of the row survive."""
-    b = drift_pipeline(spark, sf).catalog.read("bronze_drift")
+    b = run_drift(spark, sf).catalog.read("bronze_drift")
     keys = F.array_join(F.array_sort(F.map_keys(F.from_json("_rescued_data", "map<string,string>"))), ",")
     return b.groupBy("event_type", keys.alias("rescued_keys")).agg(
         F.count(F.lit(1)).alias("rows"), F.count("value").alias("values_kept"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from medallion.operators import cdc, sets
-from medallion.plans.pipelines import EVENT_COLS, EVENTS, land_events
+from medallion.plans.streams import EVENT_COLS, EVENTS, land_events
 from medallion.sources.tables import FlowSpec
 from medallion.streaming.flows import Pipeline
 
