@@ -209,12 +209,25 @@ class Pipeline:
 
     # ---------------------------------------------------------------- whole runs
     def run(self, plan: list[tuple[Dataset, list[FlowSpec]]], views: dict | None = None,
-            epoch: str = "0", max_files_per_trigger: int | None = None) -> list[RunStats]:
-        """Run every flow in dependency order (T8), then refresh the materialized views in order."""
-        out = []
-        for ds, flows in plan:
-            for flow in flows:
-                out.append(self.run_flow(ds, flow, epoch, max_files_per_trigger))
+            epoch: str = "0", max_files_per_trigger: int | None = None, parallel: bool = True) -> list[RunStats]:
+        """Run every flow, then refresh the materialized views in order.
+
+        Datasets write disjoint tables, so with ``parallel`` each dataset's flows run in their own driver
+        thread (Spark schedules the jobs of all threads together); the flows of one dataset stay sequential
+        because their CDC merges touch the same buckets.  The shared metrics table is append-only and its
+        commit retries on a concurrent version.
+        """
+        def one(item):
+            ds, flows = item
+            return [self.run_flow(ds, flow, epoch, max_files_per_trigger) for flow in flows]
+
+        if parallel and len(plan) > 1:
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(max_workers=len(plan)) as pool:
+                results = list(pool.map(one, plan))
+        else:
+            results = [one(item) for item in plan]
+        out = [s for r in results for s in r]
         for name, build in (views or {}).items():
             self.catalog.refresh(name, build(self))
         return out
