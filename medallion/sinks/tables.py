@@ -296,14 +296,19 @@ class Table:
         return self
 
     def replace_buckets(self, df: DataFrame, buckets: list[int], txn=None, op: str = "MERGE",
-                        drop_kinds: set | None = None, kind_col: str | None = None) -> "Table":
+                        drop_kinds: set | None = None, kind_col: str | None = None,
+                        base_version: int | None = None) -> "Table":
         """Replace the given buckets with ``df`` in one commit (rows of other buckets in ``df`` are an error).
 
         ``drop_kinds`` limits what is removed from those buckets to segments of these kinds (others stay);
-        ``kind_col`` tags the new segments (see ``_write``).
+        ``kind_col`` tags the new segments (see ``_write``).  ``base_version`` is the version ``df`` was
+        computed from: if another writer changed any of these buckets since, the commit is refused instead
+        of losing that writer's update (optimistic concurrency).
         """
         if self.committed(txn):
             return self
+        if base_version is None:
+            base_version = self.version()
         touched = set(int(b) for b in buckets)
         entries = self._write_segment(df, kind_col)
         bad = [e for e in entries if e["bucket"] not in touched]
@@ -314,7 +319,16 @@ class Table:
         def gone(e):
             return e.get("bucket") in touched and (drop_kinds is None or e.get("kind") in drop_kinds)
 
+        def in_touched(m):
+            return sorted(e["path"] for e in (m.entries if m else []) if e.get("bucket") in touched)
+
+        base = self.manifest(base_version) if base_version is not None else None
+
         def build(prev):
+            if prev is not None and base is not None and prev.version != base.version \
+                    and in_touched(prev) != in_touched(base):
+                raise RuntimeError(f"{self.path}: buckets changed by another writer since version "
+                                   f"{base.version}; recompute and retry")
             keep = [e for e in (prev.entries if prev else []) if not gone(e)]
             return self._meta(prev, schema, op, keep + entries)
 
@@ -340,12 +354,13 @@ class Table:
             if dup:
                 raise ValueError(f"merge: duplicate keys in the source, e.g. {dup[0].asDict()}")
         key_cond = [src[k].isNotNull() for k in keys]
+        base_version = self.version()
         if self.bucket_by and self.buckets:
             touched = [r[0] for r in src.select(bucket_expr(self.bucket_by, self.buckets).alias("b"))
                        .distinct().collect()]  # at most `buckets` values
-            old = self.read(buckets=touched)
+            old = self.read(version=base_version, buckets=touched)
             kept = old.join(src.where(_all(key_cond)).select(*keys), keys, "left_anti")
-            self.replace_buckets(kept.unionByName(src), touched, txn=txn, op="MERGE")
+            self.replace_buckets(kept.unionByName(src), touched, txn=txn, op="MERGE", base_version=base_version)
             return self
         old = self.read()
         kept = old.join(src.where(_all(key_cond)).select(*keys), keys, "left_anti")

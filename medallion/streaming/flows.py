@@ -155,35 +155,38 @@ class Pipeline:
         if not touched:
             target.create_if_absent(_cdc_schema(batch, spec)) if not target.exists() else None
             return
+        base = target.version()
         if spec.scd_type == 1:
-            current = target.read(buckets=touched) if target.exists() else batch.limit(0)
+            current = target.read(version=base, buckets=touched) if base is not None else batch.limit(0)
             merged = cdc.scd1(current.unionByName(batch), spec.keys, spec.sequence)
-            target.replace_buckets(merged, touched, txn=txn, op="CDC SCD1")
+            target.replace_buckets(merged, touched, txn=txn, op="CDC SCD1", base_version=base)
             return
         tracked = spec.track_history or [c for c in batch.columns if c not in spec.keys + spec.sequence]
-        if target.exists() and self._scd2_in_order(target, spec, batch, touched):
-            self._scd2_append(target, spec, batch, touched, tracked, txn)
+        if base is not None and self._scd2_in_order(target, spec, batch, touched, base):
+            self._scd2_append(target, spec, batch, touched, tracked, txn, base)
             return
         # late or out-of-order rows (or a first load): rebuild the batch keys' history from the silver log
         keys_df = batch.select(*spec.keys).distinct()
         log = silver.read(buckets=touched).join(keys_df, spec.keys, "left_semi")
         rebuilt = cdc.scd2(log, spec.keys, spec.sequence, tracked)
-        if target.exists():
-            others = target.read(buckets=touched).join(keys_df, spec.keys, "left_anti")
+        if base is not None:
+            others = target.read(version=base, buckets=touched).join(keys_df, spec.keys, "left_anti")
             rebuilt = others.unionByName(rebuilt)
-        target.replace_buckets(_tag_kind(rebuilt), touched, txn=txn, op="CDC SCD2", kind_col=KIND_COL)
+        target.replace_buckets(_tag_kind(rebuilt), touched, txn=txn, op="CDC SCD2", kind_col=KIND_COL,
+                               base_version=base)
 
     @staticmethod
-    def _scd2_in_order(target: Table, spec: CdcSpec, batch: DataFrame, touched: list) -> bool:
+    def _scd2_in_order(target: Table, spec: CdcSpec, batch: DataFrame, touched: list, base: int) -> bool:
         """True when every batch row comes after the last row of its key's open version."""
         seq = F.struct(*[F.col(c) for c in spec.sequence])
         first = batch.groupBy(*spec.keys).agg(F.min(seq).alias("__first"))
-        last = target.read(buckets=touched, kinds={"open"}).select(*spec.keys, seq.alias("__last"))
+        last = target.read(version=base, buckets=touched, kinds={"open"}).select(*spec.keys, seq.alias("__last"))
         late = first.join(last, spec.keys).where(F.col("__first") <= F.col("__last")).limit(1).count()
         return late == 0
 
     @staticmethod
-    def _scd2_append(target: Table, spec: CdcSpec, batch: DataFrame, touched: list, tracked: list, txn) -> None:
+    def _scd2_append(target: Table, spec: CdcSpec, batch: DataFrame, touched: list, tracked: list, txn,
+                     base: int) -> None:
         """In-order batch: only the open versions of the batch keys are re-evaluated.
 
         The open version enters as one row (its values are those of its last row, sequence included);
@@ -192,7 +195,7 @@ class Pipeline:
         """
         seq = F.struct(*[F.col(c) for c in spec.sequence])
         cols = batch.columns
-        open_cur = target.read(buckets=touched, kinds={"open"})
+        open_cur = target.read(version=base, buckets=touched, kinds={"open"})
         keys_df = batch.select(*spec.keys).distinct()
         affected = open_cur.join(keys_df, spec.keys, "left_semi")
         untouched = open_cur.join(keys_df, spec.keys, "left_anti")
@@ -205,7 +208,7 @@ class Pipeline:
                                 versions[cdc.END_AT])
         out = untouched.unionByName(versions)
         target.replace_buckets(_tag_kind(out), touched, txn=txn, op="CDC SCD2 APPEND",
-                               drop_kinds={"open"}, kind_col=KIND_COL)
+                               drop_kinds={"open"}, kind_col=KIND_COL, base_version=base)
 
     # ---------------------------------------------------------------- whole runs
     def run(self, plan: list[tuple[Dataset, list[FlowSpec]]], views: dict | None = None,

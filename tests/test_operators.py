@@ -99,7 +99,6 @@ def test_aggregate_node(spark):
         {"columnExpr": {"expr": "v"}, "fn": "PERCENTILE", "percentage": 7, "alias": "p"},
         {"columnExpr": {"expr": "s"}, "fn": "CONCAT", "alias": "c"},
         {"columnExpr": {"expr": "g"}, "fn": "-"},
-        {"columnExpr": {"expr": "v", "type": "expr"}, "fn": "BOOL_OR", "alias": "bo"} if False else
         {"columnExpr": {"expr": "v > 2", "type": "expr"}, "fn": "BOOL_OR", "alias": "bo"},
     ])
     assert out.columns == ["g", "p", "c", "bo"]

@@ -136,3 +136,15 @@ def test_optimize_compacts_small_segments(spark, tmp):
     assert sorted(map(tuple, t.read().collect())) == before
     assert sorted(map(tuple, t.read(version=t.version() - 1).collect())) == before
     assert t.optimize(min_segments=3) == 0  # nothing small left to merge
+
+
+def test_concurrent_bucket_rewrite_is_refused(spark, tmp):
+    t = Table(spark, os.path.join(tmp, "cc"), bucket_by=["k"], buckets=2)
+    t.overwrite(spark.createDataFrame([(i, "a") for i in range(10)], "k int, v string"))
+    base = t.version()
+    t.merge(spark.createDataFrame([(1, "first writer")], "k int, v string"), ["k"])
+    stale = t.read(version=base)
+    buckets = sorted({e["bucket"] for e in t.manifest().entries})
+    with pytest.raises(RuntimeError, match="another writer"):
+        t.replace_buckets(stale, buckets, base_version=base)
+    assert {r["k"]: r["v"] for r in t.read().collect()}[1] == "first writer"
