@@ -121,9 +121,20 @@ def datasets(departments: DataFrame, as_of=None, buckets: int = 16) -> tuple[Dat
         transform=lambda b: silver_employees(b, departments, as_of), expectations=EMPLOYEE_RULES,
         cdc=[CdcSpec("gold_employees_current", EMPLOYEE_KEYS, EMPLOYEE_SEQUENCE, 1),
              CdcSpec("gold_employees_history", EMPLOYEE_KEYS, EMPLOYEE_SEQUENCE, 2, TRACKED)],
-        buckets=buckets)
+        buckets=buckets,
+        describe={
+            "bronze_employees": {"comment": "Raw employee extracts of every entity", "properties": {"quality": "bronze"}},
+            "silver_employees": {"comment": "Employees typed, derived, checked and joined to departments",
+                                 "properties": {"quality": "silver"}},
+            "gold_employees_current": {"comment": "Current state per employee (SCD 1)",
+                                       "properties": {"quality": "gold"}},
+            "gold_employees_history": {"comment": "Department / contract / job history per employee (SCD 2)",
+                                       "properties": {"quality": "gold"}},
+        })
     absences = Dataset(bronze="bronze_absences", silver="silver_absences", transform=silver_absences,
-                       expectations=ABSENCE_RULES, buckets=buckets)
+                       expectations=ABSENCE_RULES, buckets=buckets,
+                       describe={"silver_absences": {"comment": "Absence events typed and checked",
+                                                     "properties": {"quality": "silver"}}})
     return employees, absences
 
 

@@ -59,6 +59,8 @@ class Dataset:
     cdc: list[CdcSpec] = field(default_factory=list)
     buckets: int = 16  # bucket count of silver and CDC targets (size it so a bucket fits one task)
     null_is_violation: bool = False
+    # table name -> {"comment": str, "properties": {...}}, set once when the table is first written (K5)
+    describe: dict = field(default_factory=dict)
 
 
 @dataclass
@@ -127,6 +129,7 @@ class Pipeline:
             silver.append(result.kept, txn=txn)
             metrics = observed_metrics(result, ds.silver, batch_id)
             stats.metrics.extend(metrics)
+            stats.bronze_rows += int(result.observation.get.get("rows", 0))
             if ds.expectations:
                 dropped = sum(m[3] for m in metrics if m[2] in ("drop", "fail"))
                 quarantine = self.catalog.table(f"{ds.silver}_quarantine")
@@ -143,6 +146,14 @@ class Pipeline:
             if silver.bucket_by == spec.keys and silver.buckets == ds.buckets:
                 touched = sorted({e["bucket"] for e in entries})  # the silver segment is bucketed alike
             self._merge_cdc(ds, spec, silver, new_silver, txn, touched)
+        self._describe(ds)
+
+    def _describe(self, ds: Dataset) -> None:
+        """Apply the dataset's table comments / properties once (tables keep them in their manifests)."""
+        for name, d in ds.describe.items():
+            t = self.catalog.table(name)
+            if t.exists() and t.manifest().comment is None:
+                t.set_comment(d.get("comment"), d.get("properties"))
 
     # ---------------------------------------------------------------- CDC
     def _merge_cdc(self, ds: Dataset, spec: CdcSpec, silver: Table, batch: DataFrame, txn,

@@ -158,3 +158,10 @@ def test_full_refresh_equals_incremental(hr, spark):
     after = p.catalog.read("gold_employees_history").select(
         "employee_id", "department_id", "job_title", "contract_type", F.col(f"{cdc.START_AT}.extract_ts").alias("s"))
     assert compare_tables(spark.createDataFrame(snapshot, after.schema), after).collect()[0]["identical"]
+
+
+def test_table_descriptions(hr):
+    p, _ = hr
+    m = p.catalog.table("gold_employees_history").manifest()
+    assert m.comment.startswith("Department") and m.properties == {"quality": "gold"}
+    assert p.catalog.table("silver_absences").manifest().properties == {"quality": "silver"}
