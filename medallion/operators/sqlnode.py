@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,9 +34,8 @@ def expression_select(df: DataFrame, expressions: list[str] | None, keep_all: bo
 def table_function(spark: SparkSession, sql: str, df: DataFrame, placeholder: str = "__input__") -> DataFrame:
     """Run a table-valued SQL statement whose FROM clause names ``placeholder``, bound to ``df``.
 
-    The view name is derived from the statement and the input plan, so reruns reuse one view.
+    Uses Spark's DataFrame parameters (``spark.sql(query, input=df)``): the input is referenced by the
+    statement's plan directly, no session view is created.  Literal braces in the statement are escaped.
     """
-    key = (sql + "\x00" + str(id(df))).encode("utf-8")
-    view = "tvf_input_" + hashlib.sha256(key).hexdigest()[:12]
-    df.createOrReplaceTempView(view)
-    return spark.sql(sql.replace(placeholder, view))
+    query = sql.replace("{", "{{").replace("}", "}}").replace(placeholder, "{input}")
+    return spark.sql(query, input=df)

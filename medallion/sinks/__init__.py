@@ -1 +1 @@
-"""sinks"""
+"""Sinks: versioned Parquet tables (manifest per version, bucketed segments) and file exports."""
