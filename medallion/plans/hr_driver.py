@@ -384,3 +384,91 @@ def q_hr_quality(spark, sf):
     from medallion.streaming.flows import quality_summary
     p = run_hr(spark, sf)
     return quality_summary(p, "silver_employees").unionByName(quality_summary(p, "silver_absences"))
+
+
+# ------------------------------------------------------------------------------------- validation queries
+_AGE_CASE = ("CASE WHEN age < 20 THEN '<20' WHEN age < 35 THEN '20-34' WHEN age < 45 THEN '35-44' "
+             "WHEN age < 55 THEN '45-54' ELSE '55+' END")
+HISTORY_BODY = """
+, w AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY employee_id ORDER BY extract_ts, updated_at) AS rn,
+               LAG(department_id) OVER (PARTITION BY employee_id ORDER BY extract_ts, updated_at) AS p_dep,
+               LAG(contract_type) OVER (PARTITION BY employee_id ORDER BY extract_ts, updated_at) AS p_con,
+               LAG(job_title) OVER (PARTITION BY employee_id ORDER BY extract_ts, updated_at) AS p_job
+        FROM emp_kept),
+c AS (SELECT *, SUM(CASE WHEN rn = 1 OR department_id IS DISTINCT FROM p_dep OR contract_type IS DISTINCT FROM p_con
+                          OR job_title IS DISTINCT FROM p_job THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY employee_id ORDER BY extract_ts, updated_at
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl FROM w),
+i AS (SELECT employee_id, isl,
+             first(extract_ts ORDER BY extract_ts, updated_at) AS start_extract_ts,
+             first(updated_at ORDER BY extract_ts, updated_at) AS start_updated_at,
+             last(department_id ORDER BY extract_ts, updated_at) AS department_id,
+             last(contract_type ORDER BY extract_ts, updated_at) AS contract_type,
+             last(job_title ORDER BY extract_ts, updated_at) AS job_title,
+             last(status ORDER BY extract_ts, updated_at) AS status
+      FROM c GROUP BY employee_id, isl)
+SELECT employee_id, department_id, contract_type, job_title, status, start_extract_ts, start_updated_at,
+       LEAD(start_extract_ts) OVER (PARTITION BY employee_id ORDER BY isl) AS end_extract_ts,
+       LEAD(start_updated_at) OVER (PARTITION BY employee_id ORDER BY isl) AS end_updated_at
+FROM i
+"""
+_FIX = ("abs_kept AS (SELECT * FROM abs_silver WHERE NOT v_days)\n\n,", "abs_kept AS (SELECT * FROM abs_silver WHERE NOT v_days),")
+
+
+@register("hr_rows_per_entity", _sql("""
+SELECT source_entity, COUNT(*) AS rows, COUNT(DISTINCT extract_ts) AS files, COUNT(DISTINCT employee_id) AS employees
+FROM emp_rows GROUP BY source_entity
+"""))
+def q_hr_rows_per_entity(spark, sf):
+    """Rows, delivered files and distinct employees per entity (bronze)."""
+    return hr360.rows_files_keys(run_hr(spark, sf).catalog.read("bronze_employees"))
+
+
+@register("hr_duplicates_histogram", _sql("""
+SELECT versions, COUNT(*) AS employees FROM (
+  SELECT source_entity, extract_ts, employee_id, COUNT(*) AS versions FROM emp_kept GROUP BY ALL)
+GROUP BY versions
+"""))
+def q_hr_duplicates_histogram(spark, sf):
+    """How many employees appear n times inside one delivered file (silver)."""
+    return hr360.duplicates_histogram(run_hr(spark, sf).catalog.read("silver_employees"))
+
+
+@register("hr_consistency", "SELECT CAST(0 AS BIGINT) AS differences")
+def q_hr_consistency(spark, sf):
+    """The streaming SCD 1 table equals keep-latest over silver (expected 0 differences)."""
+    p = run_hr(spark, sf)
+    return hr360.consistency(p.catalog.read("gold_employees_current"), p.catalog.read("silver_employees"))
+
+
+@register("hr_active_by_bracket", _sql(f"""
+SELECT {_AGE_CASE} AS age_bracket, COUNT(*) AS employees FROM emp_current WHERE status = 'Active' GROUP BY 1
+"""))
+def q_hr_active_by_bracket(spark, sf):
+    """Active employees per age bracket."""
+    return hr360.active_by_bracket(run_hr(spark, sf).catalog.read("gold_employees_current"))
+
+
+@register("hr_days_by_bu_type", _sql("""
+SELECT e.business_unit, a.absence_type, CAST(SUM(a.days) AS BIGINT) AS total_absence_days
+FROM abs_kept a JOIN emp_current e ON upper(trim(a.employee_id)) = upper(trim(e.employee_id))
+GROUP BY ALL
+"""))
+def q_hr_days_by_bu_type(spark, sf):
+    """Re-aggregation of the stored absenteeism table by business unit and type."""
+    p = run_hr(spark, sf)
+    r = hr360.rollups(p.catalog.read("gold_absenteeism_by_department"),
+                      p.catalog.read("gold_absence_reasons_by_department"), p.catalog.read("gold_employee_360"))
+    return r["days_by_bu_type"].withColumn("total_absence_days", F.col("total_absence_days").cast("long"))
+
+
+_ISLANDS = HISTORY_BODY.split("\nSELECT employee_id, department_id, contract_type, job_title, status")[0]
+
+
+@register("hr_mobility", _sql(_ISLANDS + """
+SELECT employee_id, COUNT(*) AS versions FROM i GROUP BY employee_id HAVING COUNT(*) >= 2
+""").replace(*_FIX))
+def q_hr_mobility(spark, sf):
+    """Employees with more than one version in the SCD 2 history."""
+    from medallion.operators.cdc import multi_version_keys
+    return multi_version_keys(run_hr(spark, sf).catalog.read("gold_employees_history"), ["employee_id"], 2)
