@@ -396,7 +396,8 @@ class Table:
         if not self.exists():
             return 0
         m = self.manifest()
-        small = [e for e in m.entries if e.get("kind") != "open" and self.fs.du(e["path"]) < target_bytes]
+        sizes = {e["path"]: self.fs.du(e["path"]) for e in m.entries if e.get("kind") != "open"}
+        small = [e for e in m.entries if e["path"] in sizes and sizes[e["path"]] < target_bytes]
         if len(small) < min_segments:
             return 0
         df = self.read_entries(small)
@@ -404,8 +405,11 @@ class Table:
         if kinds - {None}:
             df = df.withColumn("_kind", F.lit("closed"))
             entries = self._write_segment(df, "_kind")
+        elif self.bucket_by and self.buckets:
+            entries = self._write_segment(df)  # one file per bucket
         else:
-            entries = self._write_segment(df.coalesce(max(1, len({e.get("bucket") for e in small}))))
+            total = sum(sizes[e["path"]] for e in small)
+            entries = self._write_segment(df.coalesce(max(1, -(-total // target_bytes))))  # ~target-sized files
         paths = {e["path"] for e in small}
         schema = self.schema()
 

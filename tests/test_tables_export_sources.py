@@ -148,3 +148,11 @@ def test_concurrent_bucket_rewrite_is_refused(spark, tmp):
     with pytest.raises(RuntimeError, match="another writer"):
         t.replace_buckets(stale, buckets, base_version=base)
     assert {r["k"]: r["v"] for r in t.read().collect()}[1] == "first writer"
+
+
+def test_optimize_unbucketed(spark, tmp):
+    t = Table(spark, os.path.join(tmp, "u"))
+    for i in range(4):
+        t.append(spark.range(i * 10, i * 10 + 10).withColumnRenamed("id", "k"))
+    assert t.optimize(min_segments=2) == 4 and len(t.manifest().entries) == 1
+    assert sorted(r[0] for r in t.read().collect()) == list(range(40))
