@@ -65,14 +65,11 @@ class PipelineConfig:
         """Read ``<prefix>root``, ``<prefix>as_of`` and ``<prefix>employees.<ENTITY>`` / ``absences.<ENTITY>``
         from the session conf — the equivalent of pipeline parameters."""
         conf = dict(spark.sparkContext.getConf().getAll())
-        for k in list(conf):
-            if not k.startswith(prefix):
-                conf.pop(k)
-        try:
-            root = spark.conf.get(prefix + "root")
-        except Exception:
-            root = conf.get(prefix + "root", "")
-        cfg = PipelineConfig(root=root, as_of=spark.conf.get(prefix + "as_of", None))
+        runtime = getattr(spark.conf, "getAll", None)  # session-level settings (Spark 4)
+        if runtime is not None:
+            conf.update(runtime if isinstance(runtime, dict) else runtime())
+        conf = {k: v for k, v in conf.items() if k.startswith(prefix)}
+        cfg = PipelineConfig(root=conf.get(prefix + "root", ""), as_of=conf.get(prefix + "as_of"))
         for k, v in conf.items():
             rest = k[len(prefix):]
             if rest.startswith("employees."):

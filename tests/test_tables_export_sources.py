@@ -121,8 +121,10 @@ def test_read_files_options_and_sources(spark, tmp):
     assert mv.collect()[0]["n"] == 5
     spark.conf.set("medallion.root", tmp)
     spark.conf.set("medallion.as_of", "2026-01-01")
+    spark.conf.set("medallion.employees.FR", "/landing/fr")
     cfg = PipelineConfig.from_conf(spark)
     assert cfg.root == tmp and cfg.as_of == "2026-01-01"
+    assert [(f.entity, f.path) for f in cfg.employee_flows()] == [("FR", "/landing/fr")]
 
 
 def test_optimize_compacts_small_segments(spark, tmp):
