@@ -123,13 +123,15 @@ class Pipeline:
         silver_rows = ds.transform(rows) if ds.transform else rows
         keys = self._cdc_keys(ds)
         silver = self.table(ds.silver, ds, keys)
+        batch_rows = None  # rows entering silver in this batch (known unless the batch is a replay)
         if not silver.committed(txn):
             result = apply_expectations(silver_rows, ds.expectations, ds.silver, ds.null_is_violation,
                                         observation_name=f"q_{writer}_{batch_id}")
             silver.append(result.kept, txn=txn)
             metrics = observed_metrics(result, ds.silver, batch_id)
             stats.metrics.extend(metrics)
-            stats.bronze_rows += int(result.observation.get.get("rows", 0))
+            batch_rows = int(result.observation.get.get("rows", 0))
+            stats.bronze_rows += batch_rows
             if ds.expectations:
                 dropped = sum(m[3] for m in metrics if m[2] in ("drop", "fail"))
                 quarantine = self.catalog.table(f"{ds.silver}_quarantine")
@@ -145,7 +147,7 @@ class Pipeline:
             touched = None
             if silver.bucket_by == spec.keys and silver.buckets == ds.buckets:
                 touched = sorted({e["bucket"] for e in entries})  # the silver segment is bucketed alike
-            self._merge_cdc(ds, spec, silver, new_silver, txn, touched)
+            self._merge_cdc(ds, spec, silver, new_silver, txn, touched, batch_rows)
         self._describe(ds)
 
     def _describe(self, ds: Dataset) -> None:
@@ -157,7 +159,7 @@ class Pipeline:
 
     # ---------------------------------------------------------------- CDC
     def _merge_cdc(self, ds: Dataset, spec: CdcSpec, silver: Table, batch: DataFrame, txn,
-                   touched: list | None = None) -> None:
+                   touched: list | None = None, batch_rows: int | None = None) -> None:
         target = self.table(spec.target, ds, spec.keys)
         if target.committed(txn):
             return
@@ -174,7 +176,9 @@ class Pipeline:
             return
         tracked = spec.track_history or [c for c in batch.columns if c not in spec.keys + spec.sequence]
         if base is not None and self._scd2_in_order(target, spec, batch, touched, base):
-            self._scd2_append(target, spec, batch, touched, tracked, txn, base)
+            # a key sees at most (batch rows + its open version) rows here: no need to profile key sizes
+            small = batch_rows is not None and batch_rows + 1 <= cdc.HOT_KEY_ROWS
+            self._scd2_append(target, spec, batch, touched, tracked, txn, base, "window" if small else "auto")
             return
         # late or out-of-order rows (or a first load): rebuild the batch keys' history from the silver log
         keys_df = batch.select(*spec.keys).distinct()
@@ -197,7 +201,7 @@ class Pipeline:
 
     @staticmethod
     def _scd2_append(target: Table, spec: CdcSpec, batch: DataFrame, touched: list, tracked: list, txn,
-                     base: int) -> None:
+                     base: int, strategy: str = "auto") -> None:
         """In-order batch: only the open versions of the batch keys are re-evaluated.
 
         The open version enters as one row (its values are those of its last row, sequence included);
@@ -211,7 +215,8 @@ class Pipeline:
         affected = open_cur.join(keys_df, spec.keys, "left_semi")
         untouched = open_cur.join(keys_df, spec.keys, "left_anti")
         starts = affected.select(*spec.keys, seq.alias("__pseudo"), F.col(cdc.START_AT).alias("__orig"))
-        versions = cdc.scd2(affected.select(*cols).unionByName(batch), spec.keys, spec.sequence, tracked)
+        versions = cdc.scd2(affected.select(*cols).unionByName(batch), spec.keys, spec.sequence, tracked,
+                            strategy=strategy)
         fixed = versions.join(starts, [versions[k].eqNullSafe(starts[k]) for k in spec.keys] +
                               [versions[cdc.START_AT] == starts["__pseudo"]], "left")
         versions = fixed.select(*[versions[c] for c in cols],
