@@ -81,11 +81,46 @@ def _ai(spark, cfg, inputs):
 
 
 def _output(spark, cfg, inputs):
+    """Write the input and return what was written, read back.
+
+    ``sink``: any callable; ``table`` + ``root``: a versioned table with ``mode`` overwrite / append /
+    merge (``keys`` required) / view (materialized-view refresh); ``path`` + ``format`` csv / json: a file
+    export (``mode`` overwrite / append, optional ``split_by``).
+    """
+    from medallion.sinks import export
+    from medallion.sinks.tables import Catalog, validate_table_name
     df = inputs["data"]
-    sink = cfg.get("sink")
-    if sink is not None:
-        sink(df)
-    return {"data": df}
+    if cfg.get("sink") is not None:
+        cfg["sink"](df)
+        return {"data": df}
+    mode = cfg.get("mode", "overwrite")
+    if cfg.get("table"):
+        name = validate_table_name(cfg["table"])
+        t = Catalog(spark, cfg["root"]).table(name)
+        if mode in ("overwrite", "view"):
+            t.overwrite(df, comment=cfg.get("comment"), properties=cfg.get("properties"))
+        elif mode == "append":
+            t.append(df)
+        elif mode == "merge":
+            if not cfg.get("keys"):
+                raise ValueError("output: merge needs 'keys'")
+            t.merge(df, cfg["keys"])
+        else:
+            raise ValueError(f"output: unsupported table mode {mode!r}")
+        return {"data": t.read()}
+    if cfg.get("path"):
+        fmt = cfg.get("format", "csv")
+        if cfg.get("split_by"):
+            export.export_split(df, cfg["path"], cfg["split_by"], fmt=fmt, mode=mode)
+        elif fmt == "csv":
+            export.export_csv(df, cfg["path"], mode=mode, single_file=bool(cfg.get("single_file")))
+        elif fmt == "json":
+            export.export_json(df, cfg["path"], mode=mode, single_file=bool(cfg.get("single_file")))
+        else:
+            raise ValueError(f"output: unsupported format {fmt!r}")
+        reader = spark.read.option("header", "true") if fmt == "csv" else spark.read
+        return {"data": reader.format(fmt).load(cfg["path"])}
+    raise ValueError("output: configure a 'table', a 'path' or a 'sink'")
 
 
 OPS = {"source": _source, "filter": _filter, "join": _join, "sql": _sql, "aggregate": _aggregate,

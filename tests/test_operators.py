@@ -306,3 +306,22 @@ def test_skew_safe_plans_have_no_per_key_window(spark):
     ref = cdc.scd2(hot.withColumn("ts", F.timestamp_seconds("seq")), ["k"], ["ts"], ["v"], strategy="window")
     got = cdc.scd2(hot.withColumn("ts", F.timestamp_seconds("seq")), ["k"], ["ts"], ["v"], hot_key_rows=100)
     assert sets.compare_tables(got, ref).collect()[0]["identical"]  # adaptive time buckets for the hot key
+
+
+def test_graph_output_node(spark, tmp):
+    from medallion.plans.graph import Node, run_graph
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    upd = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
+    ctx = run_graph(spark, [
+        Node("src", "source", {"dataframe": df}),
+        Node("upd", "source", {"dataframe": upd}),
+        Node("t", "output", {"root": tmp, "table": "kpi", "mode": "view", "comment": "demo"}, {"data": "src.data"}),
+        Node("m", "output", {"root": tmp, "table": "kpi", "mode": "merge", "keys": ["k"]}, {"data": "upd.data"}),
+        Node("e", "output", {"path": f"{tmp}/exp", "format": "csv", "split_by": "v"}, {"data": "src.data"}),
+    ])
+    assert rows(ctx["t.data"], "k", "v") == [(1, "a"), (2, "b")]
+    assert rows(ctx["m.data"], "k", "v") == [(1, "a"), (2, "B"), (3, "c")]
+    assert ctx["e.data"].count() == 2 and "file_group" in ctx["e.data"].columns
+    with pytest.raises(ValueError, match="keys"):
+        run_graph(spark, [Node("src", "source", {"dataframe": df}),
+                          Node("x", "output", {"root": tmp, "table": "t2", "mode": "merge"}, {"data": "src.data"})])
