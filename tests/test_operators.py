@@ -325,3 +325,21 @@ def test_graph_output_node(spark, tmp):
     with pytest.raises(ValueError, match="keys"):
         run_graph(spark, [Node("src", "source", {"dataframe": df}),
                           Node("x", "output", {"root": tmp, "table": "t2", "mode": "merge"}, {"data": "src.data"})])
+
+
+def test_plan_shapes_for_scale(spark):
+    import __spark_entry__ as E
+    from medallion.plans.inspect import plan_summary
+    sf = "/root/testdata/sf0.001"
+    q = E.queries()
+    split = plan_summary(q["split_filter_included"](spark, sf))
+    assert any("GreaterThan(o_totalprice,100000.0)" in p for p in split["pushed_filters"])
+    ytd = plan_summary(q["ytd_kpis"](spark, sf))
+    assert any("GreaterThanOrEqual(o_orderdate" in p and "LessThan(o_orderdate" in p for p in ytd["pushed_filters"])
+    assert all(s.count(":") <= 5 for s in ytd["read_schemas"])  # pruned columns, not whole tables
+    master = plan_summary(q["master_join"](spark, sf))
+    assert master["BroadcastHashJoin"] >= 2 and master["SortMergeJoin"] == 0
+    for name in ("join_nway", "join_theta", "change_feed", "classify_distinct", "headcount"):
+        s = plan_summary(q[name](spark, sf))
+        assert s["CartesianProduct"] == 0 and s["BroadcastNestedLoopJoin"] == 0, name
+        assert s["BatchEvalPython"] == 0 and s["ArrowEvalPython"] == 0, name  # no Python UDF in the plan
