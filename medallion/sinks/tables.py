@@ -225,8 +225,9 @@ class Table:
         seg = f"{self.path}/data/{uuid.uuid4().hex}"
         keys, n, cluster = self._layout()
         if keys and n:
-            # one task (and one file) per bucket: the shuffle is on the bucket id itself
-            out = df.withColumn(BUCKET_COL, bucket_expr(keys, n)).repartition(n, BUCKET_COL)
+            # rows of a bucket go to the same writer (few files per bucket), but as a *rebalance*: AQE splits a
+            # bucket that a hot key made too large over several tasks instead of one task writing it all
+            out = df.withColumn(BUCKET_COL, bucket_expr(keys, n)).hint("rebalance", BUCKET_COL)
             out = out.sortWithinPartitions(BUCKET_COL, *cluster) if cluster else out
             parts = [BUCKET_COL] + ([kind_col] if kind_col else [])
             out.write.partitionBy(*parts).parquet(seg)

@@ -158,3 +158,18 @@ def test_optimize_unbucketed(spark, tmp):
         t.append(spark.range(i * 10, i * 10 + 10).withColumnRenamed("id", "k"))
     assert t.optimize(min_segments=2) == 4 and len(t.manifest().entries) == 1
     assert sorted(r[0] for r in t.read().collect()) == list(range(40))
+
+
+def test_hot_bucket_is_split_across_writers(spark, tmp):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        hot = spark.range(0, 200000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                            F.col("id").alias("v"))
+        t = Table(spark, os.path.join(tmp, "hot"), bucket_by=["k"], buckets=4)
+        t.overwrite(hot)
+        hot_bucket = [e for e in t.manifest().entries]
+        files = {e["bucket"]: len([f for f in os.listdir(e["path"]) if f.endswith(".parquet")]) for e in hot_bucket}
+        assert max(files.values()) > 1  # the bucket holding key 7 (a third of the rows) has several writers
+        assert t.read().count() == 200000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
