@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medallion.llm import decontaminate as decon
-from medallion.llm import line_dedup, sharding
-from medallion.llm.common import table
+from medallion.llm import language_id, line_dedup, packing, sharding
+from medallion.llm.common import fold, table
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -41,12 +41,28 @@ def op3_line_dedup(spark, sf):
         F.md5(text.cast("binary")).alias("kept_md5"), F.length(text).cast("long").alias("kept_chars"))
 
 
+@register("op4_pack")
+def op4_pack(spark, sf):
+    """All documents as token pieces in sequences of 1024."""
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @register("op7_sharding")
 def op7_sharding(spark, sf):
     """All documents into 40 shards of near equal bytes, equal texts together."""
     return sharding.shard_by_bytes(table(spark, sf, "documents"), shards=40)
 
 
+@register("op9_language_id")
+def op9_language_id(spark, sf):
+    """Every document's language, learned from four of five folds."""
+    docs = table(spark, sf, "documents")
+    return language_id.predict(docs, language_id.training_rows(docs, 5)).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 WORDS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
