@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medallion.llm import decontaminate as decon
-from medallion.llm import language_id, line_dedup, packing, sharding
+from medallion.llm import language_id, line_dedup, packing, quality, sharding
 from medallion.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -21,6 +21,14 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
+@register("op2_quality")
+def op2_quality(spark, sf):
+    """Quality scores of all documents, learned from three of four folds."""
+    side = fold("doc_id", 4)
+    return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"), side != 2, side == 3) \
+        .select("doc_id", (side == 2).alias("held_out"), "score", "predicted")
+
+
 @register("op3_line_dedup", """
 WITH d AS (SELECT doc_id, coalesce(source, chr(0)) AS site, string_split(text, chr(10)) AS ls FROM documents),
 o AS (SELECT doc_id, site, i AS pos, ls[i] AS raw, trim(ls[i], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
