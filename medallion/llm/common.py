@@ -70,3 +70,24 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         state = now
     return e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component") \
         .unionByName(e.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component")))
+
+
+def runs(batches, n_keys: int):
+    """Consecutive rows with equal values in the first ``n_keys`` columns, as one Arrow table for each run.
+    For partitions that are sorted by those columns; holds one run and one batch at a time."""
+    import pyarrow as pa
+
+    held, held_key = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = list(zip(*(batch.column(i).to_pylist() for i in range(n_keys))))
+        begin = 0
+        for end in [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]] + [len(keys)]:
+            if held and keys[begin] != held_key:
+                yield held_key, pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(begin, end - begin))
+            held_key, begin = keys[begin], end
+    if held:
+        yield held_key, pa.Table.from_batches(held)

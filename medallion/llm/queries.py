@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medallion.llm import decontaminate as decon
-from medallion.llm import language_id, line_dedup, packing, quality, sharding
+from medallion.llm import embedding_dedup, language_id, line_dedup, packing, quality, sharding
 from medallion.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -57,6 +57,22 @@ def op4_pack(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@register("op6_embedding_dedup", """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e, list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) AS q
+      FROM embeddings),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_inner_product(a.e, b.e) / sqrt(a.q * b.q) >= 0.9),
+r AS (SELECT vec_id AS node, vec_id AS low FROM v UNION SELECT p.b, r.low FROM r JOIN p ON p.a = r.node),
+c AS (SELECT node, min(low) AS component_id FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN c ON c.node = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+""")
+def op6_embedding_dedup(spark, sf):
+    """All embeddings linked at cosine 0.9."""
+    return embedding_dedup.link_embeddings(table(spark, sf, "embeddings"))
+
+
 @register("op7_sharding")
 def op7_sharding(spark, sf):
     """All documents into 40 shards of near equal bytes, equal texts together."""
