@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medallion.llm import decontaminate as decon
-from medallion.llm import embedding_dedup, language_id, line_dedup, packing, quality, sharding
+from medallion.llm import embedding_dedup, language_id, line_dedup, lm_score, packing, quality, sharding
 from medallion.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -79,6 +79,14 @@ def op7_sharding(spark, sf):
     return sharding.shard_by_bytes(table(spark, sf, "documents"), shards=40)
 
 
+@register("op8_lm_score")
+def op8_lm_score(spark, sf):
+    """Trigram scores of all documents, learned from four of five folds."""
+    held_out = fold("doc_id", 5) == 1
+    return lm_score.score_documents(table(spark, sf, "documents"), ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @register("op9_language_id")
 def op9_language_id(spark, sf):
     """Every document's language, learned from four of five folds."""
