@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medallion.llm import decontaminate as decon
-from medallion.llm import embedding_dedup, language_id, line_dedup, lm_score, packing, quality, sharding
+from medallion.llm import embedding_dedup, html_extract, language_id, line_dedup, lm_score, packing, quality, sharding
 from medallion.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -57,6 +57,12 @@ def op4_pack(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@register("op5_html_extract")
+def op5_html_extract(spark, sf):
+    """The main text of every page."""
+    return html_extract.extract(table(spark, sf, "pages"))
+
+
 @register("op6_embedding_dedup", """
 WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e, list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) AS q
       FROM embeddings),
