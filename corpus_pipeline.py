@@ -1,4 +1,8 @@
-"""The corpus pipeline: documents through the operators of ``medallion.llm``, stage by stage."""
+"""The corpus pipeline: ``documents`` through the operators of ``medallion.llm``, stage by stage.
+
+Each stage takes what its predecessor kept, and its decisions take effect; all but the last return the columns of
+``documents``.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +10,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm import decontaminate as decon
-from medallion.llm import line_dedup
+from medallion.llm import jaccard_join, language_id, line_dedup, packing
 from medallion.llm.common import table
 from medallion.session import work_dir
 
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: documents without a recognised language go.  Learned from the given documents themselves."""
+    found = language_id.annotate(docs, language_id.training_rows(docs))
+    return found.where((F.col("__lang") != "und") & (F.col("__score") >= MIN_LANGUAGE_SCORE)).select(docs.columns)
+
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cross-site boilerplate lines removed; a document of nothing else goes."""
-    out = line_dedup.line_dedup(docs)
-    return out.where((F.col("lines_removed") == 0) | (F.col("lines_removed") < F.col("lines_seen"))) \
-        .select(docs.columns)
+    """Line dedup: cross-site boilerplate lines removed; a document of nothing else goes."""
+    out = line_dedup.line_dedup(docs).where((F.col("lines_removed") == 0) | F.col("text").rlike(r"\S"))
+    if "n_chars" in docs.columns:
+        size = F.when(F.col("lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
+    return out.select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of each group of linked documents the one with the smallest id stays (one row of it,
+    if it has several).  Documents with a null id are in no group and stay."""
+    kept = jaccard_join.jaccard_groups(docs).where("doc_id = component_id").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]) \
+        .unionByName(docs.where("doc_id is null")).select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents that hold a benchmark window go."""
+    return decon.annotate(docs, table(spark, sf_dir, "benchmark")).where("__n_hit = 0").select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Best-fit packing of what is left into sequences of 1024 tokens."""
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("line_dedup", drop_boilerplate)]
-ORACLE_SQL = None
+STAGES = [("language_id", keep_languages), ("line_dedup", drop_boilerplate), ("jaccard_join", drop_near_copies),
+          ("decontaminate", drop_contaminated), ("pack", pack)]
+ORACLE_SQL = None  # language ID and packing are no SQL; tests compare the stages with brute-force versions
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

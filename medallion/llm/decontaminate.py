@@ -21,12 +21,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 WORD_BYTES = bytes(
     (c + 32 if 65 <= c <= 90 else c) if (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128) else 32
     for c in range(256))
-SCAN_SCHEMA = ("doc_id long, n_words long, n_hit long, item_ids array<long>, "
-               "spans array<struct<start: long, end: long>>")
 
 
 def normalise(text: bytes) -> bytes:
@@ -57,7 +56,8 @@ def _blocks(bench: DataFrame, id_col: str, text_col: str, window: int, block_byt
         yield block
 
 
-PART_SCHEMA = "doc_id long, text string, item_ids array<long>, first array<long>, last array<long>"
+SCAN_COLUMNS = ("__n_words long, __n_hit long, __items array<long>, __spans array<struct<start: long, end: long>>")
+PART_COLUMNS = "__items array<long>, __first array<long>, __last array<long>"
 _AUTOMATA: dict = {}
 
 
@@ -130,8 +130,9 @@ def _finish(text: str | None, first: list, last: list):
         text, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1)
 
 
-def _scanner(shared, begin: bool, end: bool):
-    """Add one block's hits to each row; the first block starts the lists, the last one makes the result."""
+def _scanner(shared, own: int, begin: bool, end: bool):
+    """Add one block's hits to each row (``own`` columns of the input, then the text); the first block starts the
+    lists of hits, the last one turns them into the result."""
     longs = pa.list_(pa.int64())
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
@@ -139,35 +140,50 @@ def _scanner(shared, begin: bool, end: bool):
         auto = _automaton(shared)
         for batch in batches:
             rows = []
-            for text, *before in zip(*(c.to_pylist() for c in batch.columns[1:])):
+            for text, *before in zip(*(c.to_pylist() for c in batch.columns[own:])):
                 items, first, last = _hits(auto, text)
                 if not begin:
                     items, first, last = sorted({*items, *before[0]}), first + before[1], last + before[2]
                 rows.append((items, *_finish(text, first, last)) if end else (items, first, last))
             cols = [[r[i] for r in rows] for i in range(4 if end else 3)]
+            kept, names = batch.columns[:own + (not end)], batch.schema.names[:own + (not end)]
             if end:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
-                     pa.array(cols[0], longs), pa.array(cols[3], span)],
-                    names=["doc_id", "n_words", "n_hit", "item_ids", "spans"])
+                new = [pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[0], longs),
+                       pa.array(cols[3], span)]
+                yield pa.RecordBatch.from_arrays(kept + new, names=names + ["__n_words", "__n_hit", "__items", "__spans"])
             else:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), *(pa.array(c, longs) for c in cols)],
-                    names=["doc_id", "text", "item_ids", "first", "last"])
+                yield pa.RecordBatch.from_arrays(kept + [pa.array(c, longs) for c in cols],
+                                                 names=names + ["__items", "__first", "__last"])
     return scan
 
 
+def annotate(docs: DataFrame, bench: DataFrame, window: int = 10, text_col: str = "text", item_col: str = "item_id",
+             item_text_col: str = "text", block_bytes: int = 32 << 20) -> DataFrame:
+    """``docs`` with the columns ``__n_words``, ``__n_hit``, ``__items`` and ``__spans``."""
+    fields, own = docs.schema.fields, len(docs.columns)
+    out = docs.select("*", F.col(text_col).cast("string").alias("__text"))
+    part = StructType([*out.schema.fields, *_parse(PART_COLUMNS)])
+    full = StructType([*fields, *_parse(SCAN_COLUMNS)])
+    blocks = [_Key(docs.sparkSession, b) for b in _blocks(bench, item_col, item_text_col, window, block_bytes)]
+    for i, block in enumerate(blocks):
+        end = i == len(blocks) - 1
+        out = out.mapInArrow(_scanner(block, own, i == 0, end), full if end else part)
+    return out
+
+
+def _parse(columns: str):
+    return StructType.fromDDL(columns).fields
+
+
 def decontaminate(docs: DataFrame, bench: DataFrame, window: int = 10, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                   block_bytes: int = 32 << 20) -> DataFrame:
     """(doc_id, n_words, n_hit, item_ids, spans) for every document; ``spans`` are [start, end) character
     offsets of the hit words in the original text.  See the module's text for the defined cases."""
-    out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    blocks = [_Key(docs.sparkSession, b) for b in _blocks(bench, item_col, item_text_col, window, block_bytes)]
-    for i, block in enumerate(blocks):
-        end = i == len(blocks) - 1
-        out = out.mapInArrow(_scanner(block, i == 0, end), SCAN_SCHEMA if end else PART_SCHEMA)
-    return out
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return annotate(rows, bench, window, "text", item_col, item_text_col, block_bytes).select(
+        "doc_id", F.col("__n_words").alias("n_words"), F.col("__n_hit").alias("n_hit"),
+        F.col("__items").alias("item_ids"), F.col("__spans").alias("spans"))
 
 
 def report(scanned: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from medallion.llm.common import fold
 
@@ -128,42 +129,48 @@ _TREES: dict = {}
 
 
 def _predictor(shared, key):
+    """The input's columns but the last two, which are the text and whether it has letters; then the result."""
     def run(batches):
         if key not in _TREES:
             _TREES.clear()
             _TREES[key] = ContextTrees(shared.value)
         trees = _TREES[key]
         for batch in batches:
-            letters = np.array(batch.column(2).to_pylist(), bool)
-            texts = [t if ok else b"" for t, ok in zip(batch.column(1).cast(pa.binary()).to_pylist(), letters)]
+            own = batch.num_columns - 2
+            letters = np.array(batch.column(own + 1).to_pylist(), bool)
+            texts = [t if ok else b"" for t, ok in zip(batch.column(own).cast(pa.binary()).to_pylist(), letters)]
             lang, score = ["und"] * len(texts), [0.0] * len(texts)
             for a, b in _blocks(texts) if trees.langs else ():
                 bits = trees.text_bits(texts[a:b])
                 share = 1 / np.exp2(bits.min(1, keepdims=True) - bits).sum(1)
                 for i in np.flatnonzero(letters[a:b]):
                     lang[a + i], score[a + i] = trees.langs[int(bits[i].argmin())], float(share[i])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()),
-                                              pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:own], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                names=[*batch.schema.names[:own], "__lang", "__score"])
     return run
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def annotate(docs: DataFrame, labelled: DataFrame, max_strings: int = MAX_STRINGS, text_col: str = "text") -> DataFrame:
+    """``docs`` with the columns ``__lang`` and ``__score``, learned from ``labelled`` (lang, text)."""
+    spark = docs.sparkSession
+    usable = labelled.where("lang is not null and text is not null")
+    counts = count_strings(usable, max_strings).toPandas()
+    shared = spark.sparkContext.broadcast(counts)
+    key = (spark.sparkContext.applicationId, shared._jbroadcast.id())
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"),
-                       F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"))
+    rows = docs.select("*", F.coalesce(text, F.lit("")).alias("__text"),
+                       F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__letters"))
+    schema = StructType([*docs.schema.fields, StructField("__lang", StringType()), StructField("__score", DoubleType())])
+    return rows.mapInArrow(_predictor(shared, key), schema)
 
 
 def predict(docs: DataFrame, labelled: DataFrame, max_strings: int = MAX_STRINGS, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) for every row of ``docs``, learned from ``labelled`` (lang, text)."""
-    spark = docs.sparkSession
-    usable = labelled.where("lang is not null and text is not null")
-    counts = count_strings(usable, max_strings).toPandas()
-    shared = spark.sparkContext.broadcast(counts)
-    key = (spark.sparkContext.applicationId, shared._jbroadcast.id())
-    rows = _rows(docs, id_col, text_col)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_predictor(shared, key), f"doc_id {kind}, lang_pred string, score double")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return annotate(rows, labelled, max_strings).select(
+        "doc_id", F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
 
 
 def training_rows(docs: DataFrame, folds: int = 5) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medallion.llm import decontaminate as decon
-from medallion.llm import embedding_dedup, html_extract, language_id, line_dedup, lm_score, packing, quality, sharding
+from medallion.llm import embedding_dedup, html_extract, jaccard_join, language_id, line_dedup, lm_score, packing, quality, sharding
 from medallion.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -21,6 +21,26 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
+@register("op1_jaccard_join", r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + least(len(ws), 5) - 1], ' ') AS s
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT o.a, o.b FROM o JOIN n x ON x.doc_id = o.a JOIN n y ON y.doc_id = o.b
+      WHERE 100 * o.o >= 75 * (x.n + y.n - o.o)),
+r AS (SELECT doc_id AS node, doc_id AS low FROM w UNION SELECT l.b, r.low FROM r JOIN l ON l.a = r.node),
+c AS (SELECT node, min(low) AS low FROM r GROUP BY node)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.low AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.node = w.doc_id
+""")
+def op1_jaccard_join(spark, sf):
+    """Documents grouped by links of Jaccard similarity 0.75 between their five-word shingles."""
+    return jaccard_join.jaccard_groups(table(spark, sf, "documents"))
+
+
 @register("op2_quality")
 def op2_quality(spark, sf):
     """Quality scores of all documents, learned from three of four folds."""
