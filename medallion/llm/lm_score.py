@@ -240,10 +240,9 @@ def _score(model: Interpolation, order_max: int):
     return run
 
 
-def score_documents(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text",
-                    order: int = ORDER) -> DataFrame:
-    """(doc_id, train, n_tokens, n_known, train_tokens, base_score, score), one row for each document; ``learn`` is
-    a boolean column expression for the rows to learn from."""
+def token_counts(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text",
+                 order: int = ORDER) -> DataFrame:
+    """The counts in the training texts of every n-gram of all documents: a row for some hundred documents."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
                        F.coalesce(learn, F.lit(False)).alias("train"))
@@ -258,18 +257,30 @@ def score_documents(docs: DataFrame, learn, id_col: str = "doc_id", text_col: st
         f"grams{k} binary, own{k} binary" for k in orders))
     answers = asked.groupBy("bucket").applyInArrow(_answer(order), "g long, bucket long, " + ", ".join(
         f"n{k} binary" for k in orders) + ", words long")
-    known = cut(rows.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(
+    return cut(rows.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(
         _collect_counts(order, bits),
         "docs array<long>, train array<boolean>, tokens array<long>, words long, train_tokens long, "
         "train_docs long, " + ", ".join(f"n{k} binary" for k in orders)))
+
+
+def fit(known: DataFrame, order: int = ORDER) -> Interpolation:
+    """The interpolation weights from ``token_counts``' rows."""
     total = known.agg(F.sum("train_tokens"), F.sum("words"), F.sum("train_docs")).first()
     model = Interpolation(Corpus(*(int(x or 0) for x in total)), {})
-    for k in orders[1:]:
+    for k in range(2, order + 1):
         cells = known.mapInArrow(_histogram(model, k, order), "cell long, n double") \
             .groupBy("cell").agg(F.sum("n")).collect()  # at most CONTEXT_BUCKETS * RATIO_BINS rows
         histogram = np.zeros(CONTEXT_BUCKETS * RATIO_BINS)
         for cell, n in cells:
             histogram[cell] = n
         model.weights[k] = expectation_maximisation(histogram.reshape(CONTEXT_BUCKETS, RATIO_BINS))
-    return known.mapInArrow(_score(model, order), "doc_id long, train boolean, n_tokens long, n_known long, "
-                                                  "train_tokens long, base_score double, score double")
+    return model
+
+
+def score_documents(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text",
+                    order: int = ORDER) -> DataFrame:
+    """(doc_id, train, n_tokens, n_known, train_tokens, base_score, score), one row for each document; ``learn`` is
+    a boolean column expression for the rows to learn from."""
+    known = token_counts(docs, learn, id_col, text_col, order)
+    return known.mapInArrow(_score(fit(known, order), order), "doc_id long, train boolean, n_tokens long, "
+                            "n_known long, train_tokens long, base_score double, score double")
