@@ -97,7 +97,7 @@ def _deal(tables: int, probes: int):
                 keys = bucket_keys(x, tables, probes)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.ravel()), batch.column(0).take(pa.array(np.repeat(rows, keys.shape[1])))],
-                    names=["bucket", "rep"])
+                    names=["bucket", "cid"])
     return run
 
 
@@ -114,7 +114,7 @@ def _verify(threshold: float, tables: int, probes: int):
             if rows.num_rows < 2:
                 continue
             x = _vectors(rows.column(6))
-            rep, mult = rows.column(4).to_numpy(), rows.column(5).to_numpy()
+            cid, mult = rows.column(4).to_numpy(), rows.column(5).to_numpy()
             mine = rows.column(3).to_numpy()
             linked = x @ x.T >= threshold
             linked &= np.triu(np.ones(len(x), bool), 1)
@@ -131,7 +131,7 @@ def _verify(threshold: float, tables: int, probes: int):
             if not len(a):
                 continue
             n = np.bincount(a, mult[b], len(x)) + np.bincount(b, mult[a], len(x))
-            root = rep.copy()
+            root = cid.copy()
             while True:  # least label over the links until nothing changes
                 before = root.copy()
                 np.minimum.at(root, a, root[b])
@@ -139,8 +139,8 @@ def _verify(threshold: float, tables: int, probes: int):
                 if (before == root).all():
                     break
             some = n > 0
-            yield pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.array(n[some].astype(np.int64)),
-                                              pa.array(root[some])], names=["rep", "n", "root"])
+            yield pa.RecordBatch.from_arrays([pa.array(cid[some]), pa.array(n[some].astype(np.int64)),
+                                              pa.array(root[some])], names=["cid", "n", "root"])
     return run
 
 
@@ -157,26 +157,29 @@ def link_embeddings(vectors: DataFrame, threshold: float = 0.9, tables: int = TA
                            F.xxhash64("v").alias("h1"), F.xxhash64(F.reverse("v"), F.lit(1)).alias("h2")))
     valid = rows.where("valid")
     classes = cut(valid.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult"),
-                                                F.first("v").alias("v")))
-    dealt = classes.select("rep", "v").mapInArrow(_deal(tables, probes), "bucket long, rep long").distinct()
+                                                F.first("v").alias("v"))
+                  .withColumn("cid", F.xxhash64("h1", "h2")))
+    dealt = classes.select("cid", "v").mapInArrow(_deal(tables, probes), "bucket long, cid long").distinct()
     sizes = dealt.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1") \
         .select("bucket", F.ceil(F.col("n") / block).alias("blocks"))
-    mine = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    mine = F.pmod(F.xxhash64("cid"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    tasks = dealt.join(sizes, "bucket").select("bucket", "rep", mine.alias("mine"), other.alias("other")) \
-        .select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep") \
-        .join(classes.select("rep", "mult", "v"), "rep") \
-        .select("bucket", "i", "j", "mine", "rep", "mult", "v")
+    tasks = dealt.join(sizes, "bucket").select("bucket", "cid", mine.alias("mine"), other.alias("other")) \
+        .select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cid") \
+        .join(classes.select("cid", "mult", "v"), "cid") \
+        .select("bucket", "i", "j", "mine", "cid", "mult", "v")
     found = cut(tasks.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-                .mapInArrow(_verify(threshold, tables, probes), "rep long, n long, root long"))
-    roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    links = found.groupBy("rep").agg(F.sum("n").alias("n"))
-    summary = classes.select("h1", "h2", "rep", "mult").join(links, "rep", "left") \
-        .join(roots.withColumnRenamed("node", "rep"), "rep", "left") \
-        .select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("n"),
-                F.coalesce("component", "rep").alias("component"))
-    joined = valid.select("vec_id", "h1", "h2").join(summary, ["h1", "h2"]).select("vec_id", "n", "component")
+                .mapInArrow(_verify(threshold, tables, probes), "cid long, n long, root long"))
+    roots = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
+    links = found.groupBy("cid").agg(F.sum("n").alias("n"))
+    linked = classes.select("h1", "h2", "cid", "rep", "mult") \
+        .join(links, "cid", "left").join(roots.withColumnRenamed("node", "cid"), "cid", "left") \
+        .withColumn("component", F.coalesce("component", "cid"))
+    least = linked.groupBy("component").agg(F.min("rep").alias("least"))
+    summary = linked.join(least, "component") \
+        .select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("n"), "least")
+    joined = valid.select("vec_id", "h1", "h2").join(summary, ["h1", "h2"]).select("vec_id", "n", "least")
     alone = rows.where("not valid").select("vec_id", F.lit(0).cast("long"), "vec_id")
     return joined.union(alone).select(
-        "vec_id", F.col("n").alias("n_links"), F.col("component").alias("component_id"),
-        F.coalesce(F.col("vec_id") == F.col("component"), F.lit(True)).alias("kept"))
+        "vec_id", F.col("n").alias("n_links"), F.col("least").alias("component_id"),
+        F.coalesce(F.col("vec_id") == F.col("least"), F.lit(True)).alias("kept"))

@@ -47,7 +47,7 @@ def shingle_sets(texts: list[bytes], size: int):
     factors = np.random.default_rng(11).integers(1, 1 << 63, size, dtype=np.uint64) | np.uint64(1)
     rolled = np.zeros(max(len(words) - size + 1, 0), np.uint64)
     for k in range(size):
-        rolled += mix(words[k:len(words) - size + 1 + k]) * factors[k]
+        rolled += mix(words[k:k + len(rolled)]) * factors[k]
     rolled = mix(rolled)
     sets = []
     for n, end in zip(counts.tolist(), ends.tolist()):
