@@ -77,7 +77,7 @@ def distinct_from(a, b) -> Column:
 def struct_order_key(keys: list[tuple], schema: T.StructType | None = None) -> Column | None:
     """Encode ``[(expr, 'ASC'|'DESC')]`` with NULLS LAST as one ascending struct, for ``min_by``.
 
-    Returns None when a DESC key cannot be negated (strings, booleans): callers then use a window instead.
+    Returns None when a DESC key cannot be negated for every value (numbers have NaN and a least integer; text).
     """
     parts = []
     for i, (expr, direction) in enumerate(keys):
@@ -85,10 +85,7 @@ def struct_order_key(keys: list[tuple], schema: T.StructType | None = None) -> C
         parts.append(c.isNull().alias(f"n{i}"))
         if str(direction).upper() == "DESC":
             dt = _type_of(expr, schema)
-            if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
-                               T.DoubleType, T.DecimalType)):
-                parts.append((-c).alias(f"k{i}"))
-            elif isinstance(dt, T.DateType):
+            if isinstance(dt, T.DateType):
                 parts.append((-F.unix_date(c)).alias(f"k{i}"))
             elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
                 parts.append((-F.unix_micros(c.cast("timestamp"))).alias(f"k{i}"))

@@ -1,153 +1,134 @@
-"""Configurable group aggregate (A1–A12) and the named-measure source.
+"""Group aggregates from a configuration (A1–A12) and named measures over a table.
 
-All functions map onto Spark's declarative aggregates, which Catalyst splits into a map-side partial
-aggregate and a final aggregate — a hot group is pre-combined in every task before the shuffle, so skew in a
-group key costs one partial row per task, not a third of the data in one task.  Exact ``percentile`` and
-``median`` keep per-group buffers (as the reference does); ``approx_percentile`` is the bounded-memory choice.
+Everything but MEDIAN and PERCENTILE maps onto Spark's own aggregates, which are pre-combined in every task: a hot
+group costs one partial row for each task.  MEDIAN and PERCENTILE are exact and use the plan of ``percentile.py``, which
+never holds a group in one task, at any size; its result is joined to the other aggregates on the group.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Defaults of the aggregate node.
-DEFAULT_PERCENTILE = 0.5
-DEFAULT_CONCAT_SEPARATOR = ", "
+from medallion.operators.percentile import exact_percentiles, null_safe_join
 
-_SIMPLE = {
-    "SUM": F.sum, "AVG": F.avg, "COUNT": F.count, "MIN": F.min, "MAX": F.max, "MEAN": F.mean,
-    "MEDIAN": F.median, "STDDEV": F.stddev, "VARIANCE": F.variance, "FIRST": F.first, "LAST": F.last,
-}
-_PASS = ("-", "_")
-
-
-def _arg(spec: dict) -> Column:
-    e = spec.get("expr", "")
-    return F.expr(e) if spec.get("type") == "expr" else F.col(e)
+MIDDLE, LIST_SEPARATOR = 0.5, ", "  # fixed values: defaults of PERCENTILE and CONCAT
+# Functions whose column may have any name; all others take the text between the brackets as SQL.
+OF_ONE_COLUMN = frozenset("SUM AVG MEAN COUNT MIN MAX STDDEV VARIANCE FIRST LAST".split())
 
 
 def clamp_percentile(p) -> float:
-    """Finite numbers are clamped to [0, 1]; anything else (bool, NaN, missing) gives the default 0.5."""
-    if isinstance(p, (int, float)) and not isinstance(p, bool) and math.isfinite(p):
-        return max(0.0, min(1.0, float(p)))
-    return DEFAULT_PERCENTILE
-
-
-def agg_column(a: dict) -> Column:
-    """One aggregation spec ``{columnExpr: {expr, type}, fn, alias, percentage?, separator?, order?}``."""
-    spec = a.get("columnExpr") or {}
-    raw = spec.get("expr", "")
-    fn = (a.get("fn") or "-").upper()
-    if fn in _SIMPLE:
-        col = _SIMPLE[fn](_arg(spec))
-    elif fn in _PASS:
-        col = _arg(spec)
-    elif fn == "PERCENTILE":
-        col = F.percentile(F.expr(raw), F.lit(clamp_percentile(a.get("percentage"))))
-    elif fn == "CONCAT":
-        sep = a.get("separator")
-        sep = sep if isinstance(sep, str) else DEFAULT_CONCAT_SEPARATOR
-        arg = _arg(spec)
-        if a.get("order"):
-            # ordered form: deterministic text whatever the partitioning
-            col = F.array_join(F.array_sort(F.collect_list(arg)), sep)
+    """``p`` within [0, 1]; the middle for what is no finite number."""
+    usable = type(p) in (int, float) and math.isfinite(p)
+    return min(max(float(p), 0.0), 1.0) if usable else MIDDLE
+
+
+@dataclass(frozen=True)
+class Measure:
+    """One entry of ``aggregations``: ``{columnExpr: {expr, type}, fn, alias, percentage, separator, order}``."""
+
+    function: str
+    source: str
+    is_expression: bool
+    alias: str | None
+    options: dict
+
+    @classmethod
+    def read(cls, entry: dict) -> Measure:
+        column = entry.get("columnExpr") or {}
+        return cls((entry.get("fn") or "-").upper(), column.get("expr", ""), column.get("type") == "expr",
+                   entry.get("alias") or None, entry)
+
+    @property
+    def passes_through(self) -> bool:
+        return self.function in ("-", "_")
+
+    @property
+    def rank(self) -> float | None:
+        """The wanted percentile, for functions that are one."""
+        if self.function == "MEDIAN":
+            return MIDDLE
+        return clamp_percentile(self.options.get("percentage")) if self.function == "PERCENTILE" else None
+
+    @property
+    def name(self) -> str:
+        if self.rank is None or self.alias:
+            return self.alias or ""
+        return f"median({self.source})" if self.function == "MEDIAN" else f"percentile({self.source}, {self.rank}, 1)"
+
+    def _argument(self) -> Column:
+        return F.expr(self.source) if self.is_expression else F.col(self.source)
+
+    def column(self) -> Column:
+        if self.passes_through:
+            out = self._argument()
+        elif self.function == "CONCAT":
+            separator = self.options.get("separator")
+            values = F.collect_list(self._argument())
+            values = F.array_sort(values) if self.options.get("order") else values
+            out = F.concat_ws(separator if isinstance(separator, str) else LIST_SEPARATOR, values.cast("array<string>"))
+        elif self.function == "COUNT_DISTINCT":
+            out = F.count_distinct(F.expr(self.source) if self.is_expression or not self.source else self._argument())
+        elif self.function in OF_ONE_COLUMN and not self.is_expression and self.source != "*":
+            out = F.call_function(self.function, F.col(self.source))
         else:
-            col = F.concat_ws(sep, F.collect_list(arg))
-    elif fn == "COUNT_DISTINCT":
-        col = F.count_distinct(F.col(raw) if spec.get("type") == "column" else F.expr(raw))
-    else:
-        col = F.expr(f"{fn}({raw})")  # any other aggregate by name
-    alias = a.get("alias")
-    return col.alias(alias) if alias else col
-
-
-def aggregate(df: DataFrame, group_bys: list | None = None, aggregations: list | None = None,
-              exact_percentiles: str = "auto") -> DataFrame:
-    """Group by expressions and aggregate.
-
-    No aggregations: DISTINCT of the groups, or the input unchanged when there are no groups either.
-    No groups: a global aggregate.  A pass-through (``-``/``_``) that just repeats a group key is skipped.
-    Group keys are SQL expressions (``year(ts)`` works), not only names.
-
-    PERCENTILE and MEDIAN are exact.  ``exact_percentiles``: ``"buffer"`` uses Spark's ``percentile``
-    aggregate, which holds a group's values in one task; ``"distributed"`` uses
-    ``percentile.exact_percentile`` (no group held in one task) joined to the other aggregates; ``"auto"``
-    (default) measures the largest group first and goes distributed only above ``GROUP_ROWS`` rows.
-    """
-    keys = [g.get("expr") if isinstance(g, dict) else g for g in (group_bys or [])]
-    keys = [k for k in keys if k]
-    key_set = set(keys)
-    specs = [a for a in aggregations or []
-             if not (a.get("fn", "-") in _PASS and not a.get("alias")
-                     and (a.get("columnExpr") or {}).get("expr", "") in key_set)]
-    group_cols = [F.expr(k).alias(k) if not _is_plain(k) else F.col(k) for k in keys]
-    if not specs:
-        return df.select(*group_cols).distinct() if group_cols else df
-    is_pct = [(a.get("fn") or "").upper() in ("PERCENTILE", "MEDIAN") for a in specs]
-    bins = None
-    if any(is_pct) and exact_percentiles == "auto":
-        from medallion.operators.percentile import GROUP_ROWS, bins_for, largest_group
-        biggest = largest_group(df, group_cols)
-        exact_percentiles = "distributed" if biggest > GROUP_ROWS else "buffer"
-        bins = bins_for(biggest)
-    split = [exact_percentiles == "distributed" and x for x in is_pct]
-    if not any(split):
-        aggs = [agg_column(a) for a in specs]
-        return df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
-
-    from medallion.operators.percentile import _ns_join, exact_percentile
-    kcols = [f"__k{i}" for i in range(len(keys))] or ["__k_all"]
-    pre = df.select("*", *([F.expr(k).alias(c) for k, c in zip(keys, kcols)] if keys else [F.lit(0).alias("__k_all")]))
-    plain = [agg_column(a) for a, s in zip(specs, split) if not s]
-    main = pre.groupBy(*kcols).agg(*plain) if plain else pre.select(*kcols).distinct()
-    plain_names = main.columns[len(kcols):]
-    names, pi = [], 0
-    for i, (a, s) in enumerate(zip(specs, split)):
-        if not s:
-            names.append(plain_names[pi])
-            pi += 1
-            continue
-        raw = (a.get("columnExpr") or {}).get("expr", "")
-        upper = a.get("fn").upper()
-        p = 0.5 if upper == "MEDIAN" else clamp_percentile(a.get("percentage"))
-        name = a.get("alias") or (f"median({raw})" if upper == "MEDIAN" else f"percentile({raw}, {p})")
-        pct = exact_percentile(pre, kcols, F.expr(raw), p, out=f"__p{i}", **({"bins": bins} if bins else {}))
-        main = _ns_join(main, pct, kcols, "left").withColumnRenamed(f"__p{i}", name)
-        names.append(name)
-    out = [F.col(c).alias(k) for k, c in zip(keys, kcols)] + [F.col(f"`{n}`") for n in names]
-    return main.select(*out)
-
-
-def _is_plain(name: str) -> bool:
-    return name.replace("_", "").isalnum()
+            out = F.expr(f"{self.function}({self.source})")
+        return out.alias(self.alias) if self.alias else out
 
 
-class Measures:
-    """Named measures over a table (metric-view source, S7).
+def aggregate(df: DataFrame, group_bys: list | None = None, aggregations: list | None = None) -> DataFrame:
+    """``df`` grouped by SQL expressions and aggregated, in the order of the lists.
 
-    ``query(dims, measures)``: dims and measures → GROUP BY; dims only → DISTINCT; measures only → global
-    aggregate; neither → the table as is; a list given as None is an error (incomplete selection).
+    Without aggregations the distinct groups, or ``df`` itself if there are no groups either; without groups one row.
+    A pass-through that only repeats a group is left out.
     """
+    groups = [g for g in ((g or {}).get("expr") if isinstance(g, dict) else g for g in group_bys or []) if g]
+    measures = [Measure.read(a) for a in aggregations or []]
+    measures = [m for m in measures if not (m.passes_through and not m.alias and m.source in groups)]
+    keys = [F.expr(g).alias(g) for g in groups]
+    if not measures:
+        return df.select(*keys).distinct() if keys else df
+    ranked = [m for m in measures if m.rank is not None]
+    if not ranked:
+        return df.groupBy(*keys).agg(*(m.column() for m in measures))
+
+    # a global aggregate is one group, so that every join below has an equal key
+    places = [f"__group{i}" for i in range(len(groups))] or ["__group"]
+    values = [F.expr(g).alias(p) for g, p in zip(groups, places)] or [F.lit(0).alias("__group")]
+    marked = df.select("*", *values)
+    others = [m.column() for m in measures if m.rank is None]
+    count = F.count(F.lit(1)).alias("__rows")
+    out = marked.groupBy(*places).agg(count, *others) if groups else df.agg(count, *others).select(values[0], "*")
+    plain_names = iter(out.columns[len(places) + 1:])
+    wanted = {m.source: sorted({x.rank for x in ranked if x.source == m.source}) for m in ranked}
+    numbers = {source: f"__ranks{i}" for i, source in enumerate(wanted)}
+    for source, ranks in wanted.items():
+        found = exact_percentiles(marked, places, F.expr(source), ranks, numbers[source])
+        out = null_safe_join(out, found, places, "left")
+    shown = [F.col(f"`{next(plain_names)}`") if m.rank is None
+             else F.col(numbers[m.source])[wanted[m.source].index(m.rank)].alias(m.name) for m in measures]
+    return out.select(*(F.col(p).alias(g) for g, p in zip(groups, places)), *shown)
+
+
+class Measures:
+    """Named aggregate expressions over a table; ``query`` picks dimensions and measures."""
 
     def __init__(self, df: DataFrame, measures: dict[str, Column | str]):
         self.df = df
-        self.measures = {k: (F.expr(v) if isinstance(v, str) else v) for k, v in measures.items()}
+        self.measures = {name: F.expr(m) if isinstance(m, str) else m for name, m in measures.items()}
 
     def query(self, dims: list[str] | None, measures: list[str] | None) -> DataFrame:
+        """Measures for each combination of the dimensions; dimensions alone are listed once each, measures alone give
+        one row, and with neither the table comes back.  A list that is None was not chosen yet: an error."""
         if dims is None or measures is None:
-            raise ValueError("metric view selection is incomplete: both 'dimensions' and 'measures' "
-                             "must be explicit lists")
-        unknown = [m for m in measures if m not in self.measures]
-        if unknown:
-            raise ValueError(f"unknown measures {unknown}; defined: {sorted(self.measures)}")
-        cols = [self.measures[m].alias(m) for m in measures]
-        if dims and cols:
-            return self.df.groupBy(*dims).agg(*cols)
-        if dims:
-            return self.df.select(*dims).distinct()
-        if cols:
-            return self.df.agg(*cols)
-        return self.df
+            raise ValueError("measures: choose the dimensions and the measures, if only as empty lists")
+        missing = sorted(set(measures) - set(self.measures))
+        if missing:
+            raise ValueError(f"measures: {', '.join(missing)} not defined; there are {', '.join(sorted(self.measures))}")
+        chosen = [self.measures[m].alias(m) for m in measures]
+        if chosen:
+            return self.df.groupBy(*dims).agg(*chosen)
+        return self.df.select(*dims).distinct() if dims else self.df

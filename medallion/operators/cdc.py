@@ -49,69 +49,41 @@ def scd1(df: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
             .select("__r.*"))
 
 
-def default_bucket(df: DataFrame, sequence: list[str], seconds: float = 86400) -> Column:
-    """Time bucket of the first sequence field (timestamp/date) used to split hot keys; constant otherwise."""
-    dt = df.schema[sequence[0]].dataType
-    c = _q(sequence[0])
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(float(seconds) * 1_000_000)).cast("long")
-    return F.lit(0)
-
-
-def _running_over_buckets(x: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Per (key, bucket): the sum of ``value`` over the key's earlier buckets (a small table)."""
-    per = x.groupBy(*[_q(k) for k in keys], "__b").agg(F.sum(value).alias("__t"))
-    w = Window.partitionBy(*[_q(k) for k in keys]).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    return per.select(*[_q(k) for k in keys], "__b", F.coalesce(F.sum("__t").over(w), F.lit(0)).alias(out))
-
-
-# Largest number of rows of one key that a single task may sort for the per-key window plan.
-HOT_KEY_ROWS = 2_000_000
-
-
-def largest_key(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the most frequent key — one partial-aggregated pass, a single number to the driver."""
-    r = df.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).collect()[0][0]
-    return int(r or 0)
-
-
-def hot_key_profile(df: DataFrame, keys: list[str], seq0: str) -> tuple[int, float | None]:
-    """Rows of the largest key and the time span (seconds) of its first sequence field, in one pass."""
-    dt = df.schema[seq0].dataType
-    ts = (F.col(quote_ident(seq0)).cast("timestamp") if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType))
-          else None)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if ts is not None:
-        aggs += [F.min(F.unix_micros(ts)).alias("lo"), F.max(F.unix_micros(ts)).alias("hi")]
-    per = df.groupBy(*[_q(k) for k in keys]).agg(*aggs)
-    top = per.orderBy(F.col("n").desc()).limit(1).collect()
-    if not top:
-        return 0, None
-    r = top[0]
-    span = (r["hi"] - r["lo"]) / 1e6 if ts is not None and r["lo"] is not None else None
-    return int(r["n"]), span
+def time_bucket(df: DataFrame, sequence: list[str], pieces: int = 256) -> Column:
+    """A bucket for the first sequence field that splits a hot key's rows: the day of a date or time; for a number the
+    place among ``pieces`` quantiles of the whole table (one pass over that column)."""
+    kind, c = df.schema[sequence[0]].dataType, _q(sequence[0])
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    if isinstance(kind, T.NumericType):
+        edges = df.agg(F.percentile_approx(c.cast("double"), [i / pieces for i in range(1, pieces)], 16 * pieces)).first()[0]
+        below = sorted(set(edges or []))
+        return F.size(F.filter(F.array(*map(F.lit, below)).cast("array<double>"), lambda e: e < c)).cast("long")
+    return F.lit(0).cast("long")
+
+
+def _running_over_buckets(x: DataFrame, value: str, out: str) -> DataFrame:
+    """For each (key, bucket) the sum of ``value`` over the key's earlier buckets (a small table)."""
+    w = Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    return x.groupBy("__k", "__b").agg(F.sum(value).alias("__t")) \
+        .select("__k", "__b", F.coalesce(F.sum("__t").over(w), F.lit(0)).alias(out))
 
 
 def scd2(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str],
          bucket: Column | None = None, start_col: str = START_AT, end_col: str = END_AT,
-         strategy: str = "auto", hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+         strategy: str = "bucketed") -> DataFrame:
     """History (C2): a new version starts where a tracked column IS DISTINCT FROM the previous row's.
 
     Each version carries the values of its last row (untracked changes update the version in place),
     ``__START_AT`` = sequence of its first row, ``__END_AT`` = the next version's start (NULL if open).
-    A→B→A gives three versions; in-day corrections give short versions that are kept.
+    A→B→A gives three versions; in-day corrections give short versions that are kept.  A NULL key is a key.
 
-    ``strategy``: ``window`` (one shuffle; each key sorted by one task), ``bucketed`` (hot keys spread over
-    all tasks, more shuffles) or ``auto``: the largest key is measured first and ``bucketed`` is used only
-    when it exceeds ``hot_key_rows``.
+    ``strategy`` is the caller's choice and never changes a row: ``bucketed`` (default) spreads a hot key over all
+    tasks, ``window`` needs fewer shuffles and sorts a key's rows in one task - for inputs whose keys are known to
+    have few rows, such as a micro-batch with one open version for each key.
     """
-    if strategy == "auto":
-        n, span = hot_key_profile(df, keys, sequence[0])
-        strategy = "bucketed" if n > hot_key_rows else "window"
-        if strategy == "bucketed" and bucket is None and span:
-            # time buckets sized so the hottest key holds about `hot_key_rows` rows per bucket
-            pieces = -(-n // hot_key_rows)
-            bucket = default_bucket(df, sequence, seconds=max(1e-6, span / pieces))
+    if strategy not in ("bucketed", "window"):
+        raise ValueError(f"scd2: strategy {strategy!r}; choose 'bucketed' or 'window'")
     if strategy == "window":
         return scd2_window(df, keys, sequence, tracked, start_col, end_col)
     return scd2_bucketed(df, keys, sequence, tracked, bucket, start_col, end_col)
@@ -119,37 +91,38 @@ def scd2(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str]
 
 def scd2_bucketed(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str],
                   bucket: Column | None = None, start_col: str = START_AT, end_col: str = END_AT) -> DataFrame:
-    """The skew-safe plan: numbering inside (key, time bucket), equi-joins on (key, row) and (key, island)."""
+    """Numbering inside (key, time bucket), equi-joins on (key, row) and (key, version).
+
+    The keys travel as one struct: structs compare with NULL fields equal, so every join is null-safe."""
     orig = list(df.columns)
-    kq = [_q(k) for k in keys]
-    b = default_bucket(df, sequence) if bucket is None else bucket
-    x = df.withColumn("__o", _order(df, sequence)).withColumn("__b", b)
-    w = Window.partitionBy(*kq, "__b").orderBy("__o")
+    b = time_bucket(df, sequence) if bucket is None else bucket
+    x = df.select("*", F.struct(*[_q(k) for k in keys]).alias("__k"), _order(df, sequence).alias("__o"), b.alias("__b"))
+    w = Window.partitionBy("__k", "__b").orderBy("__o")
     x = x.withColumn("__rnb", F.row_number().over(w)).withColumn("__one", F.lit(1))
-    off = _running_over_buckets(x, keys, "__one", "__off")
-    x = x.join(off, keys + ["__b"]).withColumn("__rn", F.col("__off") + F.col("__rnb"))
-    prev = x.select(*kq, (F.col("__rn") + 1).alias("__rn"),
+    x = x.join(_running_over_buckets(x, "__one", "__off"), ["__k", "__b"]) \
+        .withColumn("__rn", F.col("__off") + F.col("__rnb"))
+    prev = x.select("__k", (F.col("__rn") + 1).alias("__rn"),
                     *[_q(t).alias(f"__p{i}") for i, t in enumerate(tracked)], F.lit(True).alias("__has_prev"))
-    x = x.join(prev, keys + ["__rn"], "left")
+    x = x.join(prev, ["__k", "__rn"], "left")
     changed = F.col("__has_prev").isNull()
     for i, t in enumerate(tracked):
         changed = changed | distinct_from(_q(t), F.col(f"__p{i}"))
     x = x.withColumn("__chg", changed.cast("long"))
     x = x.withColumn("__csb", F.sum("__chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    coff = _running_over_buckets(x, keys, "__chg", "__coff")
-    x = x.join(coff, keys + ["__b"]).withColumn("__isl", F.col("__coff") + F.col("__csb"))
-    isl = (x.groupBy(*kq, "__isl")
+    x = x.join(_running_over_buckets(x, "__chg", "__coff"), ["__k", "__b"]) \
+        .withColumn("__isl", F.col("__coff") + F.col("__csb"))
+    isl = (x.groupBy("__k", "__isl")
            .agg(F.min("__o").getField("s").alias("__start"),
                 F.max_by(F.struct(*[_q(c) for c in orig]), F.col("__o")).alias("__row")))
-    nxt = isl.select(*kq, (F.col("__isl") - 1).alias("__isl"), F.col("__start").alias("__end"))
-    out = isl.join(nxt, keys + ["__isl"], "left")
+    nxt = isl.select("__k", (F.col("__isl") - 1).alias("__isl"), F.col("__start").alias("__end"))
+    out = isl.join(nxt, ["__k", "__isl"], "left")
     return out.select(*[F.col("__row." + quote_ident(c)).alias(c) for c in orig],
                       F.col("__start").alias(start_col), F.col("__end").alias(end_col))
 
 
 def scd2_window(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str],
                 start_col: str = START_AT, end_col: str = END_AT) -> DataFrame:
-    """Per-key window plan: one shuffle on the key, lag / running sum / lead inside each key."""
+    """One shuffle on the key; lag, running sum and lead inside each key."""
     orig = list(df.columns)
     kq = [_q(k) for k in keys]
     w = Window.partitionBy(*kq).orderBy("__o")

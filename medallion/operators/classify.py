@@ -28,22 +28,17 @@ HR_REASON_PATTERNS = {
 
 
 def label_expr(text, patterns: dict[str, list[str]], default: str | None = None) -> Column:
-    """The winning label as a Column (NULL text stays NULL)."""
+    """The winning label as a Column (NULL text stays NULL).  Each pattern is tried once: the greatest of
+    (hits, earlier label) carries its label along."""
     t = as_column(text)
-    labels = list(patterns)
-    scores = []
-    for lab in labels:
-        s = F.lit(0)
-        for p in patterns[lab]:
-            s = s + F.when(t.rlike("(?i)" + p), F.lit(1)).otherwise(F.lit(0))
-        scores.append(s)
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    out = None
-    for lab, s in zip(labels, scores):
-        cond = (s == best) & (s > 0)
-        out = F.when(cond, F.lit(lab)) if out is None else out.when(cond, F.lit(lab))
-    fallback = F.lit(default if default is not None else labels[-1])
-    return F.when(t.isNull(), F.lit(None).cast("string")).otherwise(out.otherwise(fallback))
+    ranked = [F.struct(sum((F.when(t.rlike("(?i)" + p), 1).otherwise(0) for p in ps), F.lit(0)).alias("hits"),
+                       F.lit(-i).alias("place"), F.lit(label).alias("label"))
+              for i, (label, ps) in enumerate(patterns.items())]
+    best = F.array_max(F.array(*ranked))
+    fallback = F.lit(default if default is not None else list(patterns)[-1])
+    # one pass over a one-element array names the winner, so that it isn't computed again for the test
+    named = F.transform(F.array(best), lambda w: F.when(w["hits"] > 0, w["label"]).otherwise(fallback))[0]
+    return F.when(t.isNotNull(), named)
 
 
 def classify(df: DataFrame, text_col: str, patterns: dict[str, list[str]], out_col: str = "category_json",
@@ -59,17 +54,15 @@ def classify(df: DataFrame, text_col: str, patterns: dict[str, list[str]], out_c
 def classify_distinct(df: DataFrame, text_col: str, patterns: dict[str, list[str]],
                       out_col: str = "category_json", default: str | None = None,
                       as_json: bool = True) -> DataFrame:
-    """Classify each distinct text once, then join the label back on the text (X2 + J11).
+    """Classify each distinct text once, then join the label back (X2 + J11); rows without a text keep a NULL label.
 
-    Texts are deduplicated on a 64-bit hash plus the text itself, so the shuffle key is a long and equal
-    texts from many rows (a third of them, say) are pre-combined map-side by the aggregate.
+    For scorers that cost more than a shuffle of the texts.  Texts are told apart by a 128-bit hash, so only the
+    distinct ones travel as text, and equal texts of many rows are pre-combined in every task.
     """
-    h = F.xxhash64(F.col(quote_ident(text_col)))
-    texts = (df.select(h.alias("__h"), F.col(quote_ident(text_col)).alias("__text"))
-             .where(F.col("__text").isNotNull())
-             .groupBy("__h", "__text").agg(F.count(F.lit(1)).alias("__n")))
-    labelled = classify(texts, "__text", patterns, out_col, default, as_json).drop("__n")
-    rows = df.withColumn("__h", h)
-    joined = rows.join(labelled, (rows["__h"] == labelled["__h"]) &
-                       (rows[quote_ident(text_col)] == labelled["__text"]), "inner")
-    return joined.drop("__h", "__text")
+    text = F.col(quote_ident(text_col))
+    rows = df.withColumn("__h1", F.xxhash64(text)).withColumn("__h2", F.xxhash64(F.reverse(text), F.lit(1)))
+    texts = rows.where(text.isNotNull()).groupBy("__h1", "__h2").agg(F.first(text).alias("__text"))
+    labelled = classify(texts, "__text", patterns, out_col, default, as_json).drop("__text")
+    known = labelled.select(F.col("__h1").alias("__k1"), F.col("__h2").alias("__k2"), out_col)
+    return rows.join(known, text.isNotNull() & (F.col("__h1") == F.col("__k1")) & (F.col("__h2") == F.col("__k2")),
+                     "left").drop("__h1", "__h2", "__k1", "__k2")

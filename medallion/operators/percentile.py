@@ -1,17 +1,12 @@
-"""Exact percentiles (linear interpolation) without holding a whole group in one task.
+"""Exact percentiles with linear interpolation that never hold a group in one task (A3, A6): one plan for all sizes.
 
-Spark's ``percentile``/``median`` keep every value of a group in one aggregation buffer — a group with a
-third of the rows would land in one task's memory.  Here, per group:
+1. A mergeable sketch for each group gives its row count and approximate values that cut it into ``bins`` bins.
+2. Rows are counted by (group, bin), pre-combined in every task; running totals over a group's few bins tell which
+   bins hold the ranks floor(p * (n - 1)) and ceil(p * (n - 1)) of each wanted p.
+3. Only the rows of these bins are kept, counted by value, and the values at the ranks are read off.
 
-1. ``percentile_approx`` (a mergeable, bounded-memory sketch) gives approximate quantile edges and the exact
-   count ``n``
-   (``bins`` grows with the largest group so that a bin stays near ``GROUP_ROWS`` rows);
-2. rows are counted per (group, bin) — a partial-aggregated shuffle — and prefix sums over the few bins of a
-   group locate the bins holding the two ranks ``floor(p·(n-1))`` and ``ceil(p·(n-1))``;
-3. only rows of those bins are read again, collapsed to (value, count) pairs, and the exact values at the
-   two ranks are picked; the result is ``v_lo + (p·(n-1) - lo) · (v_hi - v_lo)``.
-
-Each step's per-task state is bounded by a bin (about n / BINS rows, or fewer distinct values), not by n.
+A task's state is the different values of one bin, about a group's rows over ``bins``; raise ``bins`` for single groups
+beyond some hundred billion rows.  Values are compared and returned as doubles, as Spark's own percentile does.
 """
 
 from __future__ import annotations
@@ -19,65 +14,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest group (rows) for which one task may hold all values (Spark's buffer-based ``percentile``);
-# also the target number of rows per bin of the distributed plan.
-GROUP_ROWS = 1_000_000
-MIN_BINS, MAX_BINS = 8, 4096
-
-
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest group — one partial-aggregated pass, one number to the driver."""
-    g = df.groupBy(*keys) if keys else df.groupBy()
-    return int(g.agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).collect()[0][0] or 0)
-
-
-def bins_for(rows: int) -> int:
-    return int(min(MAX_BINS, max(MIN_BINS, -(-rows // GROUP_ROWS))))
-
-
-def _ns_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
-    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
-
-
-def exact_percentile(df: DataFrame, keys: list[str], value: Column, p: float, out: str = "percentile",
-                     bins: int = MIN_BINS) -> DataFrame:
-    """One row per group of ``keys`` (already columns of ``df``) with the exact ``p`` percentile of ``value``.
-
-    Groups whose values are all NULL are absent (callers left-join to keep them with NULL).
-    """
-    if not keys:  # a global percentile: one constant group, so every join below stays an equi-join
-        res = exact_percentile(df.withColumn("__all", F.lit(0)), ["__all"], value, p, out, bins)
-        return res.drop("__all")
-    gk = list(keys)
-    base = df.select(*[F.col(k) for k in gk], value.cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    qs = [i / bins for i in range(1, bins)]
-    stats = base.groupBy(*gk).agg(F.count(F.lit(1)).alias("__n"),
-                                  F.percentile_approx("__v", qs, max(1000, 8 * bins)).alias("__edges"))
-    stats = stats.withColumn("__pos", (F.col("__n") - 1) * F.lit(float(p))) \
-        .withColumn("__lo", F.floor("__pos")).withColumn("__hi", F.ceil("__pos"))
-    # stats are joined once; every later step derives from `binned`, so the sketch is computed once
-    binned = _ns_join(base, stats, gk).withColumn(
-        "__bin", F.size(F.filter("__edges", lambda e: e < F.col("__v")))).drop("__edges", "__n")
-    per_bin = binned.groupBy(*gk, "__bin", "__pos", "__lo", "__hi").agg(F.count(F.lit(1)).alias("__c"))
-    wb = Window.partitionBy(*gk).orderBy("__bin")
-    per_bin = per_bin.withColumn("__start", F.sum("__c").over(wb) - F.col("__c"))
-    wanted = per_bin.where(
-        ((F.col("__lo") >= F.col("__start")) & (F.col("__lo") < F.col("__start") + F.col("__c"))) |
-        ((F.col("__hi") >= F.col("__start")) & (F.col("__hi") < F.col("__start") + F.col("__c")))
-    ).select(*gk, "__bin", "__start")
-    rows = _ns_join(binned, wanted, gk + ["__bin"])
-    values = rows.groupBy(*gk, "__bin", "__start", "__pos", "__lo", "__hi", "__v").agg(
-        F.count(F.lit(1)).alias("__m"))
-    wv = Window.partitionBy(*gk, "__bin").orderBy("__v")
-    values = values.withColumn("__to", F.col("__start") + F.sum("__m").over(wv)) \
-        .withColumn("__from", F.col("__to") - F.col("__m"))
-    hit_lo = (F.col("__lo") >= F.col("__from")) & (F.col("__lo") < F.col("__to"))
-    hit_hi = (F.col("__hi") >= F.col("__from")) & (F.col("__hi") < F.col("__to"))
-    res = values.groupBy(*gk).agg(F.max(F.when(hit_lo, F.col("__v"))).alias("__vlo"),
-                                  F.max(F.when(hit_hi, F.col("__v"))).alias("__vhi"),
-                                  F.first("__pos").alias("__pos"), F.first("__lo").alias("__lo"))
-    frac = F.col("__pos") - F.col("__lo")
-    return res.select(*gk, F.when(frac == 0, F.col("__vlo"))
-                      .otherwise(F.col("__vlo") + frac * (F.col("__vhi") - F.col("__vlo"))).alias(out))
+BINS = 512
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys where NULL equals NULL; the left keys stay."""
+    other = right.select(*(F.col(k).alias(f"__r_{k}") for k in keys), *(c for c in right.columns if c not in keys))
+    return left.join(other, [left[k].eqNullSafe(other[f"__r_{k}"]) for k in keys], how).drop(*(f"__r_{k}" for k in keys))
+
+
+def exact_percentiles(df: DataFrame, keys: list[str], value: Column, ranks: list[float], out: str = "percentiles",
+                      bins: int = BINS) -> DataFrame:
+    """``keys`` and ``out``: an array with the percentile of ``value`` for each of ``ranks``.  Groups whose values are
+    all NULL are absent."""
+    base = df.select(*keys, value.cast("double").alias("__v")).where("__v is not null")
+    sketch = base.groupBy(*keys).agg(
+        F.count("*").alias("__n"),
+        F.percentile_approx("__v", [i / bins for i in range(1, bins)], 8 * bins).alias("__edges"))
+    binned = null_safe_join(base, sketch, keys).select(
+        *keys, "__v", "__n", F.size(F.filter("__edges", lambda e: e < F.col("__v"))).alias("__bin"))
+    # the two neighbouring ranks of each wanted percentile
+    exact = [F.lit(float(p)) * (F.col("__n") - 1) for p in ranks]
+    places = F.array_distinct(F.flatten(F.array(*(F.array(F.floor(x), F.ceil(x)) for x in exact))))
+    in_order = Window.partitionBy(*keys).orderBy("__bin")
+    bin_sizes = binned.groupBy(*keys, "__bin", "__n").agg(F.count("*").alias("__size")) \
+        .withColumn("__start", F.sum("__size").over(in_order) - F.col("__size"))
+    wanted = bin_sizes.where(F.exists(places, lambda r: (r >= F.col("__start")) & (r < F.col("__start") + F.col("__size"))))
+    counted = null_safe_join(binned.drop("__n"), wanted.drop("__size"), [*keys, "__bin"]) \
+        .groupBy(*keys, "__bin", "__n", "__start", "__v").agg(F.count("*").alias("__times"))
+    by_value = Window.partitionBy(*keys, "__bin").orderBy("__v")
+    spans = counted.withColumn("__end", F.col("__start") + F.sum("__times").over(by_value)) \
+        .withColumn("__first", F.col("__end") - F.col("__times"))
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((place >= F.col("__first")) & (place < F.col("__end")), F.col("__v")))
+
+    picks = [c for i, x in enumerate(exact) for c in (at(F.floor(x)).alias(f"__low{i}"), at(F.ceil(x)).alias(f"__high{i}"))]
+    found = spans.groupBy(*keys, "__n").agg(*picks)
+    results = [F.when(x == F.floor(x), F.col(f"__low{i}")).otherwise(
+        F.col(f"__low{i}") + (x - F.floor(x)) * (F.col(f"__high{i}") - F.col(f"__low{i}"))) for i, x in enumerate(exact)]
+    return found.select(*keys, F.array(*results).alias(out))

@@ -2,7 +2,7 @@
 
 The plan is an aggregate, not a window: ``min_by(row, order_key)`` is a declarative aggregate with a
 map-side partial step, so a key holding a third of the rows is reduced inside every task before the
-shuffle.  A DESC sort on a type that cannot be negated (text) narrows each group one sort key at a time
+shuffle.  A DESC sort on a type that cannot be negated (text, numbers) narrows each group one key at a time
 (per-group max / min joined back), still without a per-key window.
 Ties are broken by input order (a hidden ``monotonically_increasing_id``), which makes the choice stable.
 """
@@ -45,7 +45,7 @@ def unique(df: DataFrame, columns: list[str] | None = None, all_columns: bool =
                 .agg(F.min_by(row, order).alias("__row"))
                 .select("__row.*"))
     else:
-        # A DESC key that cannot be negated (text): narrow each group key by key — per-group max / min
+        # A DESC key that cannot be negated (text, numbers): narrow each group key by key — per-group max / min
         # (aggregates, pre-combined map-side) joined back null-safely — then the earliest input row.
         cand = tagged
         gk = [F.col(quote_ident(c)) for c in cols]

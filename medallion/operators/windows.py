@@ -46,12 +46,11 @@ def last_file(df: DataFrame, entity: list[str], file_col: str, order_col: str) -
 def rows_of_last_file(df: DataFrame, entity: list[str], file_col: str, order_col: str) -> DataFrame:
     """Rows that belong to their entity's newest file (J2: inner join on entity and file).
 
-    The join key has only a few values (one file per entity), so a shuffle join would send a whole delivery
-    to one task; the per-entity table is broadcast instead, after its row count is proven small.
+    The join key has only a few values (one file per entity).  Adaptive execution broadcasts the per-entity table
+    once its measured size allows it, and splits the skewed partitions of the shuffle join otherwise.
     """
-    from medallion.operators.join import broadcast_bounded
     lf = last_file(df, entity, file_col, order_col).withColumnRenamed("last_source_file", file_col)
-    return _ns_join(df, broadcast_bounded(lf), entity + [file_col], "inner")
+    return _ns_join(df, lf, entity + [file_col], "inner")
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str], count_as: str | None = "versions_in_file",

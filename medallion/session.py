@@ -7,7 +7,6 @@ created and registered, so that jobs never depend on a machine-local path on a c
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -52,12 +51,8 @@ def get_spark(
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable core settings to an existing session (idempotent)."""
     for k, v in CORE_CONF.items():
-        if k == "spark.ui.enabled":
-            continue
-        try:
+        if spark.conf.isModifiable(k):  # static settings stay as the cluster set them
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings are left as the cluster set them
-            pass
     return spark
 
 
@@ -72,7 +67,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if current:
         return current.rstrip("/")
-    # Unset (local tests only): a private folder, registered on the session for later calls.
+    # Unset: a private folder, registered on the session for later calls - where driver and executors are one process.
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     root = tempfile.mkdtemp(prefix="medallion-")
     spark.conf.set("spark.checkpoint.dir", root)
     sc.setCheckpointDir(root)
@@ -85,11 +82,3 @@ def work_dir(spark: SparkSession, name: str, fresh: bool = True) -> str:
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if fresh else name
     return f"{base}/medallion/{leaf}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can address a local path (tests and the local runner only)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -96,16 +96,17 @@ def _columns_file(path: str) -> str:
     return f"{path.rstrip('/')}/_columns.json"
 
 
-def _align_for_append(df: DataFrame, path: str) -> DataFrame:
-    """Append requires the same column *set* as the existing export; columns are put in its order."""
+def _order_for_append(df: DataFrame, path: str) -> list[str]:
+    """The columns of ``df`` in the order of the existing export, which must have the same ones."""
     fs = FS(df.sparkSession)
-    f = _columns_file(path)
-    if not fs.exists(f):
-        return df
-    existing = json.loads(fs.read_text(f))
+    if not fs.exists(_columns_file(path)):
+        if any(not n.startswith(("_", ".")) for n in fs.ls(path)):
+            raise ValueError(f"append: {path} holds files whose columns are not known")
+        return df.columns
+    existing = json.loads(fs.read_text(_columns_file(path)))
     if sorted(existing) != sorted(df.columns):
         raise ValueError(f"append: columns {sorted(df.columns)} differ from the existing export {sorted(existing)}")
-    return df.select(*[quote_ident(c) for c in existing])
+    return existing
 
 
 def _remember_columns(df: DataFrame, path: str) -> None:
@@ -115,8 +116,10 @@ def _remember_columns(df: DataFrame, path: str) -> None:
 def _write(df: DataFrame, path: str, fmt: str, mode: str, single_file: bool, partition_by=None, **opts):
     if mode not in ("overwrite", "append"):
         raise ValueError("export mode must be 'overwrite' or 'append'")
+    own = df.drop(partition_by) if partition_by else df
     if mode == "append":
-        df = _align_for_append(df, path)
+        order = _order_for_append(own, path)
+        df = df.select(*map(quote_ident, order), *([partition_by] if partition_by else []))
     if single_file:
         check_single_file_limits(df)
         df = df.coalesce(1)
@@ -125,7 +128,7 @@ def _write(df: DataFrame, path: str, fmt: str, mode: str, single_file: bool, par
         w = w.partitionBy(partition_by)
     w.format(fmt).options(**opts).save(path)
     if mode == "overwrite" or not FS(df.sparkSession).exists(_columns_file(path)):
-        _remember_columns(df.drop(partition_by) if partition_by else df, path)
+        _remember_columns(own, path)
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False,
@@ -141,36 +144,43 @@ def export_json(df: DataFrame, path: str, mode: str = "overwrite", single_file:
     return path
 
 
-def group_names(df: DataFrame, column: str, max_groups: int = MAX_GROUPS) -> DataFrame:
-    """``value -> name`` for split exports: NULL → 'none', unsafe path characters removed, duplicates
-    after cleaning made unique with ``_2``, ``_3``…  Fails beyond ``max_groups`` distinct values."""
+def group_names(df: DataFrame, column: str, max_groups: int = MAX_GROUPS, known: dict | None = None) -> dict:
+    """``value -> name`` for split exports: NULL → 'none', unsafe path characters removed, names that are taken
+    continued with ``_2``, ``_3``…  ``known`` are the names already given, which stay; ``max_groups`` counts both."""
     if column not in df.columns:
         raise ValueError(f"split export: column {column!r} not found")
     dt = df.schema[column].dataType
     if not isinstance(dt, SCALAR):
         raise ValueError(f"split export: column {column!r} has type {dt.simpleString()}; only scalar types")
-    values = [r[0] for r in df.select(quote_ident(column)).distinct().limit(max_groups + 1).collect()]
-    if len(values) > max_groups:
+    names = dict(known or {})
+    found = df.select(F.col(quote_ident(column)).cast("string")).distinct().limit(len(names) + max_groups + 1).collect()
+    taken = {n.lower() for n in names.values()}
+    for value in sorted((r[0] for r in found if r[0] not in names), key=lambda v: (v is None, v or "")):
+        base = NULL_GROUP if value is None else re.sub(_UNSAFE, "", value).replace("..", "").strip() or NULL_GROUP
+        name, n = base, 1
+        while name.lower() in taken:
+            n += 1
+            name = f"{base}_{n}"
+        taken.add(name.lower())
+        names[value] = name
+    if len(names) > max_groups:
         raise ValueError(f"split export: more than {max_groups} groups in {column!r}")
-    used: dict[str, int] = {}
-    rows = []
-    for v in sorted(values, key=lambda x: (x is None, str(x))):
-        base = NULL_GROUP if v is None else (re.sub(_UNSAFE, "", str(v)).replace("..", "").strip() or NULL_GROUP)
-        n = used.get(base.lower(), 0) + 1
-        used[base.lower()] = n
-        rows.append((None if v is None else str(v), base if n == 1 else f"{base}_{n}"))
-    return df.sparkSession.createDataFrame(rows, "value string, name string")
+    return names
 
 
 def export_split(df: DataFrame, path: str, column: str, fmt: str = "csv", mode: str = "overwrite",
                  max_groups: int = MAX_GROUPS) -> str:
-    """One sub-folder ``file_group=<name>`` per value of ``column`` (K10).  Overwrite replaces every group
-    (stale groups disappear); append adds files under the same deterministic names (K11)."""
-    names = group_names(df, column, max_groups)  # at most max_groups rows: a proven broadcast bound
+    """One sub-folder ``file_group=<name>`` for each value of ``column`` (K10).  Overwrite replaces every group; append
+    adds files, a value of the earlier export under its stored name and a new one under a free name (K11)."""
+    fs, stored = FS(df.sparkSession), f"{path.rstrip('/')}/_groups.json"
+    known = dict(map(tuple, json.loads(fs.read_text(stored)))) if mode == "append" and fs.exists(stored) else {}
+    names = group_names(df, column, max_groups, known)
+    table = df.sparkSession.createDataFrame(list(names.items()), "value string, name string")
     keyed = df.withColumn("__v", F.col(quote_ident(column)).cast("string"))
-    out = keyed.join(F.broadcast(names), keyed["__v"].eqNullSafe(names["value"]), "left") \
-        .drop("__v", "value").withColumnRenamed("name", GROUP_COL)
+    out = keyed.join(F.broadcast(table), keyed["__v"].eqNullSafe(table["value"]), "left") \
+        .drop("__v", "value").withColumnRenamed("name", GROUP_COL)  # at most max_groups rows are broadcast
     data = rendered(out, True, keep=(GROUP_COL,)) if fmt == "csv" else out
     opts = {"header": "true", "escape": '"'} if fmt == "csv" else {}
     _write(data, path, fmt, mode, False, partition_by=GROUP_COL, **opts)
+    fs.write_text(stored, json.dumps(sorted(names.items(), key=lambda x: x[1])), overwrite=True)
     return path

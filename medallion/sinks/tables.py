@@ -95,6 +95,7 @@ class Table:
         self._bucket_by = bucket_by
         self._buckets = buckets
         self._cluster_by = cluster_by
+        self._stored_layout = False
         self.last_entries: list = []
         self._manifests: dict[int, Manifest] = {}  # manifests are immutable once written
 
@@ -125,11 +126,14 @@ class Table:
         return T.StructType.fromJson(json.loads(self.manifest().schema))
 
     def _layout(self):
-        if self._bucket_by is None and self._buckets is None and self._cluster_by is None and self.exists():
+        """The stored layout; what the constructor asks for counts only for a table that is still to be made."""
+        if not self._stored_layout and self.exists():
             m = self.manifest()
-            self._bucket_by, self._buckets, self._cluster_by = m.bucket_by, m.buckets, m.cluster_by
-            if self._bucket_by is None:
-                self._bucket_by = []  # known: not bucketed
+            if self._buckets is not None and m.buckets is not None and self._buckets != m.buckets:
+                raise ValueError(f"table {self.path} has {m.buckets} buckets, not {self._buckets}; "
+                                 "write a new table to change the number")
+            self._bucket_by, self._buckets, self._cluster_by = m.bucket_by, m.buckets, self._cluster_by or m.cluster_by
+            self._stored_layout = True
         return self._bucket_by or None, self._buckets, self._cluster_by
 
     @property

@@ -25,19 +25,6 @@ def table_source(spark: SparkSession, table_name: str | None = None, is_expressi
     return spark.table(table_name)
 
 
-def parquet_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table stored as ``<root>/<name>.parquet`` (how the driver's test tables are laid out)."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-
-
-def register_parquet_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
-    out = {}
-    for n in names:
-        out[n] = parquet_table(spark, root, n)
-        out[n].createOrReplaceTempView(n)
-    return out
-
-
 def master_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
     """A small literal reference table (S10); it is written with ``Table.overwrite`` by the caller."""
     return spark.createDataFrame(rows, schema)

@@ -14,12 +14,14 @@ micro-batch is handled in ``foreachBatch`` (T9):
    (also bucketed by key, so only touched buckets are read) and replaces those buckets.  Both are
    order-independent, so late or out-of-order files give the same result (T7).
 
-Materialized views are then refreshed in batch (T6, T8).  A full refresh (T3) uses fresh checkpoints and
-recomputes the tables from the landing files.
+Materialized views are then refreshed in batch (T6, T8).  A full refresh (T3) starts a new epoch - fresh checkpoints,
+stored with the pipeline - and recomputes all derived tables from the landing files.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 
 from medallion.operators import cdc
 from medallion.operators.quality import Expectation, apply_expectations, observed_metrics
+from medallion.sinks.fs import FS
 from medallion.sinks.tables import Catalog, Table, bucket_expr
 from medallion.sources.files import read_json_stream
 from medallion.sources.tables import FlowSpec
@@ -40,6 +43,12 @@ def _tag_kind(versions: DataFrame) -> DataFrame:
     return versions.withColumn(KIND_COL, F.when(F.col(cdc.END_AT).isNull(), "open").otherwise("closed"))
 
 
+def _of_keys(df: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on the keys, a NULL key equal to a NULL key; the keys of ``df`` stay."""
+    renamed = other.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in other.columns if c not in keys])
+    return df.join(renamed, [df[k].eqNullSafe(renamed[f"__{k}"]) for k in keys], how).drop(*[f"__{k}" for k in keys])
+
+
 @dataclass
 class CdcSpec:
     target: str
@@ -47,6 +56,9 @@ class CdcSpec:
     sequence: list[str]
     scd_type: int = 1
     track_history: list[str] | None = None  # SCD 2: columns whose change opens a version (None = all)
+    # SCD 2 plan (see cdc.scd2): "window" sorts a key's rows of a batch, or its history when rows come late, in one
+    # task; choose "bucketed" where single keys have very long histories
+    strategy: str = "window"
 
 
 @dataclass
@@ -78,6 +90,7 @@ class Pipeline:
         self.spark = spark
         self.root = root.rstrip("/")
         self.catalog = Catalog(spark, f"{self.root}/tables")
+        self.fs = FS(spark)
 
     # ---------------------------------------------------------------- tables
     def table(self, name: str, ds: Dataset | None = None, keys: list[str] | None = None) -> Table:
@@ -123,31 +136,37 @@ class Pipeline:
         silver_rows = ds.transform(rows) if ds.transform else rows
         keys = self._cdc_keys(ds)
         silver = self.table(ds.silver, ds, keys)
-        batch_rows = None  # rows entering silver in this batch (known unless the batch is a replay)
+        quarantine, metrics = self.catalog.table(f"{ds.silver}_quarantine"), self.catalog.table(METRICS_TABLE)
+        result = apply_expectations(silver_rows, ds.expectations, ds.silver, ds.null_is_violation,
+                                    observation_name=f"q_{writer}_{batch_id}")
+        # Each table has its own commit.  A retry finds out for each what is missing; the bronze segment that all of
+        # it derives from is fixed, so what is written late equals what would have been written then.
+        observed = None
         if not silver.committed(txn):
-            result = apply_expectations(silver_rows, ds.expectations, ds.silver, ds.null_is_violation,
-                                        observation_name=f"q_{writer}_{batch_id}")
             silver.append(result.kept, txn=txn)
-            metrics = observed_metrics(result, ds.silver, batch_id)
-            stats.metrics.extend(metrics)
-            batch_rows = int(result.observation.get.get("rows", 0))
-            stats.bronze_rows += batch_rows
-            if ds.expectations:
-                dropped = sum(m[3] for m in metrics if m[2] in ("drop", "fail"))
-                quarantine = self.catalog.table(f"{ds.silver}_quarantine")
-                if dropped or not quarantine.exists():  # the observation says whether anything was dropped
-                    quarantine.append(result.quarantine if dropped else result.quarantine.limit(0), txn=txn)
-                self.catalog.table(METRICS_TABLE).append(self.spark.createDataFrame(
-                    [m + (writer,) for m in metrics],
-                    "dataset string, rule string, action string, failed long, passed long, batch_id long, "
-                    "flow string"), txn=txn)
+            observed = observed_metrics(result, ds.silver, batch_id)
+        elif ds.expectations and not metrics.committed(txn):
+            result.kept.write.format("noop").mode("overwrite").save()  # fills the observation again
+            observed = observed_metrics(result, ds.silver, batch_id)
+        if observed is not None:
+            stats.metrics.extend(observed)
+            stats.bronze_rows += int(result.observation.get.get("rows", 0))
+        if ds.expectations and observed is not None:
+            dropped = sum(m[3] for m in observed if m[2] in ("drop", "fail"))
+            if (dropped or not quarantine.exists()) and not quarantine.committed(txn):
+                quarantine.append(result.quarantine if dropped else result.quarantine.limit(0), txn=txn)
+            # the metrics come last: once they are there, the batch's quarantine is too
+            metrics.append(self.spark.createDataFrame(
+                [m + (writer,) for m in observed],
+                "dataset string, rule string, action string, failed long, passed long, batch_id long, "
+                "flow string"), txn=txn)
         entries = silver.batch_entries(writer)
         new_silver = silver.read_entries(entries)
         for spec in ds.cdc:
             touched = None
             if silver.bucket_by == spec.keys and silver.buckets == ds.buckets:
                 touched = sorted({e["bucket"] for e in entries})  # the silver segment is bucketed alike
-            self._merge_cdc(ds, spec, silver, new_silver, txn, touched, batch_rows)
+            self._merge_cdc(ds, spec, silver, new_silver, txn, touched)
         self._describe(ds)
 
     def _describe(self, ds: Dataset) -> None:
@@ -159,7 +178,7 @@ class Pipeline:
 
     # ---------------------------------------------------------------- CDC
     def _merge_cdc(self, ds: Dataset, spec: CdcSpec, silver: Table, batch: DataFrame, txn,
-                   touched: list | None = None, batch_rows: int | None = None) -> None:
+                   touched: list | None = None) -> None:
         target = self.table(spec.target, ds, spec.keys)
         if target.committed(txn):
             return
@@ -176,16 +195,14 @@ class Pipeline:
             return
         tracked = spec.track_history or [c for c in batch.columns if c not in spec.keys + spec.sequence]
         if base is not None and self._scd2_in_order(target, spec, batch, touched, base):
-            # a key sees at most (batch rows + its open version) rows here: no need to profile key sizes
-            small = batch_rows is not None and batch_rows + 1 <= cdc.HOT_KEY_ROWS
-            self._scd2_append(target, spec, batch, touched, tracked, txn, base, "window" if small else "auto")
+            self._scd2_append(target, spec, batch, touched, tracked, txn, base)
             return
         # late or out-of-order rows (or a first load): rebuild the batch keys' history from the silver log
         keys_df = batch.select(*spec.keys).distinct()
-        log = silver.read(buckets=touched).join(keys_df, spec.keys, "left_semi")
-        rebuilt = cdc.scd2(log, spec.keys, spec.sequence, tracked)
+        log = _of_keys(silver.read(buckets=touched), keys_df, spec.keys, "left_semi")
+        rebuilt = cdc.scd2(log, spec.keys, spec.sequence, tracked, strategy=spec.strategy)
         if base is not None:
-            others = target.read(version=base, buckets=touched).join(keys_df, spec.keys, "left_anti")
+            others = _of_keys(target.read(version=base, buckets=touched), keys_df, spec.keys, "left_anti")
             rebuilt = others.unionByName(rebuilt)
         target.replace_buckets(_tag_kind(rebuilt), touched, txn=txn, op="CDC SCD2", kind_col=KIND_COL,
                                base_version=base)
@@ -196,12 +213,12 @@ class Pipeline:
         seq = F.struct(*[F.col(c) for c in spec.sequence])
         first = batch.groupBy(*spec.keys).agg(F.min(seq).alias("__first"))
         last = target.read(version=base, buckets=touched, kinds={"open"}).select(*spec.keys, seq.alias("__last"))
-        late = first.join(last, spec.keys).where(F.col("__first") <= F.col("__last")).limit(1).count()
-        return late == 0
+        late = _of_keys(first, last, spec.keys, "inner").where(F.col("__first") <= F.col("__last"))
+        return late.isEmpty()
 
     @staticmethod
     def _scd2_append(target: Table, spec: CdcSpec, batch: DataFrame, touched: list, tracked: list, txn,
-                     base: int, strategy: str = "auto") -> None:
+                     base: int) -> None:
         """In-order batch: only the open versions of the batch keys are re-evaluated.
 
         The open version enters as one row (its values are those of its last row, sequence included);
@@ -212,11 +229,11 @@ class Pipeline:
         cols = batch.columns
         open_cur = target.read(version=base, buckets=touched, kinds={"open"})
         keys_df = batch.select(*spec.keys).distinct()
-        affected = open_cur.join(keys_df, spec.keys, "left_semi")
-        untouched = open_cur.join(keys_df, spec.keys, "left_anti")
+        affected = _of_keys(open_cur, keys_df, spec.keys, "left_semi")
+        untouched = _of_keys(open_cur, keys_df, spec.keys, "left_anti")
         starts = affected.select(*spec.keys, seq.alias("__pseudo"), F.col(cdc.START_AT).alias("__orig"))
         versions = cdc.scd2(affected.select(*cols).unionByName(batch), spec.keys, spec.sequence, tracked,
-                            strategy=strategy)
+                            strategy=spec.strategy)
         fixed = versions.join(starts, [versions[k].eqNullSafe(starts[k]) for k in spec.keys] +
                               [versions[cdc.START_AT] == starts["__pseudo"]], "left")
         versions = fixed.select(*[versions[c] for c in cols],
@@ -228,7 +245,7 @@ class Pipeline:
 
     # ---------------------------------------------------------------- whole runs
     def run(self, plan: list[tuple[Dataset, list[FlowSpec]]], views: dict | None = None,
-            epoch: str = "0", max_files_per_trigger: int | None = None, parallel: bool = True) -> list[RunStats]:
+            max_files_per_trigger: int | None = None, parallel: bool = True) -> list[RunStats]:
         """Run every flow, then refresh the materialized views in order.
 
         Datasets write disjoint tables, so with ``parallel`` each dataset's flows run in their own driver
@@ -236,9 +253,13 @@ class Pipeline:
         because their CDC merges touch the same buckets.  The shared metrics table is append-only and its
         commit retries on a concurrent version.
         """
+        state = self._state()
+        if state["reset"]:  # a full refresh was begun: its tables are emptied before anything is read
+            self._reset(state)
+
         def one(item):
             ds, flows = item
-            return [self.run_flow(ds, flow, epoch, max_files_per_trigger) for flow in flows]
+            return [self.run_flow(ds, flow, state["epoch"], max_files_per_trigger) for flow in flows]
 
         if parallel and len(plan) > 1:
             from concurrent.futures import ThreadPoolExecutor
@@ -251,19 +272,39 @@ class Pipeline:
             self.catalog.refresh(name, build(self))
         return out
 
+    # The epoch names the checkpoints in use.  It is stored with the pipeline, so that runs after a full refresh
+    # go on from the refresh's file log; ``reset`` lists the tables that a refresh still has to empty.
+    def _state(self) -> dict:
+        path = f"{self.root}/_checkpoints/_state.json"
+        return json.loads(self.fs.read_text(path)) if self.fs.exists(path) else {"epoch": "0", "reset": []}
+
+    def _store(self, state: dict) -> None:
+        self.fs.write_text(f"{self.root}/_checkpoints/_state.json", json.dumps(state), overwrite=True)
+
+    def _reset(self, state: dict) -> None:
+        for name, dataset in state["reset"]:
+            t = self.catalog.table(name)
+            if t.exists():
+                rows = t.read()
+                # the metrics of other datasets stay
+                t.overwrite(rows.where(F.col("dataset") != dataset) if dataset else rows.limit(0))
+        state["reset"] = []
+        self._store(state)
+
     def optimize(self, names: list[str], target_bytes: int = 128 * 1024 ** 2, min_segments: int = 4) -> dict:
         """Compact the small segments of the given tables (run between updates, like an OPTIMIZE job)."""
         return {n: self.catalog.table(n).optimize(target_bytes, min_segments) for n in names
                 if self.catalog.table(n).exists()}
 
-    def full_refresh(self, plan, views=None, epoch: str = "refresh", **kw) -> list[RunStats]:
-        """Recompute everything from the landing files into fresh table versions and fresh checkpoints."""
-        for ds, _ in plan:
-            for name in [ds.bronze, ds.silver, *[c.target for c in ds.cdc]]:
-                if name and self.catalog.table(name).exists():
-                    t = self.catalog.table(name)
-                    t.overwrite(t.read().limit(0))
-        return self.run(plan, views, epoch=epoch, **kw)
+    def full_refresh(self, plan, views=None, **kw) -> list[RunStats]:
+        """Recompute everything from the landing files (T3): every derived table - bronze, silver, quarantine, metrics
+        and CDC targets - is emptied and filled again under a new epoch.  The intent is stored first, so a refresh
+        that is interrupted anywhere is completed by the next run."""
+        names = [[n, None] for ds, _ in plan
+                 for n in (ds.bronze, ds.silver, ds.silver and f"{ds.silver}_quarantine", *(c.target for c in ds.cdc)) if n]
+        names += [[METRICS_TABLE, ds.silver] for ds, _ in plan if ds.silver]
+        self._store({"epoch": uuid.uuid4().hex[:12], "reset": names})
+        return self.run(plan, views, **kw)
 
 
 def _cdc_schema(batch: DataFrame, spec: CdcSpec):

@@ -154,7 +154,7 @@ def test_full_refresh_equals_incremental(hr, spark):
     flows = [f for f in hr360.PipelineConfig(root=p.root, employees={
         "FR": f"{root}/landing_FR/employees", "BE": f"{root}/landing_BE/employees"}).employee_flows()]
     assert glob.glob(f"{root}/landing_FR/employees/*.json")
-    p.full_refresh([(emp, flows)], epoch="refresh-1")
+    p.full_refresh([(emp, flows)])
     after = p.catalog.read("gold_employees_history").select(
         "employee_id", "department_id", "job_title", "contract_type", F.col(f"{cdc.START_AT}.extract_ts").alias("s"))
     assert compare_tables(spark.createDataFrame(snapshot, after.schema), after).collect()[0]["identical"]

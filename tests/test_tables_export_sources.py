@@ -77,6 +77,9 @@ def test_split_export_and_append_checks(spark, tmp):
     assert names == ["file_group=ab", "file_group=ab_2", "file_group=none"]
     export.export_split(df.where("id = 2"), path, "g", fmt="json")  # overwrite drops stale groups
     assert sorted(d for d in os.listdir(path) if d.startswith(export.GROUP_COL)) == ["file_group=ab"]
+    export.export_split(df, path, "g", fmt="json", mode="append")  # a/b comes to ab: the stored name stays with ab
+    got = {(r.id, r[export.GROUP_COL]) for r in spark.read.json(path).collect()}
+    assert got == {(2, "ab"), (1, "ab_2"), (4, "ab_2"), (3, "none")} and spark.read.json(path).count() == 5
     with pytest.raises(ValueError, match="more than 2 groups"):
         export.export_split(df, os.path.join(tmp, "s2"), "g", max_groups=2)
     with pytest.raises(ValueError, match="only scalar"):
