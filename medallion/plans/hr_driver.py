@@ -142,7 +142,7 @@ def run_hr(spark: SparkSession, sf: str):
             from medallion.streaming.flows import Pipeline
             p = Pipeline(spark, cfg.root)
             p.catalog.table("departments").overwrite(deps)
-            emp, abs_ = hr360.datasets(deps, cfg.as_of, buckets=16)
+            emp, abs_ = hr360.datasets(p.catalog.read("departments"), cfg.as_of, buckets=16)
             flows_e = [type(f)(f.entity, f.path, "*.txt") for f in cfg.employee_flows()]
             flows_a = [type(f)(f.entity, f.path, "*.txt") for f in cfg.absence_flows()]
             p.run([(emp, flows_e), (abs_, flows_a)], hr360.views(cfg.as_of))
