@@ -11,6 +11,7 @@ from medallion.operators.join import join
 from medallion.operators.unique import unique
 from medallion.plans import hr360
 from medallion.plans.driver import SCD2_SQL, flat_history, register, tbl
+from medallion.plans.graph import Node, run_graph
 from medallion.plans.streams import EVENT_COLS, EVENTS, MIN_VALUE, land_events
 from medallion.session import work_dir
 from medallion.sinks import export
@@ -269,6 +270,22 @@ def q_export_json_types(spark, sf):
     return spark.read.schema(o.schema).json(path)
 
 
+@register("graph_file_source", """
+SELECT n_regionkey, COUNT(*) AS nations FROM nation WHERE n_regionkey > 0 GROUP BY n_regionkey
+""")
+def q_graph_file_source(spark, sf):
+    """A CSV file as the source node of a graph, filtered and aggregated."""
+    path = work_dir(spark, "export") + "/nation_csv"
+    export.export_csv(tbl(spark, sf, "nation"), path)
+    ports = run_graph(spark, [
+        Node("files", "source", {"file_source": {"path": path, "format": "csv", "options": {
+            "header": True, "inferSchema": "'true'"}}}),
+        Node("some", "filter", {"condition": "n_regionkey > 0"}, {"data": "files.data"}),
+        Node("count", "aggregate", {"group_bys": ["n_regionkey"], "aggregations": [
+            {"columnExpr": {"expr": "*"}, "fn": "COUNT", "alias": "nations"}]}, {"data": "some.filtered_data"})])
+    return ports["count.aggregated_data"]
+
+
 @register("merge_stored_buckets", """
 SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'merged' ELSE p_name END AS p_name FROM part
 """)

@@ -3,7 +3,7 @@
 A node is ``Node(id, op, config, inputs)`` where ``inputs`` maps an input port to ``"node.port"`` (or a list
 of them).  Running a graph only builds lazy DataFrames; nothing executes until a sink or a caller acts.
 Disabled nodes receive and emit ``limit(0)`` frames that keep their schemas (P18).  Row counts per output
-port (P19) come from one aggregate job (``row_counts``), not one count per port.
+port (P19) come from one job (``row_counts``) with one scan for each port.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from medallion.operators.join import join
 from medallion.operators.prepare import prepare
 from medallion.operators.sqlnode import expression_select, run_sql, table_function
 from medallion.operators.unique import unique
+from medallion.sources.files import read_files
 from medallion.sources.tables import table_source
 
 
@@ -36,6 +37,10 @@ class Node:
 def _source(spark, cfg, inputs):
     if "dataframe" in cfg:
         return {"data": cfg["dataframe"]}
+    if cfg.get("file_source"):
+        files = dict(cfg["file_source"])
+        return {"data": read_files(spark, files.get("path"), files.get("format") or "parquet",
+                                   **(files.get("options") or {}))}
     ts = cfg.get("table_source") or {}
     return {"data": table_source(spark, ts.get("tableName"), ts.get("isExpression", False),
                                  ts.get("metricView"), cfg.get("measures"))}

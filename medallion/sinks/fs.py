@@ -1,7 +1,7 @@
 """Small file-system helper over the Hadoop FileSystem that Spark itself uses.
 
-Going through Hadoop's FileSystem (rather than ``os``) keeps the same code valid for HDFS, object stores and
-local disks.  Only metadata-sized work happens here: listing a folder, writing or reading a manifest of a few
+Going through Hadoop's FileSystem (rather than ``os``) keeps the same code valid for HDFS and local disks, whose
+rename refuses an existing target.  Object stores without such a rename need one writer for each table.  Only metadata-sized work happens here: listing a folder, writing or reading a manifest of a few
 kilobytes, an atomic create-if-absent used as the commit point of a table version.
 """
 
