@@ -1,9 +1,9 @@
 """Latest delivery and keep-latest with version counts and previous values.
 
-The reference writes these as ``ROW_NUMBER``/``COUNT``/``LAG`` windows partitioned by key.  A window sends a
-whole key to one task, which does not survive a key holding a third of the rows.  Here the same results
-come from declarative aggregates (``max_by``, ``count``, ``max``), which Spark pre-combines map-side, and
-null-safe equi-joins on one-row-per-key tables (broadcast by AQE when small, skew-split otherwise).
+A window over a key sends all its rows to one task, which does not survive a key holding a third of the rows.  Here a
+key's rows are first reduced in salted parts (the two newest and the count of each), then within the key; the newest
+file comes from a declarative aggregate and meets the rows in a null-safe equi-join (broadcast by adaptive execution
+when small, skew-split otherwise).
 
 Order values are structs ``(order columns..., tie-break)``: ``updated_at`` ties are broken by a stable
 row hash instead of arbitrarily.
@@ -11,7 +11,7 @@ row hash instead of arbitrarily.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.functions.columns import quote_ident
@@ -30,6 +30,9 @@ def _ns_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inn
     return out.drop(*[f"__rk_{i}" for i in range(len(keys))])
 
 
+SALTS = 32  # parts of a key in the first step of latest_per_key
+
+
 def order_key(order: list[str], df: DataFrame, tie_break: bool = True) -> Column:
     parts = [_q(c).alias(f"o{i}") for i, c in enumerate(order)]
     if tie_break:
@@ -57,27 +60,24 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str], count_as: s
                    previous: dict[str, str] | None = None) -> DataFrame:
     """One row per key: the newest by ``order``, with the number of rows of the key and values of the
     previous row (``previous = {output_name: column}``; NULL when the key has a single row).
+
+    Two steps over one scan: within each (key, salt) the two newest rows and the row count, then within the key the
+    newest of at most 2 * SALTS rows.  The salt comes from the row, so a hot key's rows are sorted by many tasks.
     """
-    ok = order_key(order, df)
-    x = df.withColumn("__ok", ok)
-    row = F.struct(*[_q(c) for c in df.columns])
-    aggs = [F.max_by(row, F.col("__ok")).alias("__latest"), F.max("__ok").alias("__top")]
-    if count_as:
-        aggs.append(F.count(F.lit(1)).alias(count_as))
-    top = x.groupBy(*[_q(k) for k in keys]).agg(*aggs)
-    out = top
-    if previous:
-        older = _ns_join(x, top.select(*[_q(k) for k in keys], "__top"), keys).where(F.col("__ok") < F.col("__top"))
-        prev = (older.groupBy(*[_q(k) for k in keys])
-                .agg(F.max_by(F.struct(*[_q(c).alias(n) for n, c in previous.items()]), F.col("__ok"))
-                     .alias("__prev")))
-        out = _ns_join(top, prev, keys, "left")
-    cols = [F.col("__latest." + quote_ident(c)).alias(c) for c in df.columns]
-    if count_as:
-        cols.append(F.col(count_as).cast("long").alias(count_as))
-    for n in previous or {}:
-        cols.append(F.col("__prev." + quote_ident(n)).alias(n))
-    return out.select(*cols)
+    key_columns = [_q(k) for k in keys]
+    salted = df.withColumn("__ok", order_key(order, df)) \
+        .withColumn("__salt", F.pmod(F.xxhash64(*[_q(c) for c in df.columns]), F.lit(SALTS)))
+    some = Window.partitionBy(*key_columns, "__salt")
+    reduced = salted.select("*", F.row_number().over(some.orderBy(F.desc("__ok"))).alias("__rank"),
+                            F.count(F.lit(1)).over(some).alias("__rows")).where("__rank <= 2")
+    whole = Window.partitionBy(*key_columns)
+    newest_first = whole.orderBy(F.desc("__ok"))
+    extra = {count_as: F.sum(F.when(F.col("__rank") == 1, F.col("__rows"))).over(whole)} if count_as else {}
+    extra |= {name: F.lead(_q(column)).over(newest_first) for name, column in (previous or {}).items()}
+    kept = [c for c in df.columns if c not in extra]
+    ranked = reduced.select(*[_q(c) for c in kept], *[c.alias(name) for name, c in extra.items()],
+                            F.row_number().over(newest_first).alias("__place"))
+    return ranked.where("__place = 1").drop("__place")
 
 
 def last_delivery_latest(df: DataFrame, entity: list[str], key: list[str], file_col: str, file_order: str,

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -296,15 +298,21 @@ def test_guardrails_and_column_checks(spark):
 
 
 def test_skew_safe_plans_have_no_per_key_window(spark):
-    """Keep-latest, SCD 1 and unique are aggregates; a hot key is pre-combined, never one window task."""
+    """SCD 1 and unique are aggregates, keep-latest takes the newest rows by (key, salt) first: a hot key is
+    pre-combined, never one window task."""
     hot = spark.range(0, 3000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))).alias("k"),
                                       F.col("id").alias("seq"), (F.col("id") % 5).cast("string").alias("v"))
     plans = [cdc.scd1(hot, ["k"], ["seq"]),
-             windows.latest_per_key(hot, ["k"], ["seq"], previous={"pv": "v"}),
              unique(hot, ["k"], all_columns=False, sort=[("v", "DESC"), ("seq", "ASC")])]
     for df in plans:
         assert "Window" not in df._jdf.queryExecution().executedPlan().toString()
-    u = {r["k"]: (r["v"], r["seq"]) for r in plans[2].collect()}
+    latest = windows.latest_per_key(hot, ["k"], ["seq"], previous={"pv": "v"})
+    shuffles = re.findall(r"hashpartitioning\((.*?), \d+\)", latest._jdf.queryExecution().executedPlan().toString())
+    assert len(shuffles) == 2 and sum("__salt" in s for s in shuffles) == 1
+    top = {r["k"]: r for r in latest.collect()}
+    assert (top[7]["seq"], top[7]["v"], top[7]["pv"], top[7]["versions_in_file"]) == (2997, "2", "4", 1001)
+    assert top[4]["pv"] is None and top[4]["versions_in_file"] == 1
+    u = {r["k"]: (r["v"], r["seq"]) for r in plans[1].collect()}
     assert u[7] == ("4", 9)  # hot key: the largest text value, then the smallest seq
     ref = cdc.scd2(hot.withColumn("ts", F.timestamp_seconds("seq")), ["k"], ["ts"], ["v"], strategy="window")
     got = cdc.scd2(hot.withColumn("ts", F.timestamp_seconds("seq")), ["k"], ["ts"], ["v"], bucket=F.floor(F.col("seq") / 100))
