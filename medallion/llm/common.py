@@ -72,6 +72,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .unionByName(e.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component")))
 
 
+def give_back() -> None:
+    """Return freed memory to the system.  Python workers are reused by later stages beside a busy JVM, so a task
+    that used large arrays or a cache calls this when it ends."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def runs(batches, n_keys: int):
     """Consecutive rows with equal values in the first ``n_keys`` columns, as one Arrow table for each run.
     For partitions that are sorted by those columns; holds one run and one batch at a time."""

@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import components, cut, runs
-from medallion.llm.word_hash import deltas, mix, pack, unpack, word_hashes
+from medallion.llm.common import components, cut, give_back, runs
+from medallion.llm.word_hash import deal, deltas, in_order, mix, pack, texts_of, unpack, word_hashes
 
 GROUP_BYTES, MIN_GROUPS, MIN_BUCKETS, BUCKET_TOKENS = 8 << 20, 64, 256, 1 << 19
 BLOCK_TOKENS, HASH_BITS, DF_CAP = 500_000, 44, (1 << 19) - 1
@@ -63,10 +63,11 @@ def shingle_sets(texts: list[bytes], size: int):
 
 def _group_sets(docs: pa.Table, size: int, bits: int):
     """A group's sets, its distinct shingles as asked for, and each shingle's place among them."""
-    docs = docs.sort_by([("doc_id", "ascending"), ("text_hash", "ascending")])
-    hashes, sizes = shingle_sets(docs.column("text").cast(pa.binary()).to_pylist(), size)
-    keys, where = np.unique(hashes >> np.uint64(64 - bits - 40), return_inverse=True)
-    limits = np.searchsorted(keys >> np.uint64(40), np.arange((1 << bits) + 1, dtype=np.uint64))
+    docs = in_order(docs)
+    hashes, sizes = shingle_sets(texts_of(docs), size)
+    own = min(40, 64 - bits)  # of a hash, besides those that its bucket stands for
+    keys, where = np.unique(hashes >> np.uint64(64 - bits - own), return_inverse=True)
+    limits = np.searchsorted(keys >> np.uint64(own), np.arange((1 << bits) + 1, dtype=np.uint64))
     return docs, hashes, sizes, keys, where, limits
 
 
@@ -111,8 +112,11 @@ def _ordered_sets(size: int, bits: int, percent: int):
             shared = order[part][frequency[part] > 1]
             enough = n and len(shared) >= -(-n * percent // 100)
             tokens.append(np.sort(shared).astype(np.int64) if enough else None)
-        return pa.table({"doc_id": docs.column("doc_id"), "n": pa.array(sizes),
-                         "tokens": pa.array(tokens, pa.list_(pa.int64()))}, schema)
+        out = pa.table({"doc_id": docs.column("doc_id"), "n": pa.array(sizes),
+                        "tokens": pa.array(tokens, pa.list_(pa.int64()))}, schema)
+        del hashes, where, frequency, order, tokens
+        give_back()
+        return out
     return run
 
 
@@ -222,6 +226,7 @@ def _link_runs(percent: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rep[a]), pa.array(rep[b]), pa.array(sid[a]), pa.array(sid[b])],
                     names=["a", "b", "sid_a", "sid_b"])
+        give_back()
     return run
 
 
@@ -280,8 +285,7 @@ def jaccard_groups(docs: DataFrame, size: int = 5, percent: int = 75, id_col: st
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     groups = max(MIN_GROUPS, -(-total // GROUP_BYTES))
     bits = int(max(MIN_BUCKETS, total // 6 // BUCKET_TOKENS) - 1).bit_length()
-    rows = rows.withColumn("text_hash", F.xxhash64("text")) \
-        .withColumn("g", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(groups)))
+    rows = deal(rows, groups)
     answers = rows.groupBy("g").applyInArrow(_ask(size, bits), "bucket long, g long, keys binary, own binary") \
         .groupBy("bucket").applyInArrow(_answer, "g long, bucket long, n binary")
     sets = cut(rows.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(

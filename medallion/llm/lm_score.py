@@ -7,14 +7,15 @@ The weights are learned by expectation-maximisation on held-out counts: every tr
 own occurrence deleted from the counts.
 
 All training texts are counted, with no cut-off.  Documents are dealt into groups of about ``GROUP_BYTES`` of
-text.  A group asks for each of its distinct n-grams once: the request (64-bit hashes for words, 40 bits besides
-the bucket for longer n-grams, with the group's own training counts) goes to the n-gram's hash bucket, where all
+text.  A group asks for each of its distinct n-grams once: the request (hashes, 48 bits besides the bucket for
+words, 36 for longer n-grams, with the group's own training counts) goes to the n-gram's hash bucket, where all
 groups' counts are summed, and the sums come back in the order of the request.  A frequent n-gram is thus one
 entry for each group, never a row for each occurrence.  Text is shuffled once (the grouping is reused for the
-answer); what remains of a group is each token's counts, compressed, and checkpointed.  The weights come from
+answers); what remains of a group is each token's counts, compressed, and checkpointed.  The weights come from
 those by two small aggregations of fixed size, the scores by one more pass without text.
 
-Two longer n-grams of one bucket are mistaken for each other with a chance of about 2^-20 (words: 2^-44).
+A bucket holds about half a million n-grams, so one of several words shares its hash with another one with a chance
+below 1e-5 (a word: below 1e-8).
 
 Defined results: null or empty text is the end alone; rows with a null id are scored but not learned from;
 repeated rows count as often as they stand; with nothing to learn from, every probability is the base one.
@@ -28,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.common import cut
-from medallion.llm.word_hash import deltas, mix, pack, unpack, word_hashes
+from medallion.llm.word_hash import deal, deltas, in_order, mix, pack, texts_of, unpack, word_hashes
 
 ORDER, GROUP_BYTES, MIN_GROUPS, BUCKET_NGRAMS, MIN_BUCKETS = 3, 8 << 20, 64, 1 << 19, 256
 END, BEGIN = np.uint64(0x0E0D), np.uint64(0x0B0E)  # hashes of no word but for chance
 CONTEXT_BUCKETS, RATIO_BINS, EM_STEPS, DOCS_A_ROW = 40, 241, 60, 512
-WIDTH = {1: 8, 2: 5, 3: 5}
+WORD_BITS, NGRAM_BITS = 48, 36  # of a hash, besides those that its bucket stands for
 
 
 def _tokens(texts: list[bytes]):
@@ -59,27 +60,17 @@ def _ngrams(tokens: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
 def _requests(tokens, counts, order: int, bucket_bits: int):
     """The distinct n-grams in the order in which they are asked for, each token's place among them, and the
     limits of each bucket's entries.  The upper bits of a hash are its bucket."""
-    grams = _ngrams(tokens, counts, order)
-    if WIDTH[order] < 8:
-        grams = grams >> np.uint64(64 - bucket_bits - 8 * WIDTH[order])
+    own = min(WORD_BITS if order == 1 else NGRAM_BITS, 64 - bucket_bits)
+    grams = _ngrams(tokens, counts, order) >> np.uint64(64 - bucket_bits - own)
     grams, where = np.unique(grams, return_inverse=True)
-    shift = np.uint64((64 if WIDTH[order] == 8 else bucket_bits + 8 * WIDTH[order]) - bucket_bits)
-    limits = np.searchsorted(grams >> shift, np.arange((1 << bucket_bits) + 1, dtype=np.uint64))
+    limits = np.searchsorted(grams >> np.uint64(own), np.arange((1 << bucket_bits) + 1, dtype=np.uint64))
     return grams, where, limits
 
 
-def _binary_texts(table: pa.Table) -> list[bytes]:
-    return table.column("text").cast(pa.binary()).to_pylist()
-
-
-def _in_order(docs: pa.Table) -> pa.Table:
-    return docs.sort_by([("doc_id", "ascending"), ("text_hash", "ascending")])
-
-
 def _ask(order_max: int, bucket_bits: int):
     def run(docs: pa.Table) -> pa.Table:
-        docs = _in_order(docs)
-        tokens, counts = _tokens(_binary_texts(docs))
+        docs = in_order(docs)
+        tokens, counts = _tokens(texts_of(docs))
         train = np.repeat(docs.column("train").to_numpy(), counts)
         group = docs.column("g")[0].as_py()
         rows: dict[int, dict] = {}
@@ -126,8 +117,8 @@ def _collect_counts(order_max: int, bucket_bits: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
-        docs, answers = _in_order(docs), answers.sort_by("bucket")
-        tokens, counts = _tokens(_binary_texts(docs))
+        docs, answers = in_order(docs), answers.sort_by("bucket")
+        tokens, counts = _tokens(texts_of(docs))
         per_order = []
         for order in range(1, order_max + 1):
             _, where, _ = _requests(tokens, counts, order, bucket_bits)
@@ -250,8 +241,7 @@ def token_counts(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str =
     groups = max(MIN_GROUPS, -(-size // GROUP_BYTES))
     buckets = max(MIN_BUCKETS, size // 3 // BUCKET_NGRAMS)  # about a word in six bytes, two new n-grams a word
     bits = int(buckets - 1).bit_length()
-    rows = rows.withColumn("text_hash", F.xxhash64("text")) \
-        .withColumn("g", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(groups)))
+    rows = deal(rows, groups)
     orders = range(1, order + 1)
     asked = rows.groupBy("g").applyInArrow(_ask(order, bits), "bucket long, g long, " + ", ".join(
         f"grams{k} binary, own{k} binary" for k in orders))

@@ -1,4 +1,5 @@
-"""Words of whole texts as 64-bit hashes, computed with numpy over many texts at once, and packed integers.
+"""Words of whole texts as 64-bit hashes, computed with numpy over many texts at once; packed integers; and texts
+dealt into groups that travel compressed.
 
 A word is a run of bytes other than blank and 0x09-0x0D; A-Z are lower-cased.  A word's hash is a polynomial in
 its bytes (each mapped to a random odd number) followed by a 64-bit mix; equal words have equal hashes, different
@@ -8,10 +9,16 @@ ones differ but for a chance of about 2^-60.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
+
+from medallion.llm.common import give_back
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLANK = np.zeros(256, bool)
@@ -104,3 +111,34 @@ def unpack(data: bytes, width: int) -> np.ndarray:
 
 def deltas(ascending: np.ndarray) -> np.ndarray:
     return np.diff(ascending, prepend=np.uint64(0))
+
+
+# ---------------------------------------------------------------------------------------------- groups of texts
+def _squeeze(batches):
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        texts = batch.column(at).cast(pa.binary()).to_pylist()
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        columns = list(batch.columns)
+        columns[at] = pa.array([squeeze(t) for t in texts], pa.binary())
+        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+    give_back()
+
+
+def deal(rows: DataFrame, groups: int) -> DataFrame:
+    """``rows`` (doc_id, text and other columns) with the group ``g`` and ``text_hash``, the text compressed for the
+    shuffle that follows."""
+    marked = rows.withColumn("text_hash", F.xxhash64("text")) \
+        .withColumn("g", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(groups)))
+    schema = StructType([StructField("text", BinaryType()) if f.name == "text" else f for f in marked.schema.fields])
+    return marked.mapInArrow(_squeeze, schema)
+
+
+def in_order(docs: pa.Table) -> pa.Table:
+    """A group's documents in the same order whenever they are read."""
+    return docs.sort_by([("doc_id", "ascending"), ("text_hash", "ascending")])
+
+
+def texts_of(docs: pa.Table) -> list[bytes]:
+    expand = zstandard.ZstdDecompressor().decompress
+    return [expand(t) for t in docs.column("text").to_pylist()]
