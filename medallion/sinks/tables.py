@@ -302,10 +302,11 @@ class Table:
 
     def replace_buckets(self, df: DataFrame, buckets: list[int], txn=None, op: str = "MERGE",
                         drop_kinds: set | None = None, kind_col: str | None = None,
-                        base_version: int | None = None) -> "Table":
+                        base_version: int | None = None, whole: list[int] = ()) -> "Table":
         """Replace the given buckets with ``df`` in one commit (rows of other buckets in ``df`` are an error).
 
-        ``drop_kinds`` limits what is removed from those buckets to segments of these kinds (others stay);
+        ``drop_kinds`` limits what is removed from those buckets to segments of these kinds (others stay), except
+        in the buckets of ``whole``;
         ``kind_col`` tags the new segments (see ``_write``).  ``base_version`` is the version ``df`` was
         computed from: if another writer changed any of these buckets since, the commit is refused instead
         of losing that writer's update (optimistic concurrency).
@@ -322,7 +323,8 @@ class Table:
         schema = df.drop(kind_col).schema if kind_col else df.schema
 
         def gone(e):
-            return e.get("bucket") in touched and (drop_kinds is None or e.get("kind") in drop_kinds)
+            return e.get("bucket") in touched and (drop_kinds is None or e.get("kind") in drop_kinds
+                                                   or e["bucket"] in whole)
 
         def in_touched(m):
             return sorted(e["path"] for e in (m.entries if m else []) if e.get("bucket") in touched)

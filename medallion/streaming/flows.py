@@ -194,40 +194,53 @@ class Pipeline:
             target.replace_buckets(merged, touched, txn=txn, op="CDC SCD1", base_version=base)
             return
         tracked = spec.track_history or [c for c in batch.columns if c not in spec.keys + spec.sequence]
-        if base is not None and self._scd2_in_order(target, spec, batch, touched, base):
-            self._scd2_append(target, spec, batch, touched, tracked, txn, base)
-            return
-        # late or out-of-order rows (or a first load): rebuild the batch keys' history from the silver log
-        keys_df = batch.select(*spec.keys).distinct()
-        log = _of_keys(silver.read(buckets=touched), keys_df, spec.keys, "left_semi")
-        rebuilt = cdc.scd2(log, spec.keys, spec.sequence, tracked, strategy=spec.strategy)
-        if base is not None:
-            others = _of_keys(target.read(version=base, buckets=touched), keys_df, spec.keys, "left_anti")
-            rebuilt = others.unionByName(rebuilt)
-        target.replace_buckets(_tag_kind(rebuilt), touched, txn=txn, op="CDC SCD2", kind_col=KIND_COL,
-                               base_version=base)
+        # buckets with late rows (all of them on a first load) are rebuilt from the silver log; in the others only
+        # the open versions are looked at.  Both parts are one commit.
+        bucket = bucket_expr(spec.keys, ds.buckets)
+        late = touched if base is None else self._late_buckets(target, spec, batch, touched, base, bucket)
+        in_order = [b for b in touched if b not in late]
+        parts = []
+        if late:
+            rows = batch.where(bucket.isin(late)) if in_order else batch
+            parts.append(self._rebuilt(target, spec, silver, rows, late, tracked, base))
+        if in_order:
+            rows = batch.where(bucket.isin(in_order)) if late else batch
+            parts.append(self._reopened(target, spec, rows, in_order, tracked, base))
+        versions = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        target.replace_buckets(_tag_kind(versions), touched, txn=txn, op="CDC SCD2" if late else "CDC SCD2 APPEND",
+                               drop_kinds={"open"}, whole=late, kind_col=KIND_COL, base_version=base)
 
     @staticmethod
-    def _scd2_in_order(target: Table, spec: CdcSpec, batch: DataFrame, touched: list, base: int) -> bool:
-        """True when every batch row comes after the last row of its key's open version."""
+    def _late_buckets(target: Table, spec: CdcSpec, batch: DataFrame, touched: list, base: int, bucket) -> list:
+        """Buckets of keys with a row that does not come after the last row of the key's open version."""
         seq = F.struct(*[F.col(c) for c in spec.sequence])
         first = batch.groupBy(*spec.keys).agg(F.min(seq).alias("__first"))
         last = target.read(version=base, buckets=touched, kinds={"open"}).select(*spec.keys, seq.alias("__last"))
         late = _of_keys(first, last, spec.keys, "inner").where(F.col("__first") <= F.col("__last"))
-        return late.isEmpty()
+        return [r[0] for r in late.select(bucket.alias("b")).distinct().collect()]  # at most the number of buckets
+
+    @staticmethod
+    def _rebuilt(target: Table, spec: CdcSpec, silver: Table, batch: DataFrame, buckets: list, tracked: list,
+                 base: int | None) -> DataFrame:
+        """The whole history of these buckets, that of the batch's keys computed anew from the silver log."""
+        keys_df = batch.select(*spec.keys).distinct()
+        log = _of_keys(silver.read(buckets=buckets), keys_df, spec.keys, "left_semi")
+        rebuilt = cdc.scd2(log, spec.keys, spec.sequence, tracked, strategy=spec.strategy)
+        if base is None:
+            return rebuilt
+        others = _of_keys(target.read(version=base, buckets=buckets), keys_df, spec.keys, "left_anti")
+        return others.unionByName(rebuilt)
 
     @staticmethod
-    def _scd2_append(target: Table, spec: CdcSpec, batch: DataFrame, touched: list, tracked: list, txn,
-                     base: int) -> None:
-        """In-order batch: only the open versions of the batch keys are re-evaluated.
+    def _reopened(target: Table, spec: CdcSpec, batch: DataFrame, buckets: list, tracked: list, base: int) -> DataFrame:
+        """In-order rows: the open versions of these buckets, and the versions that the batch closes.
 
-        The open version enters as one row (its values are those of its last row, sequence included);
-        versions the batch closes are appended as closed segments and the open set of the touched buckets is
-        replaced — the closed history is neither read nor rewritten.
+        A key's open version enters as one row (its values are those of its last row, sequence included); the
+        closed history is neither read nor rewritten.
         """
         seq = F.struct(*[F.col(c) for c in spec.sequence])
         cols = batch.columns
-        open_cur = target.read(version=base, buckets=touched, kinds={"open"})
+        open_cur = target.read(version=base, buckets=buckets, kinds={"open"})
         keys_df = batch.select(*spec.keys).distinct()
         affected = _of_keys(open_cur, keys_df, spec.keys, "left_semi")
         untouched = _of_keys(open_cur, keys_df, spec.keys, "left_anti")
@@ -239,9 +252,7 @@ class Pipeline:
         versions = fixed.select(*[versions[c] for c in cols],
                                 F.coalesce(F.col("__orig"), versions[cdc.START_AT]).alias(cdc.START_AT),
                                 versions[cdc.END_AT])
-        out = untouched.unionByName(versions)
-        target.replace_buckets(_tag_kind(out), touched, txn=txn, op="CDC SCD2 APPEND",
-                               drop_kinds={"open"}, kind_col=KIND_COL, base_version=base)
+        return untouched.unionByName(versions)
 
     # ---------------------------------------------------------------- whole runs
     def run(self, plan: list[tuple[Dataset, list[FlowSpec]]], views: dict | None = None,
