@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from medallion.operators import cdc, quality, windows
 from medallion.operators.aggregate import aggregate
-from medallion.operators.classify import classify_distinct
+from medallion.operators.classify import HR_REASON_PATTERNS, classify_distinct
 from medallion.operators.join import join
 from medallion.operators.unique import unique
 from medallion.plans import hr360
 from medallion.plans.driver import SCD2_SQL, flat_history, register, tbl
 from medallion.plans.graph import Node, run_graph
+from medallion.plans.hr_driver import _label_sql, _sql, run_hr
 from medallion.plans.streams import EVENT_COLS, EVENTS, MIN_VALUE, land_events
 from medallion.session import work_dir
 from medallion.sinks import export
@@ -314,11 +315,12 @@ def q_table_comment(spark, sf):
 
 # ---------------------------------------------------------------------------------------- the HR application
 def _hr(spark, sf):
-    from medallion.plans.hr_driver import run_hr
     return run_hr(spark, sf).catalog
 
 
-@register("hr_broken_copy")
+@register("hr_broken_copy", _sql("""
+SELECT COUNT(*) AS differences, COUNT(*) AS active FROM emp_current WHERE status = 'Active'
+"""))
 def q_hr_broken_copy(spark, sf):
     """The consistency check on a current table in which every employee of one status was changed."""
     c = _hr(spark, sf)
@@ -329,24 +331,46 @@ def q_hr_broken_copy(spark, sf):
     return found.join(wanted, F.col("differences") == F.col("active")).select("differences", "active")
 
 
-@register("hr_key_listing")
+@register("hr_key_listing", _sql("""
+, newest AS (SELECT source_entity, max(extract_ts) AS extract_ts FROM emp_kept GROUP BY source_entity),
+last_file AS (SELECT k.* FROM emp_kept k JOIN newest n ON k.source_entity = n.source_entity AND k.extract_ts = n.extract_ts),
+one AS (SELECT max(employee_id) AS employee_id FROM last_file),
+rows AS (SELECT 'version' AS kind, employee_id, updated_at, department_id, job_title FROM emp_kept
+UNION ALL SELECT 'latest', employee_id, max(updated_at), max_by(department_id, updated_at), max_by(job_title, updated_at)
+FROM last_file GROUP BY employee_id)
+SELECT * FROM rows WHERE employee_id IN (SELECT employee_id FROM one)
+""").replace("abs_kept AS (SELECT * FROM abs_silver WHERE NOT v_days)\n\n,", "abs_kept AS (SELECT * FROM abs_silver WHERE NOT v_days),"))
 def q_hr_key_listing(spark, sf):
     """Versions and latest rows of the employee with the greatest id."""
     c = _hr(spark, sf)
     last = c.read("silver_employees_last_extract")
     employee = last.agg(F.max("employee_id")).first()[0]
-    return hr360.key_listing(c.read("silver_employees"), last, employee)
+    return hr360.key_listing(c.read("silver_employees"), last, employee) \
+        .withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
 
 
-@register("hr_days_by_reason")
+@register("hr_days_by_reason", _sql(f"""
+SELECT {_label_sql('a.comment', HR_REASON_PATTERNS, list(HR_REASON_PATTERNS)[-1])} AS reason_category,
+       CAST(SUM(a.days) AS BIGINT) AS total_absence_days
+FROM abs_kept a JOIN emp_current e ON upper(trim(a.employee_id)) = upper(trim(e.employee_id))
+WHERE a.comment IS NOT NULL GROUP BY 1
+"""))
 def q_hr_days_by_reason(spark, sf):
     """Days by reason from the stored KPI table."""
     c = _hr(spark, sf)
     return hr360.rollups(c.read("gold_absenteeism_by_department"), c.read("gold_absence_reasons_by_department"),
-                         c.read("gold_employee_360"))["days_by_reason"]
-
-
-@register("hr_top_absentees")
+                         c.read("gold_employee_360"))["days_by_reason"] \
+        .withColumn("total_absence_days", F.col("total_absence_days").cast("long"))
+
+
+@register("hr_top_absentees", _sql("""
+SELECT e.employee_id, e.department_name, CAST(coalesce(a.days, 0) AS BIGINT) AS absence_days_ytd,
+       CAST(coalesce(a.n, 0) AS BIGINT) AS absence_events_ytd
+FROM emp_current e
+LEFT JOIN (SELECT employee_id, SUM(days) AS days, COUNT(*) AS n FROM abs_kept
+           WHERE year(start_date) = year(DATE '2026-01-01') GROUP BY employee_id) a ON e.employee_id = a.employee_id
+WHERE e.status = 'Active' ORDER BY absence_days_ytd DESC, e.employee_id LIMIT 20
+"""))
 def q_hr_top_absentees(spark, sf):
     """The employees with most days of absence (a top-k report)."""
     c = _hr(spark, sf)
