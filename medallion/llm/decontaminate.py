@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from medallion.llm.common import give_back
+
 WORD_BYTES = bytes(
     (c + 32 if 65 <= c <= 90 else c) if (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128) else 32
     for c in range(256))
@@ -154,6 +156,7 @@ def _scanner(shared, own: int, begin: bool, end: bool):
             else:
                 yield pa.RecordBatch.from_arrays(kept + [pa.array(c, longs) for c in cols],
                                                  names=names + ["__items", "__first", "__last"])
+        give_back()
     return scan
 
 

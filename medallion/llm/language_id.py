@@ -7,7 +7,7 @@ one costs the escape -log2(D / (N + D)) and is tried in the next shorter context
 with the shortest code wins; ``score`` is its share 2^-bits among all languages, from the code lengths.
 
 Counts come from all labelled training texts, whole: each task counts four-byte strings with numpy and the sums
-are aggregated by Spark.  Of the summed strings the ``max_strings`` most frequent (over all languages) make the
+are aggregated by Spark.  Of the summed strings the most frequent, at most ``max_strings`` over all languages, make the
 trees - the documented bound of what is broadcast; shorter contexts are sums over them.
 
 Defined results: null texts, and texts without any letter, are `und` with score 0; so is everything when there is
@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from medallion.llm.common import fold
+from medallion.llm.common import cut, fold, give_back
 
-MAX_STRINGS, BLOCK_BYTES = 400_000, 4 << 20
+MAX_STRINGS, BLOCK_BYTES = 500_000, 1 << 20
 FOLD_BYTES = bytes(c + 32 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else 32 if 9 <= c <= 13 else c
                    for c in range(256))
 START = b"   "  # the context of a text's first bytes
@@ -71,24 +71,32 @@ def _count(batches):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(n), pa.string()), pa.array(strings.astype(np.int64)),
                      pa.array(n.astype(np.int64))], names=["lang", "string", "n"])
+    give_back()
 
 
 def count_strings(labelled: DataFrame, max_strings: int = MAX_STRINGS) -> DataFrame:
-    """(lang, string, n) over all rows of ``labelled`` (lang, text); the most frequent ``max_strings``."""
-    counts = labelled.select("lang", "text").mapInArrow(_count, "lang string, string long, n long") \
-        .groupBy("lang", "string").agg(F.sum("n").alias("n"))
-    return counts.orderBy(F.desc("n"), "lang", "string").limit(max_strings)
+    """(lang, string, n) over all rows of ``labelled`` (lang, text): the strings above the least frequency at which
+    there are at most ``max_strings`` of them, found from how many strings have each frequency (a few hundred
+    classes), so that no more than the bound ever leaves the executors."""
+    counts = cut(labelled.select("lang", "text").mapInArrow(_count, "lang string, string long, n long")
+                 .groupBy("lang", "string").agg(F.sum("n").alias("n")))
+    steps = F.floor(F.log2("n") * 8)
+    left, least = max_strings, None
+    for step, strings in sorted(counts.groupBy(steps).count().collect(), reverse=True):
+        if strings > left:
+            break
+        left, least = left - strings, step
+    return counts.where(F.lit(False) if least is None else steps >= least)
 
 
 class ContextTrees:
     """Code lengths in bits of strings (context of three bytes and the next) for each language."""
 
-    def __init__(self, counts):
-        self.langs = sorted(set(counts["lang"]))
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
+        self.langs = sorted(counts)
         self.orders = []  # for each language, from order 3 to 0: known strings, bits, contexts, escape bits
         for lang in self.langs:
-            own = counts[counts["lang"] == lang]
-            strings, n, orders = own["string"].to_numpy(np.int64), own["n"].to_numpy(np.int64), []
+            (strings, n), orders = (c.astype(np.int64) for c in counts[lang]), []
             for order in (3, 2, 1, 0):
                 strings, where = np.unique(strings & ((1 << 8 * (order + 1)) - 1), return_inverse=True)
                 n = np.bincount(where, n).astype(np.int64)
@@ -128,6 +136,13 @@ class ContextTrees:
 _TREES: dict = {}
 
 
+def collect_counts(counts: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The kept strings and their counts by language, as compact arrays."""
+    rows = counts.toPandas()
+    return {lang: (own["string"].to_numpy(np.uint32), own["n"].to_numpy(np.int64))
+            for lang, own in rows.sort_values("string").groupby("lang")}
+
+
 def _predictor(shared, key):
     """The input's columns but the last two, which are the text and whether it has letters; then the result."""
     def run(batches):
@@ -148,6 +163,7 @@ def _predictor(shared, key):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:own], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                 names=[*batch.schema.names[:own], "__lang", "__score"])
+        give_back()
     return run
 
 
@@ -155,8 +171,7 @@ def annotate(docs: DataFrame, labelled: DataFrame, max_strings: int = MAX_STRING
     """``docs`` with the columns ``__lang`` and ``__score``, learned from ``labelled`` (lang, text)."""
     spark = docs.sparkSession
     usable = labelled.where("lang is not null and text is not null")
-    counts = count_strings(usable, max_strings).toPandas()
-    shared = spark.sparkContext.broadcast(counts)
+    shared = spark.sparkContext.broadcast(collect_counts(count_strings(usable, max_strings)))
     key = (spark.sparkContext.applicationId, shared._jbroadcast.id())
     text = F.col(text_col).cast("string")
     rows = docs.select("*", F.coalesce(text, F.lit("")).alias("__text"),

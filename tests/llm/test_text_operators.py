@@ -157,7 +157,7 @@ def slow_bits(text: bytes, counts: Counter) -> float:
 def test_code_lengths_equal_slow_version(spark):
     texts = {"x": ["banana bandana", "an Apple 42"], "y": ["ñandú ñoño", "banjo"]}
     labelled = spark.createDataFrame([(k, t) for k, ts in texts.items() for t in ts], "lang string, text string")
-    trees = language_id.ContextTrees(language_id.count_strings(labelled).toPandas())
+    trees = language_id.ContextTrees(language_id.collect_counts(language_id.count_strings(labelled)))
     probes = [b"banana", "ñandu".encode(), b"zzz", b"", b"apple 17 ban"]
     got = trees.text_bits(probes)
     for k, lang in enumerate(trees.langs):
