@@ -369,9 +369,10 @@ def test_pages_keep_their_articles(spark):
 
 def test_html_odd_rows(spark):
     rows = [(1, None, None), (1, None, None), (None, "x", ""), (2, "http://H/a", "<p>" * 5000 + "deep"),
-            (3, "http://h/b", "<p>word</p>" * 50_000)]
+            (3, "http://h/b", "<p>word</p>" * 50_000), (4, "http://h/c", "<div>" * 3000 + "<h2>a</h2><p>b</p>" * 3000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string") \
         .selectExpr("*", "1 as host", "2 as tree", "3 as n_chars", "4 as text")
     got = html_extract.extract(df).collect()
-    assert sorted(((r.page_id or 0), r.n_chars) for r in got) == [(0, 0), (1, 0), (1, 0), (2, 4), (3, 6 * 50_000 - 2)]
+    assert sorted(((r.page_id or 0), r.n_chars) for r in got) == [(0, 0), (1, 0), (1, 0), (2, 4), (3, 6 * 50_000 - 2),
+                                                                    (4, 3 * 6000 - 2)]
     assert html_extract.extract(df.where("false")).count() == 0
