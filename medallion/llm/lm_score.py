@@ -8,14 +8,14 @@ own occurrence deleted from the counts.
 
 All training texts are counted, with no cut-off.  Documents are dealt into groups of about ``GROUP_BYTES`` of
 text.  A group asks for each of its distinct n-grams once: the request (hashes, 48 bits besides the bucket for
-words, 36 for longer n-grams, with the group's own training counts) goes to the n-gram's hash bucket, where all
+words, 34 for longer n-grams, with the group's own training counts) goes to the n-gram's hash bucket, where all
 groups' counts are summed, and the sums come back in the order of the request.  A frequent n-gram is thus one
 entry for each group, never a row for each occurrence.  Text is shuffled once (the grouping is reused for the
 answers); what remains of a group is each token's counts, compressed, and checkpointed.  The weights come from
 those by two small aggregations of fixed size, the scores by one more pass without text.
 
 A bucket holds about half a million n-grams, so one of several words shares its hash with another one with a chance
-below 1e-5 (a word: below 1e-8).
+below 1e-4 (a word: below 1e-8).
 
 Defined results: null or empty text is the end alone; rows with a null id are scored but not learned from;
 repeated rows count as often as they stand; with nothing to learn from, every probability is the base one.
@@ -34,7 +34,7 @@ from medallion.llm.word_hash import deal, deltas, in_order, mix, pack, texts_of,
 ORDER, GROUP_BYTES, MIN_GROUPS, BUCKET_NGRAMS, MIN_BUCKETS = 3, 8 << 20, 64, 1 << 19, 256
 END, BEGIN = np.uint64(0x0E0D), np.uint64(0x0B0E)  # hashes of no word but for chance
 CONTEXT_BUCKETS, RATIO_BINS, EM_STEPS, DOCS_A_ROW = 40, 241, 60, 512
-WORD_BITS, NGRAM_BITS = 48, 36  # of a hash, besides those that its bucket stands for
+WORD_BITS, NGRAM_BITS = 48, 34  # of a hash, besides those that its bucket stands for
 
 
 def _tokens(texts: list[bytes]):
