@@ -28,7 +28,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and "headcount" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.driver.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
