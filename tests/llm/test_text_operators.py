@@ -184,6 +184,31 @@ def test_language_odd_rows(odd_docs, no_docs):
     assert language_id.predict(no_docs, odd_docs).count() == 0
 
 
+def test_language_keeps_every_count_beside_a_large_language(spark):
+    rng = np.random.default_rng(8)
+    noise = ["".join(chr(c) for c in rng.integers(91, 127, 20_000)) for _ in range(60)]
+    rows = [("big", t) for t in noise] * 2 + [("rare", "zażółć gęślą jaźń")]
+    labelled = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    assert language_id.count_strings(labelled).count() > 500_000  # beyond one block
+    docs = spark.createDataFrame([(1, "gęślą jaźń"), (2, noise[0][:200])], "doc_id long, text string")
+    assert dict((r.doc_id, r.lang_pred) for r in language_id.predict(docs, labelled).collect()) == {1: "rare", 2: "big"}
+
+
+@pytest.mark.parametrize("block_strings", [1500])
+def test_language_blocks_make_no_difference(spark, odd_docs, block_strings):
+    labelled = table(spark, SF, "documents").select("lang", "text").limit(60).unionByName(odd_docs.select("lang", "text"))
+    twin = labelled.where("lang = 'en'").selectExpr("'zz' as lang", "text")  # equal counts: the first language wins
+    labelled = labelled.unionByName(twin).localCheckpoint()
+    counts = language_id.count_strings(labelled.where("lang is not null and text is not null"))
+    pieces = [p for b in language_id.model_blocks(counts, block_strings) for p in b]
+    assert len(pieces) > 4 and sum(len(p.strings) for p in pieces) == counts.count()
+    docs = table(spark, SF, "documents").select("doc_id", "text").limit(60).unionByName(odd_docs.select("doc_id", "text"))
+    want = sorted(map(tuple, language_id.predict(docs, labelled).collect()), key=str)
+    got = sorted(map(tuple, language_id.predict(docs, labelled, block_strings).collect()), key=str)
+    assert [r[:2] for r in got] == [r[:2] for r in want] and "zz" not in {r[1] for r in got}
+    assert [r[2] for r in got] == pytest.approx([r[2] for r in want])
+
+
 # ------------------------------------------------------------------------------------------ LM scores
 def test_lm_scores_equal_brute_force(spark):
     docs = table(spark, SF, "documents")
