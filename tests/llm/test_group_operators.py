@@ -357,6 +357,32 @@ def test_template_text_goes_and_varying_text_stays(spark):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_near_copies_without_a_marked_article_stay_whole(spark):
+    story = "<h1>Same</h1><p>The very same story on many pages, told at some length.</p>"
+    rows = [(i, f"http://dates.example/{i}", page(f"<div>{story}<p>Day {i}</p></div>")) for i in range(6)]
+    rows += [(10 + i, f"http://menus.example/{i}", page(f"<div>{story}</div>", f"<nav>menu {i}</nav>")) for i in range(6)]
+    rows += [(20 + i, f"http://mixed.example/{i}", page(f"<div>{story}<p>Day {i}</p></div>", f"<nav>menu {i}</nav>"))
+             for i in range(6)]
+    rows += [(30, "http://mixed.example/x", page("<div><h1>Other</h1><p>Another story altogether.</p><p>Day 7</p></div>"))]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+           .collect()}
+    text = "Same\n\nThe very same story on many pages, told at some length."
+    assert all(got[i] == got[20 + i] == f"{text}\n\nDay {i}" and got[10 + i] == text for i in range(6))
+    assert got[30] == "Other\n\nAnother story altogether.\n\nDay 7"
+
+
+def test_copies_of_one_page_do_not_make_a_template(spark):
+    # ten pages differ in the menu only: by main content the host has three pages, and their common line its template
+    rows = [(i, f"http://h.example/{i}", page("<div><p>A first story, copied.</p><p>Shared line</p></div>", f"<nav>{i}</nav>"))
+            for i in range(10)]
+    rows += [(10, "http://h.example/b", page("<div><p>A second story, rather longer.</p><p>Shared line</p></div>")),
+             (11, "http://h.example/c", page("<div><p>A third story, rather longer.</p><p>Shared line</p></div>"))]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+           .collect()}
+    assert all(got[i] == "A first story, copied." for i in range(10))
+    assert got[10] == "A second story, rather longer." and got[11] == "A third story, rather longer."
+
+
 def test_pages_keep_their_articles(spark):
     pages = table(spark, SF, "pages")
     rows = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
