@@ -242,6 +242,13 @@ def test_lm_scores_equal_brute_force(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_lm_hashes_of_two_ngrams_differ_in_36_bits(monkeypatch):
+    bits = 8
+    near = np.array([5 << 40, (5 << 40) + (1 << 64 - bits - 36)], np.uint64)
+    monkeypatch.setattr(lm_score, "_ngrams", lambda tokens, counts, order: near)
+    assert len(lm_score._requests(None, None, 2, bits)[0]) == 2
+
+
 def test_em_maximises_the_deleted_likelihood():
     rng = np.random.default_rng(4)
     histogram = np.zeros((lm_score.CONTEXT_BUCKETS, lm_score.RATIO_BINS))
