@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
-import os
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,16 +30,32 @@ def vocabulary_copy(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-@contextlib.contextmanager
-def scratch_file(data: bytes, suffix: str = ""):
-    """A short-lived private file for libraries that read only files; removed on leaving."""
-    fd, name = tempfile.mkstemp(suffix=suffix)
-    try:
-        with os.fdopen(fd, "wb") as f:
-            f.write(data)
-        yield name
-    finally:
-        os.unlink(name)
+HEAVY = 1024
+
+
+def heavy_keys(sizes: DataFrame, key: str, n: str, heavy: int = HEAVY) -> DataFrame:
+    """Of ``sizes`` (one row for each key, its number of rows in ``n``) those keys that hold more than a ``heavy``-th
+    of all rows: fewer than ``heavy`` of them by counting, so they can be broadcast."""
+    total = sizes.agg(F.sum(n)).first()[0] or 0
+    return sizes.where(F.col(n) > total // heavy)
+
+
+def sums_beside(rows: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` over their key in ``out`` (null keys are one key).  Sums are added in every
+    task before the shuffle; heavy keys meet their rows by broadcast, the others by a join that no key can load."""
+    sums = cut(rows.groupBy(key).agg(F.sum(value).alias(out), F.count("*").alias("__n"))
+               .withColumnRenamed(key, "__key"))
+    heavy = heavy_keys(sums, "__key", "__n")
+    some = F.broadcast(heavy.select(F.col("__key").alias("__heavy"), F.col(out).alias("__sum")))
+    rows = rows.join(some, F.col(key).eqNullSafe(F.col("__heavy")), "left").drop("__heavy")
+    # a row that has its sum goes anywhere in the second join: its key is a number that no light key has
+    salted = F.when(F.col("__sum").isNull(), F.xxhash64(key)).otherwise(F.xxhash64(*rows.columns))
+    light = F.when(F.col("__sum").isNull(), F.col(key))
+    light_sums = sums.join(heavy.select("__key"), sums["__key"].eqNullSafe(heavy["__key"]), "left_anti") \
+        .select("__key", out, F.xxhash64("__key").alias("__hash"))
+    on = (F.col("__salted") == F.col("__hash")) & F.col("__light").eqNullSafe(F.col("__key")) & F.col("__sum").isNull()
+    return rows.withColumns({"__salted": salted, "__light": light}).join(light_sums, on, "left") \
+        .withColumn(out, F.coalesce("__sum", out)).drop("__sum", "__salted", "__light", "__key", "__hash")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from medallion.llm import decontaminate as decon
 from medallion.llm import embedding_dedup, html_extract, jaccard_join, language_id, line_dedup, lm_score, packing, quality, sharding
+from medallion.llm import vector_codes
 from medallion.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -147,3 +148,43 @@ FROM w LEFT JOIN hit ON hit.doc_id = w.id LEFT JOIN its ON its.doc_id = w.id WHE
 def op10_decontaminate(spark, sf):
     """Documents against the benchmark's ten-word windows."""
     return decon.report(decon.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+
+
+def _code_round(book: str, name: str) -> str:
+    """SQL of one assignment (``d``istances, ``a``ssigned) by the codebook ``book``."""
+    return f"""
+d{name} AS (SELECT x.row, x.part, b.entry, sum((x.x - b.x) * (x.x - b.x)) AS d
+        FROM x JOIN {book} b ON x.part = b.part AND x.pos = b.pos GROUP BY x.row, x.part, b.entry),
+a{name} AS (SELECT row, part, min(d) AS d, arg_min(entry, d * 64 + entry) AS entry FROM d{name} GROUP BY row, part)"""
+
+
+def _next_book(book: str, assigned: str, name: str) -> str:
+    return f"""
+{name} AS (SELECT b.part, b.entry, b.pos, coalesce(m.x, b.x) AS x FROM {book} b LEFT JOIN
+       (SELECT a.part, a.entry, x.pos, CAST(floor(sum(x.x) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS x
+        FROM {assigned} a JOIN x ON a.row = x.row AND a.part = x.part GROUP BY a.part, a.entry, x.pos) m
+       ON m.part = b.part AND m.entry = b.entry AND m.pos = b.pos)"""
+
+
+@register("op13_vector_codes", f"""
+WITH k AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS row, vec_id, label,
+       [CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT) FOR c IN embedding] AS v FROM embeddings
+       WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+x AS (SELECT row, i // (len(v) // 16) AS part, i % (len(v) // 16) AS pos, v[i + 1] AS x
+      FROM (SELECT row, v, unnest(range(0, len(v))) AS i FROM k)),
+b0 AS (SELECT part, row AS entry, pos, x FROM x WHERE row < 64),
+{_code_round("b0", "0")},{_next_book("b0", "a0", "b1")},
+{_code_round("b1", "1")},{_next_book("b1", "a1", "b2")},
+{_code_round("b2", "2")},
+h AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) AS sha FROM b2),
+c AS (SELECT row, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+      FROM a2 GROUP BY row)
+SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+       h.sha AS codebooks_sha256
+FROM k JOIN c ON k.row = c.row CROSS JOIN h
+""")
+def op13_vector_codes(spark, sf):
+    """All embeddings as sixteen-byte codes."""
+    coded, books = vector_codes.compress(table(spark, sf, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error",
+                        F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256"))
