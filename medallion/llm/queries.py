@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from medallion.llm import decontaminate as decon
 from medallion.llm import embedding_dedup, html_extract, jaccard_join, language_id, line_dedup, lm_score, packing, quality, sharding
-from medallion.llm import vector_codes
+from medallion.llm import lexical_search, vector_codes
 from medallion.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -150,6 +150,30 @@ def op10_decontaminate(spark, sf):
     return decon.report(decon.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
 
 
+TERMS = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
+@register("op11_lexical_search", f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERMS}') AS ts FROM documents),
+s AS (SELECT count(*) FILTER (len(ts) > 0) AS nn, sum(len(ts)) AS ll FROM d),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERMS}')) AS t FROM benchmark),
+p AS (SELECT row, t, count(*) AS tf FROM (SELECT row, unnest(ts) AS t FROM d) GROUP BY row, t),
+f AS (SELECT t, CAST(floor(1000 * ln((2 * nn + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM p, s WHERE t IN (SELECT t FROM i) GROUP BY t, nn),
+m AS (SELECT row, doc_id, CAST(50 + (50 * len(ts) * nn) // ll AS BIGINT) AS m FROM d, s),
+c AS (SELECT i.item_id, m.row, m.doc_id, CAST(sum(f.w * ((1000000000 * p.tf) // (1000 * p.tf + 20 * m.m))) AS BIGINT) AS score
+      FROM i JOIN f ON f.t = i.t JOIN p ON p.t = i.t JOIN m ON m.row = p.row GROUP BY i.item_id, m.row, m.doc_id)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM c WHERE score > 0)
+WHERE r <= 50
+""")
+def op11_lexical_search(spark, sf):
+    """The fifty best documents of each benchmark item."""
+    return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def _code_round(book: str, name: str) -> str:
     """SQL of one assignment (``d``istances, ``a``ssigned) by the codebook ``book``."""
     return f"""
