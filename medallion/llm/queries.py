@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from medallion.llm import decontaminate as decon
 from medallion.llm import embedding_dedup, html_extract, jaccard_join, language_id, line_dedup, lm_score, packing, quality, sharding
-from medallion.llm import lexical_search, vector_codes
+from medallion.llm import lexical_search, vector_codes, warc
 from medallion.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -174,6 +174,21 @@ def op11_lexical_search(spark, sf):
     return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@register("op12_warc", """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+r AS (SELECT d, min(page_id) AS head FROM p WHERE n >= 100 GROUP BY d)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN r.head <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN r.head <> p.page_id THEN r.head END AS refers_to
+FROM p LEFT JOIN r ON r.d = p.d
+""")
+def op12_warc(spark, sf):
+    """All pages as WARC records, read back as capture histories; a page's time is its number in seconds."""
+    seconds = F.lit(1_700_000_000) + F.pmod(F.col("page_id"), F.lit(1_000_000_000))
+    return warc.archive_pages(table(spark, sf, "pages"), seconds=seconds) \
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def _code_round(book: str, name: str) -> str:
     """SQL of one assignment (``d``istances, ``a``ssigned) by the codebook ``book``."""
     return f"""
