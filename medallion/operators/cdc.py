@@ -4,10 +4,9 @@ Sequences are structs compared field by field (file order, then order inside the
 are broken by a stable row hash; a NULL sequence field raises inside the job.
 
 SCD 1 is one declarative aggregate (``max_by(row, sequence)``) — partial-aggregated map-side, so a hot key
-costs nothing extra.  SCD 2 needs the previous row and running counts per key; rather than a window over the
-whole key (one task per key), rows are numbered inside (key, time bucket) partitions, bucket offsets come
-from a small per-bucket table, and the previous row / next island are found with equi-joins on
-(key, row number) and (key, island number), which hash-spread a hot key over all tasks.
+costs nothing extra.  SCD 2 needs the previous and the next row of a key; rather than a window over the whole key
+(one task per key), it is a segmented scan: windows by (key, segment of the sorted whole, see ``segments.py``), then
+the versions at the ends of a key's pieces, two for each piece, are put together across the bounds.
 """
 
 from __future__ import annotations
@@ -16,9 +15,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from medallion.functions.columns import distinct_from, quote_ident
+from medallion.operators.segments import Segments
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
@@ -49,75 +48,65 @@ def scd1(df: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
             .select("__r.*"))
 
 
-def time_bucket(df: DataFrame, sequence: list[str], pieces: int = 256) -> Column:
-    """A bucket for the first sequence field that splits a hot key's rows: the day of a date or time; for a number the
-    place among ``pieces`` quantiles of the whole table (one pass over that column)."""
-    kind, c = df.schema[sequence[0]].dataType, _q(sequence[0])
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
-    if isinstance(kind, T.NumericType):
-        edges = df.agg(F.percentile_approx(c.cast("double"), [i / pieces for i in range(1, pieces)], 16 * pieces)).first()[0]
-        below = sorted(set(edges or []))
-        return F.size(F.filter(F.array(*map(F.lit, below)).cast("array<double>"), lambda e: e < c)).cast("long")
-    return F.lit(0).cast("long")
-
-
-def _running_over_buckets(x: DataFrame, value: str, out: str) -> DataFrame:
-    """For each (key, bucket) the sum of ``value`` over the key's earlier buckets (a small table)."""
-    w = Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    return x.groupBy("__k", "__b").agg(F.sum(value).alias("__t")) \
-        .select("__k", "__b", F.coalesce(F.sum("__t").over(w), F.lit(0)).alias(out))
-
-
 def scd2(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str],
-         bucket: Column | None = None, start_col: str = START_AT, end_col: str = END_AT,
-         strategy: str = "bucketed") -> DataFrame:
+         start_col: str = START_AT, end_col: str = END_AT, strategy: str = "segments",
+         segments: int | None = None) -> DataFrame:
     """History (C2): a new version starts where a tracked column IS DISTINCT FROM the previous row's.
 
     Each version carries the values of its last row (untracked changes update the version in place),
     ``__START_AT`` = sequence of its first row, ``__END_AT`` = the next version's start (NULL if open).
     A→B→A gives three versions; in-day corrections give short versions that are kept.  A NULL key is a key.
 
-    ``strategy`` is the caller's choice and never changes a row: ``bucketed`` (default) spreads a hot key over all
-    tasks, ``window`` needs fewer shuffles and sorts a key's rows in one task - for inputs whose keys are known to
-    have few rows, such as a micro-batch with one open version for each key.
+    ``strategy`` is the caller's choice and never changes a row: ``segments`` (default) spreads a hot key over all
+    tasks whatever the type of its sequence, ``window`` saves the sample and sorts a key's rows in one task - for inputs
+    whose keys are known to have few rows, such as a micro-batch with one open version for each key.
     """
-    if strategy not in ("bucketed", "window"):
-        raise ValueError(f"scd2: strategy {strategy!r}; choose 'bucketed' or 'window'")
+    if strategy not in ("segments", "window"):
+        raise ValueError(f"scd2: strategy {strategy!r}; choose 'segments' or 'window'")
     if strategy == "window":
         return scd2_window(df, keys, sequence, tracked, start_col, end_col)
-    return scd2_bucketed(df, keys, sequence, tracked, bucket, start_col, end_col)
+    return scd2_segments(df, keys, sequence, tracked, start_col, end_col, segments)
 
 
-def scd2_bucketed(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str],
-                  bucket: Column | None = None, start_col: str = START_AT, end_col: str = END_AT) -> DataFrame:
-    """Numbering inside (key, time bucket), equi-joins on (key, row) and (key, version).
+def scd2_segments(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str], start_col: str = START_AT,
+                  end_col: str = END_AT, segments: int | None = None) -> DataFrame:
+    """A segmented scan: one shuffle of the rows by (key, segment), one of the versions.
 
-    The keys travel as one struct: structs compare with NULL fields equal, so every join is null-safe."""
-    orig = list(df.columns)
-    b = time_bucket(df, sequence) if bucket is None else bucket
-    x = df.select("*", F.struct(*[_q(k) for k in keys]).alias("__k"), _order(df, sequence).alias("__o"), b.alias("__b"))
-    w = Window.partitionBy("__k", "__b").orderBy("__o")
-    x = x.withColumn("__rnb", F.row_number().over(w)).withColumn("__one", F.lit(1))
-    x = x.join(_running_over_buckets(x, "__one", "__off"), ["__k", "__b"]) \
-        .withColumn("__rn", F.col("__off") + F.col("__rnb"))
-    prev = x.select("__k", (F.col("__rn") + 1).alias("__rn"),
-                    *[_q(t).alias(f"__p{i}") for i, t in enumerate(tracked)], F.lit(True).alias("__has_prev"))
-    x = x.join(prev, ["__k", "__rn"], "left")
-    changed = F.col("__has_prev").isNull()
-    for i, t in enumerate(tracked):
-        changed = changed | distinct_from(_q(t), F.col(f"__p{i}"))
-    x = x.withColumn("__chg", changed.cast("long"))
-    x = x.withColumn("__csb", F.sum("__chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    x = x.join(_running_over_buckets(x, "__chg", "__coff"), ["__k", "__b"]) \
-        .withColumn("__isl", F.col("__coff") + F.col("__csb"))
-    isl = (x.groupBy("__k", "__isl")
-           .agg(F.min("__o").getField("s").alias("__start"),
-                F.max_by(F.struct(*[_q(c) for c in orig]), F.col("__o")).alias("__row")))
-    nxt = isl.select("__k", (F.col("__isl") - 1).alias("__isl"), F.col("__start").alias("__end"))
-    out = isl.join(nxt, ["__k", "__isl"], "left")
-    return out.select(*[F.col("__row." + quote_ident(c)).alias(c) for c in orig],
-                      F.col("__start").alias(start_col), F.col("__end").alias(end_col))
+    The keys travel as one struct: structs compare with NULL fields equal.  Identical rows differ in their row id alone,
+    so even they are cut into segments; which of them comes first changes no version."""
+    x = df.select("*", F.struct(*[_q(k) for k in keys]).alias("__k"),
+                  F.struct(_order(df, sequence).alias("o"), F.monotonically_increasing_id().alias("i")).alias("__o"))
+    cut = Segments(x, "__k", "__o", segments)
+    x = cut.place(x, "__p").withColumn("__x", cut.crosses("__p"))
+
+    # versions within a piece (key, segment): the row before decides where one starts, the row after where it ends
+    piece = Window.partitionBy("__k", "__p").orderBy("__o")
+    so_far = piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seq = F.col("__o.o.s")
+    changed = F.lag("__o").over(piece).isNull()
+    for t in tracked:
+        changed = changed | distinct_from(_q(t), F.lag(_q(t)).over(piece))
+    x = x.withColumn("__new", changed)
+    start = F.last(F.when(F.col("__new"), seq), ignorenulls=True)
+    x = x.select("*", start.over(so_far).alias("__start"), F.lead(seq).over(piece).alias("__end"),
+                 F.lead("__new").over(piece).alias("__next"), F.sum(F.col("__new").cast("long")).over(so_far).alias("__n"))
+    versions = x.where(F.coalesce("__next", F.lit(True)))
+
+    # a key's pieces meet: their first and last versions, in order, are one window of two rows for each bound
+    at_end = F.col("__x") & ((F.col("__n") == 1) | F.col("__end").isNull())
+    versions = versions.withColumn("__q", F.when(at_end, -1).otherwise(F.col("__p")))
+    ends = Window.partitionBy("__k", "__q").orderBy("__p", "__n")
+    same = (F.col("__q") == -1) & (F.lag("__p").over(ends) < F.col("__p"))
+    for t in tracked:
+        same = same & ~distinct_from(_q(t), F.lag(_q(t)).over(ends))
+    versions = versions.withColumn("__new", ~F.coalesce(same, F.lit(False)))
+    whole = F.last(F.when(F.col("__new"), F.col("__start")), ignorenulls=True) \
+        .over(ends.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    after = F.when(F.col("__q") == -1, F.lead("__start").over(ends))
+    versions = versions.select("*", whole.alias("__first"), F.coalesce("__end", after).alias("__last"),
+                               F.lead("__new").over(ends).alias("__follows"))
+    return versions.where(F.coalesce("__follows", F.lit(True))) \
+        .select(*[_q(c) for c in df.columns], F.col("__first").alias(start_col), F.col("__last").alias(end_col))
 
 
 def scd2_window(df: DataFrame, keys: list[str], sequence: list[str], tracked: list[str],

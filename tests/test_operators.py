@@ -149,7 +149,7 @@ def test_scd1_and_scd2(spark):
     df = spark.createDataFrame(data, "k string, f int, u int, dep string, other string")
     cur = cdc.scd1(df, ["k"], ["f", "u"])
     assert rows(cur, "k", "dep", "other") == [("e1", "A", "w"), ("e2", "C", "q")]
-    h = cdc.scd2(df, ["k"], ["f", "u"], ["dep"], strategy="bucketed")
+    h = cdc.scd2(df, ["k"], ["f", "u"], ["dep"], strategy="segments")
     got = rows(h.select("k", "dep", "other", F.col("__START_AT.f").alias("sf"), F.col("__START_AT.u").alias("su"),
                         F.col("__END_AT.f").alias("ef")), "k", "sf", "su", "dep", "other", "ef")
     # A -> B -> A gives three versions; the B version keeps its last row's untracked value
@@ -158,16 +158,16 @@ def test_scd1_and_scd2(spark):
     ref = cdc.scd2(df, ["k"], ["f", "u"], ["dep"], strategy="window")
     assert sets.compare_tables(h, ref).collect()[0]["identical"]
     unknown = df.unionByName(spark.createDataFrame([(None, 1, 1, "A", "x"), (None, 2, 1, "B", "y")], df.schema))
-    both = [cdc.scd2(unknown, ["k"], ["f", "u"], ["dep"], strategy=s) for s in ("bucketed", "window")]
+    both = [cdc.scd2(unknown, ["k"], ["f", "u"], ["dep"], strategy=s) for s in ("segments", "window")]
     assert both[0].where("k is null").count() == 2  # a NULL key is a key, in either plan
     assert sets.compare_tables(*both).collect()[0]["identical"]
     with pytest.raises(Exception, match="NULL value in the sequence"):
         cdc.scd1(spark.createDataFrame([("e", None, 1)], "k string, f int, u int"), ["k"], ["f", "u"]).collect()
 
 
-def test_scd2_bucketed_equals_window_on_events(spark):
+def test_scd2_segments_equal_window_on_events(spark):
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    a = cdc.scd2(e, ["user_id"], ["ts", "event_id"], ["event_type"], bucket=F.dayofmonth("ts"), strategy="bucketed")
+    a = cdc.scd2(e, ["user_id"], ["ts", "event_id"], ["event_type"])
     b = cdc.scd2_window(e, ["user_id"], ["ts", "event_id"], ["event_type"])
     r = sets.compare_tables(a, b).collect()[0]
     assert r["identical"] and r["left_rows"] > 0
@@ -315,10 +315,10 @@ def test_skew_safe_plans_have_no_per_key_window(spark):
     u = {r["k"]: (r["v"], r["seq"]) for r in plans[1].collect()}
     assert u[7] == ("4", 9)  # hot key: the largest text value, then the smallest seq
     ref = cdc.scd2(hot.withColumn("ts", F.timestamp_seconds("seq")), ["k"], ["ts"], ["v"], strategy="window")
-    got = cdc.scd2(hot.withColumn("ts", F.timestamp_seconds("seq")), ["k"], ["ts"], ["v"], bucket=F.floor(F.col("seq") / 100))
+    got = cdc.scd2(hot.withColumn("ts", F.timestamp_seconds("seq")), ["k"], ["ts"], ["v"])
     assert sets.compare_tables(got, ref).collect()[0]["identical"]
-    numeric = [cdc.scd2(hot, ["k"], ["seq"], ["v"], strategy=s) for s in ("bucketed", "window")]
-    assert sets.compare_tables(*numeric).collect()[0]["identical"]  # quantile buckets of a number
+    numeric = [cdc.scd2(hot, ["k"], ["seq"], ["v"], strategy=s) for s in ("segments", "window")]
+    assert sets.compare_tables(*numeric).collect()[0]["identical"]
 
 
 def test_graph_output_node(spark, tmp):
