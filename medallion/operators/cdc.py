@@ -76,8 +76,7 @@ def scd2_segments(df: DataFrame, keys: list[str], sequence: list[str], tracked:
     so even they are cut into segments; which of them comes first changes no version."""
     x = df.select("*", F.struct(*[_q(k) for k in keys]).alias("__k"),
                   F.struct(_order(df, sequence).alias("o"), F.monotonically_increasing_id().alias("i")).alias("__o"))
-    cut = Segments(x, "__k", "__o", segments)
-    x = cut.place(x, "__p").withColumn("__x", cut.crosses("__p"))
+    x = Segments(x, "__k", "__o", segments).place(x, "__p", "__x")
 
     # versions within a piece (key, segment): the row before decides where one starts, the row after where it ends
     piece = Window.partitionBy("__k", "__p").orderBy("__o")

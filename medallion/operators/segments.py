@@ -12,9 +12,11 @@ in generated code, a projection for each halving.  Bounds decide how rows are de
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medallion.functions.columns import quote_ident
+
 PER = 16  # sampled rows for each bound
 
 
@@ -29,18 +31,17 @@ class Segments:
         self.bounds = sample.agg(F.sort_array(F.collect_list("v")).alias("v")) \
             .select(F.filter("v", lambda _, i: i % PER == PER - 1)).scalar()
 
-    def place(self, df: DataFrame, out: str) -> DataFrame:
-        """``df`` with each row's segment: the number of bounds that are not above it."""
+    def place(self, df: DataFrame, place: str, crosses: str) -> DataFrame:
+        """``df`` with each row's segment in ``place``, the number of bounds that are not above the row, and in
+        ``crosses`` whether a bound of that segment lies within the row's key, so that the key may go on beside it."""
         value = F.struct(F.col(self.key).alias("k"), F.col(self.order).alias("o"))
-        step = 1 << max(self.n - 1, 0).bit_length()
-        df = df.withColumn(out, F.lit(0))
-        while step:
-            inside = F.get(self.bounds, F.col(out) + F.lit(step - 1)) <= value  # NULL beyond the last bound
-            df = df.withColumn(out, F.when(inside, F.col(out) + step).otherwise(F.col(out)))
-            step //= 2
-        return df
-
-    def crosses(self, place: str) -> Column:
-        """Whether a bound of the row's segment lies within the row's key: the key may go on beside it."""
-        beside = [F.get(self.bounds, F.col(place) + i).getField("k").eqNullSafe(F.col(self.key)) for i in (-1, 0)]
-        return F.coalesce(beside[0] & (F.col(place) > 0), F.lit(False)) | F.coalesce(beside[1], F.lit(False))
+        steps = [F.lit(0)]  # one select, whose later columns refer to earlier ones: a projection for each halving
+        for i in reversed(range(max(self.n - 1, 0).bit_length() + 1)):
+            at = F.col(f"__s{len(steps) - 1}")
+            inside = F.get("__bounds", at + F.lit((1 << i) - 1)) <= value  # NULL beyond the last bound
+            steps.append(F.when(inside, at + F.lit(1 << i)).otherwise(at))
+        at = F.col(f"__s{len(steps) - 1}")
+        beside = [F.get("__bounds", at + i).getField("k").eqNullSafe(F.col(self.key)) for i in (-1, 0)]
+        found = df.select("*", self.bounds.alias("__bounds"), *[s.alias(f"__s{i}") for i, s in enumerate(steps)],
+                          (((at > 0) & beside[0]) | ((at < F.size("__bounds")) & beside[1])).alias(crosses))
+        return found.select(*[F.col(quote_ident(c)) for c in df.columns], at.alias(place), crosses)

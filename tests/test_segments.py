@@ -31,8 +31,7 @@ def flat(df):
 def test_places_follow_the_order_and_split_a_hot_key(spark):
     df = spark.range(0, 5000, 1, 4).select(F.struct(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k")).alias("k"),
                                            F.struct(F.col("id").cast("string").alias("s")).alias("o"))
-    cut = Segments(df, "k", "o", 40)
-    placed = cut.place(df, "p").withColumn("x", cut.crosses("p")).collect()
+    placed = Segments(df, "k", "o", 40).place(df, "p", "x").collect()
     ranked = sorted(placed, key=lambda r: (r.k.k, r.o.s))
     assert [r.p for r in ranked] == sorted(r.p for r in placed)
     hot = {r.p for r in placed if r.k.k == 7}
