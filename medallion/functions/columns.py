@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +74,14 @@ def distinct_from(a, b) -> Column:
     return ~as_column(a).eqNullSafe(as_column(b))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL equals NULL; the keys of ``left`` stay."""
+    own = [f"__r{i}" for i in range(len(keys))]
+    other = right.select(*[col_exact(k).alias(o) for k, o in zip(keys, own)],
+                         *[col_exact(c) for c in right.columns if c not in keys])
+    return left.join(other, [left[quote_ident(k)].eqNullSafe(other[o]) for k, o in zip(keys, own)], how).drop(*own)
+
+
 def struct_order_key(keys: list[tuple], schema: T.StructType | None = None) -> Column | None:
     """Encode ``[(expr, 'ASC'|'DESC')]`` with NULLS LAST as one ascending struct, for ``min_by``.
 

@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.operators.percentile import exact_percentiles, null_safe_join
+from medallion.functions.columns import null_safe_join
+from medallion.operators.percentile import exact_percentiles
 
 MIDDLE, LIST_SEPARATOR = 0.5, ", "  # fixed values: defaults of PERCENTILE and CONCAT
 # Functions whose column may have any name; all others take the text between the brackets as SQL.

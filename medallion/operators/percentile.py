@@ -1,56 +1,53 @@
-"""Exact percentiles with linear interpolation that never hold a group in one task (A3, A6): one plan for all sizes.
+"""Exact percentiles with linear interpolation (A3, A6): counts by (group, value) in segments, then the wanted segments.
 
-1. A mergeable sketch for each group gives its row count and approximate values that cut it into ``bins`` bins.
-2. Rows are counted by (group, bin), pre-combined in every task; running totals over a group's few bins tell which
-   bins hold the ranks floor(p * (n - 1)) and ceil(p * (n - 1)) of each wanted p.
-3. Only the rows of these bins are kept, counted by value, and the values at the ranks are read off.
+1. Rows are counted by (group, value), pre-combined in every task, so a frequent value is one row of each task.  Every
+   value has its place among sampled bounds (see ``segments.py``): a group of ordinary size is one piece, a hot group many.
+2. Sums of the pieces' counts, running totals over a group's few pieces, tell which pieces hold the ranks
+   floor(p (n - 1)) and ceil(p (n - 1)) of each wanted p.
+3. Only the counts of these pieces are sorted, and the values at the ranks are read off.
 
-A task's state is the different values of one bin, about a group's rows over ``bins``; raise ``bins`` for single groups
-beyond some hundred billion rows.  Values are compared and returned as doubles, as Spark's own percentile does.
+Nothing grows beside the rows, no group is held in one task, and the plan is the same for all sizes: one scan besides
+the sample of the bounds; the shuffle of the counts serves both steps.  Values are compared and returned as doubles, as
+Spark's own percentile does (NaN is the greatest).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 512
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join on keys where NULL equals NULL; the left keys stay."""
-    other = right.select(*(F.col(k).alias(f"__r_{k}") for k in keys), *(c for c in right.columns if c not in keys))
-    return left.join(other, [left[k].eqNullSafe(other[f"__r_{k}"]) for k in keys], how).drop(*(f"__r_{k}" for k in keys))
+from medallion.operators.segments import Segments
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: Column, ranks: list[float], out: str = "percentiles",
-                      bins: int = BINS) -> DataFrame:
+                      segments: int | None = None) -> DataFrame:
     """``keys`` and ``out``: an array with the percentile of ``value`` for each of ``ranks``.  Groups whose values are
     all NULL are absent."""
-    base = df.select(*keys, value.cast("double").alias("__v")).where("__v is not null")
-    sketch = base.groupBy(*keys).agg(
-        F.count("*").alias("__n"),
-        F.percentile_approx("__v", [i / bins for i in range(1, bins)], 8 * bins).alias("__edges"))
-    binned = null_safe_join(base, sketch, keys).select(
-        *keys, "__v", "__n", F.size(F.filter("__edges", lambda e: e < F.col("__v"))).alias("__bin"))
-    # the two neighbouring ranks of each wanted percentile
-    exact = [F.lit(float(p)) * (F.col("__n") - 1) for p in ranks]
-    places = F.array_distinct(F.flatten(F.array(*(F.array(F.floor(x), F.ceil(x)) for x in exact))))
-    in_order = Window.partitionBy(*keys).orderBy("__bin")
-    bin_sizes = binned.groupBy(*keys, "__bin", "__n").agg(F.count("*").alias("__size")) \
-        .withColumn("__start", F.sum("__size").over(in_order) - F.col("__size"))
-    wanted = bin_sizes.where(F.exists(places, lambda r: (r >= F.col("__start")) & (r < F.col("__start") + F.col("__size"))))
-    counted = null_safe_join(binned.drop("__n"), wanted.drop("__size"), [*keys, "__bin"]) \
-        .groupBy(*keys, "__bin", "__n", "__start", "__v").agg(F.count("*").alias("__times"))
-    by_value = Window.partitionBy(*keys, "__bin").orderBy("__v")
-    spans = counted.withColumn("__end", F.col("__start") + F.sum("__times").over(by_value)) \
-        .withColumn("__first", F.col("__end") - F.col("__times"))
-
-    def at(place: Column) -> Column:
-        return F.max(F.when((place >= F.col("__first")) & (place < F.col("__end")), F.col("__v")))
-
-    picks = [c for i, x in enumerate(exact) for c in (at(F.floor(x)).alias(f"__low{i}"), at(F.ceil(x)).alias(f"__high{i}"))]
-    found = spans.groupBy(*keys, "__n").agg(*picks)
+    base = df.select(F.struct(*keys).alias("__k"), F.struct(value.cast("double").alias("v")).alias("__o")) \
+        .where("__o.v is not null")
+    counted = Segments(base, "__k", "__o", segments).place(base, "__p", "__x") \
+        .groupBy("__k", "__p", F.col("__o.v").alias("__v")).agg(F.count("*").alias("__n"))
+    whole = Window.partitionBy("__k")
+    pieces = counted.groupBy("__k", "__p").agg(F.sum("__n").alias("__t")) \
+        .select("__k", "__p", F.sum("__t").over(whole).alias("__size"),
+                (F.sum("__t").over(whole.orderBy("__p")) - F.col("__t")).alias("__first"),
+                F.sum("__t").over(whole.orderBy("__p")).alias("__end"))
+    exact = [F.lit(float(p)) * (F.col("__size") - 1) for p in ranks]
+
+    def holds(place: Column) -> Column:
+        return (place >= F.col("__first")) & (place < F.col("__end"))
+
+    wanted = pieces.where(reduce(or_, (holds(f(x)) for x in exact for f in (F.floor, F.ceil)))).drop("__end")
+    by_value = Window.partitionBy("__k", "__p").orderBy("__v")
+    spans = counted.join(wanted, ["__k", "__p"]) \
+        .withColumn("__end", F.col("__first") + F.sum("__n").over(by_value)) \
+        .select("__k", "__v", "__size", "__end", (F.col("__end") - F.col("__n")).alias("__first"))
+    picks = [F.max(F.when(holds(f(x)), F.col("__v"))).alias(f"__{name}{i}")
+             for i, x in enumerate(exact) for name, f in (("low", F.floor), ("high", F.ceil))]
+    found = spans.groupBy("__k", "__size").agg(*picks)
     results = [F.when(x == F.floor(x), F.col(f"__low{i}")).otherwise(
         F.col(f"__low{i}") + (x - F.floor(x)) * (F.col(f"__high{i}") - F.col(f"__low{i}"))) for i, x in enumerate(exact)]
-    return found.select(*keys, F.array(*results).alias(out))
+    return found.select("__k.*", F.array(*results).alias(out))

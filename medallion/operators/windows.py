@@ -14,22 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion.functions.columns import quote_ident
+from medallion.functions.columns import null_safe_join, quote_ident
 
 
 def _q(name: str) -> Column:
     return F.col(quote_ident(name))
 
 
-def _ns_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` treating NULL = NULL as a match (``<=>``); right key columns dropped."""
-    r = right.select(*[_q(k).alias(f"__rk_{i}") for i, k in enumerate(keys)],
-                     *[c for c in right.columns if c not in keys])
-    cond = [left[quote_ident(k)].eqNullSafe(r[f"__rk_{i}"]) for i, k in enumerate(keys)]
-    out = left.join(r, cond, how)
-    return out.drop(*[f"__rk_{i}" for i in range(len(keys))])
-
-
 SALTS = 32  # parts of a key in the first step of latest_per_key
 
 
@@ -53,7 +44,7 @@ def rows_of_last_file(df: DataFrame, entity: list[str], file_col: str, order_col
     once its measured size allows it, and splits the skewed partitions of the shuffle join otherwise.
     """
     lf = last_file(df, entity, file_col, order_col).withColumnRenamed("last_source_file", file_col)
-    return _ns_join(df, lf, entity + [file_col], "inner")
+    return null_safe_join(df, lf, entity + [file_col], "inner")
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str], count_as: str | None = "versions_in_file",

@@ -28,6 +28,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion.functions.columns import null_safe_join
 from medallion.operators import cdc
 from medallion.operators.quality import Expectation, apply_expectations, observed_metrics
 from medallion.sinks.fs import FS
@@ -43,12 +44,6 @@ def _tag_kind(versions: DataFrame) -> DataFrame:
     return versions.withColumn(KIND_COL, F.when(F.col(cdc.END_AT).isNull(), "open").otherwise("closed"))
 
 
-def _of_keys(df: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join on the keys, a NULL key equal to a NULL key; the keys of ``df`` stay."""
-    renamed = other.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in other.columns if c not in keys])
-    return df.join(renamed, [df[k].eqNullSafe(renamed[f"__{k}"]) for k in keys], how).drop(*[f"__{k}" for k in keys])
-
-
 @dataclass
 class CdcSpec:
     target: str
@@ -216,7 +211,7 @@ class Pipeline:
         seq = F.struct(*[F.col(c) for c in spec.sequence])
         first = batch.groupBy(*spec.keys).agg(F.min(seq).alias("__first"))
         last = target.read(version=base, buckets=touched, kinds={"open"}).select(*spec.keys, seq.alias("__last"))
-        late = _of_keys(first, last, spec.keys, "inner").where(F.col("__first") <= F.col("__last"))
+        late = null_safe_join(first, last, spec.keys, "inner").where(F.col("__first") <= F.col("__last"))
         return [r[0] for r in late.select(bucket.alias("b")).distinct().collect()]  # at most the number of buckets
 
     @staticmethod
@@ -224,11 +219,11 @@ class Pipeline:
                  base: int | None) -> DataFrame:
         """The whole history of these buckets, that of the batch's keys computed anew from the silver log."""
         keys_df = batch.select(*spec.keys).distinct()
-        log = _of_keys(silver.read(buckets=buckets), keys_df, spec.keys, "left_semi")
+        log = null_safe_join(silver.read(buckets=buckets), keys_df, spec.keys, "left_semi")
         rebuilt = cdc.scd2(log, spec.keys, spec.sequence, tracked, strategy=spec.strategy)
         if base is None:
             return rebuilt
-        others = _of_keys(target.read(version=base, buckets=buckets), keys_df, spec.keys, "left_anti")
+        others = null_safe_join(target.read(version=base, buckets=buckets), keys_df, spec.keys, "left_anti")
         return others.unionByName(rebuilt)
 
     @staticmethod
@@ -242,8 +237,8 @@ class Pipeline:
         cols = batch.columns
         open_cur = target.read(version=base, buckets=buckets, kinds={"open"})
         keys_df = batch.select(*spec.keys).distinct()
-        affected = _of_keys(open_cur, keys_df, spec.keys, "left_semi")
-        untouched = _of_keys(open_cur, keys_df, spec.keys, "left_anti")
+        affected = null_safe_join(open_cur, keys_df, spec.keys, "left_semi")
+        untouched = null_safe_join(open_cur, keys_df, spec.keys, "left_anti")
         starts = affected.select(*spec.keys, seq.alias("__pseudo"), F.col(cdc.START_AT).alias("__orig"))
         versions = cdc.scd2(affected.select(*cols).unionByName(batch), spec.keys, spec.sequence, tracked,
                             strategy=spec.strategy)

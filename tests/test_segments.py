@@ -72,3 +72,28 @@ def test_history_takes_two_shuffles_and_no_join(spark):
     plan = cdc.scd2(df, ["k"], ["s"], ["v"])._jdf.queryExecution().executedPlan().toString()
     main = plan.split("Subquery")[0]
     assert main.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_percentiles_of_cut_groups_frequent_values_and_nulls(spark):
+    from medallion.operators.percentile import exact_percentiles
+    rng = random.Random(4)
+    rows = [("hot", rng.gauss(0, 1)) for _ in range(3000)] + [("hot", 0.25)] * 2000 + [(None, float(i % 7)) for i in range(500)]
+    rows += [("few", 1.5), ("few", None), ("none", None), ("nan", float("nan")), ("nan", 1.0), ("nan", 2.0)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    ranks = [0.0, 0.013, 0.5, 0.999, 1.0]
+    want = {r.k: r.p for r in df.where("v is not null").groupBy("k").agg(F.percentile("v", ranks).alias("p")).collect()}
+    for segments in (1, 40):
+        got = {r.k: r.percentiles for r in exact_percentiles(df, ["k"], F.col("v"), ranks, segments=segments).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[k] == pytest.approx(want[k], nan_ok=True) for k in want)
+
+
+def test_percentile_plan_carries_no_array_beside_rows(spark):
+    from medallion.operators.percentile import exact_percentiles
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"))
+    out = exact_percentiles(df, ["k"], F.col("v"), [0.5])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "percentile_approx" not in plan and "lambda" not in plan.split("Subquery")[0]
+    assert "ReusedExchange" in plan  # the shuffle of the counts serves the pieces' sums as well
