@@ -1,15 +1,15 @@
 """Unique (O4, O5, W4): one row per key, optionally the first by a sort order.
 
-The plan is an aggregate, not a window: ``min_by(row, order_key)`` is a declarative aggregate with a
-map-side partial step, so a key holding a third of the rows is reduced inside every task before the
-shuffle.  A DESC sort on a type that cannot be negated (text, numbers) narrows each group one key at a time
-(per-group max / min joined back), still without a per-key window.
+Without a sort, and where the sort fits one ascending struct, the plan is an aggregate: ``min_by(row, order_key)`` has a
+map-side partial step.  Any other sort (DESC on text or numbers) is a ranked window that Spark limits to one row for
+each key in every task before the shuffle (``WindowGroupLimit``).  Either way a key holding a third of the rows is one
+row of each task.
 Ties are broken by input order (a hidden ``monotonically_increasing_id``), which makes the choice stable.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.functions.columns import as_column, quote_ident, struct_order_key
@@ -45,20 +45,11 @@ def unique(df: DataFrame, columns: list[str] | None = None, all_columns: bool =
                 .agg(F.min_by(row, order).alias("__row"))
                 .select("__row.*"))
     else:
-        # A DESC key that cannot be negated (text, numbers): narrow each group key by key — per-group max / min
-        # (aggregates, pre-combined map-side) joined back null-safely — then the earliest input row.
-        cand = tagged
-        gk = [F.col(quote_ident(c)) for c in cols]
-        for i, (e, d) in enumerate(keys):
-            v = f"__s{i}"
-            cand = cand.withColumn(v, as_column(e))
-            best_v = cand.groupBy(*gk).agg((F.max(v) if str(d).upper() == "DESC" else F.min(v)).alias("__best"))
-            best_v = best_v.select(*[F.col(quote_ident(c)).alias(f"__g_{j}") for j, c in enumerate(cols)], "__best")
-            cond = [cand[quote_ident(c)].eqNullSafe(best_v[f"__g_{j}"]) for j, c in enumerate(cols)]
-            cand = (cand.join(best_v, cond).where(F.col(v).eqNullSafe(F.col("__best")))
-                    .drop("__best", v, *[f"__g_{j}" for j in range(len(cols))]))
-        row = F.struct(*[F.col(quote_ident(c)) for c in tagged.columns])
-        best = cand.groupBy(*gk).agg(F.min_by(row, F.col(idx)).alias("__row")).select("__row.*")
+        first = Window.partitionBy(*[F.col(quote_ident(c)) for c in cols]).orderBy(
+            *[(as_column(e).desc_nulls_last() if str(d).upper() == "DESC" else as_column(e).asc_nulls_last())
+              for e, d in keys], F.col(idx))
+        place = _free(tagged, "__place")
+        best = tagged.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place)
     if keep_input_order:
         best = best.orderBy(idx)
     return best.drop(idx)

@@ -1,9 +1,11 @@
 """Latest delivery and keep-latest with version counts and previous values.
 
-A window over a key sends all its rows to one task, which does not survive a key holding a third of the rows.  Here a
-key's rows are first reduced in salted parts (the two newest and the count of each), then within the key; the newest
-file comes from a declarative aggregate and meets the rows in a null-safe equi-join (broadcast by adaptive execution
-when small, skew-split otherwise).
+The two newest rows of a key come from a ranked window whose filter Spark turns into a limit of two rows for each key
+in every task before the shuffle (``WindowGroupLimit``), and once more after it: a key with a third of all rows sends two
+rows from each task.  Its number of rows is a count that is pre-combined likewise.  The keys travel as one struct, so that
+both parts are partitioned alike, meet without another shuffle, and NULL keys are equal.  The newest file comes from a
+declarative aggregate and meets the rows in a null-safe equi-join (broadcast by adaptive execution when small,
+skew-split otherwise).
 
 Order values are structs ``(order columns..., tie-break)``: ``updated_at`` ties are broken by a stable
 row hash instead of arbitrarily.
@@ -21,9 +23,6 @@ def _q(name: str) -> Column:
     return F.col(quote_ident(name))
 
 
-SALTS = 32  # parts of a key in the first step of latest_per_key
-
-
 def order_key(order: list[str], df: DataFrame, tie_break: bool = True) -> Column:
     parts = [_q(c).alias(f"o{i}") for i, c in enumerate(order)]
     if tie_break:
@@ -51,24 +50,22 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str], count_as: s
                    previous: dict[str, str] | None = None) -> DataFrame:
     """One row per key: the newest by ``order``, with the number of rows of the key and values of the
     previous row (``previous = {output_name: column}``; NULL when the key has a single row).
-
-    Two steps over one scan: within each (key, salt) the two newest rows and the row count, then within the key the
-    newest of at most 2 * SALTS rows.  The salt comes from the row, so a hot key's rows are sorted by many tasks.
     """
-    key_columns = [_q(k) for k in keys]
-    salted = df.withColumn("__ok", order_key(order, df)) \
-        .withColumn("__salt", F.pmod(F.xxhash64(*[_q(c) for c in df.columns]), F.lit(SALTS)))
-    some = Window.partitionBy(*key_columns, "__salt")
-    reduced = salted.select("*", F.row_number().over(some.orderBy(F.desc("__ok"))).alias("__rank"),
-                            F.count(F.lit(1)).over(some).alias("__rows")).where("__rank <= 2")
-    whole = Window.partitionBy(*key_columns)
-    newest_first = whole.orderBy(F.desc("__ok"))
-    extra = {count_as: F.sum(F.when(F.col("__rank") == 1, F.col("__rows"))).over(whole)} if count_as else {}
-    extra |= {name: F.lead(_q(column)).over(newest_first) for name, column in (previous or {}).items()}
-    kept = [c for c in df.columns if c not in extra]
-    ranked = reduced.select(*[_q(c) for c in kept], *[c.alias(name) for name, c in extra.items()],
-                            F.row_number().over(newest_first).alias("__place"))
-    return ranked.where("__place = 1").drop("__place")
+    previous = previous or {}
+    x = df.select("*", F.struct(*[_q(k) for k in keys]).alias("__k"), order_key(order, df).alias("__ok"))
+    kept = F.struct(*[_q(c) for c in df.columns if c != count_as and c not in previous])
+    if not previous:  # the newest row and the count are one aggregate
+        out = x.groupBy("__k").agg(F.max_by(kept, "__ok").alias("__row"), F.count(F.lit(1)).alias("__n"))
+    else:
+        newest_first = Window.partitionBy("__k").orderBy(F.desc("__ok"))
+        top = x.select("*", F.row_number().over(newest_first).alias("__rank")).where(F.col("__rank") <= 2)
+        second = F.struct(*[_q(column).alias(f"p{i}") for i, column in enumerate(previous.values())])
+        out = top.groupBy("__k").agg(F.first(F.when(F.col("__rank") == 1, kept), ignorenulls=True).alias("__row"),
+                                     F.first(F.when(F.col("__rank") == 2, second), ignorenulls=True).alias("__p"))
+        if count_as:
+            out = out.join(x.groupBy("__k").agg(F.count(F.lit(1)).alias("__n")), "__k")
+    count = [F.col("__n").alias(count_as)] if count_as else []
+    return out.select("__row.*", *count, *[F.col(f"__p.p{i}").alias(name) for i, name in enumerate(previous)])
 
 
 def last_delivery_latest(df: DataFrame, entity: list[str], key: list[str], file_col: str, file_order: str,

@@ -297,18 +297,21 @@ def test_guardrails_and_column_checks(spark):
         require_columns(df, ["missing"])
 
 
-def test_skew_safe_plans_have_no_per_key_window(spark):
-    """SCD 1 and unique are aggregates, keep-latest takes the newest rows by (key, salt) first: a hot key is
-    pre-combined, never one window task."""
+def test_skew_safe_plans_combine_a_hot_key_in_every_task(spark):
+    """SCD 1 is an aggregate; unique by any order and keep-latest limit a key's rows in every task before the shuffle."""
     hot = spark.range(0, 3000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))).alias("k"),
                                       F.col("id").alias("seq"), (F.col("id") % 5).cast("string").alias("v"))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
     plans = [cdc.scd1(hot, ["k"], ["seq"]),
              unique(hot, ["k"], all_columns=False, sort=[("v", "DESC"), ("seq", "ASC")])]
-    for df in plans:
-        assert "Window" not in df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan(plans[0])
     latest = windows.latest_per_key(hot, ["k"], ["seq"], previous={"pv": "v"})
-    shuffles = re.findall(r"hashpartitioning\((.*?), \d+\)", latest._jdf.queryExecution().executedPlan().toString())
-    assert len(shuffles) == 2 and sum("__salt" in s for s in shuffles) == 1
+    for df, limit, shuffles in ((plans[1], 1, 1), (latest, 2, 2)):
+        assert re.search(rf"WindowGroupLimit .*row_number\(\), {limit}, Partial", plan(df))
+        assert plan(df).count("Exchange hashpartitioning") == shuffles
     top = {r["k"]: r for r in latest.collect()}
     assert (top[7]["seq"], top[7]["v"], top[7]["pv"], top[7]["versions_in_file"]) == (2997, "2", "4", 1001)
     assert top[4]["pv"] is None and top[4]["versions_in_file"] == 1
