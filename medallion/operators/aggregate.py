@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.functions.columns import null_safe_join
+from medallion.functions.columns import null_safe_join, quote_ident
 from medallion.operators.percentile import exact_percentiles
 
 MIDDLE, LIST_SEPARATOR = 0.5, ", "  # fixed values: defaults of PERCENTILE and CONCAT
@@ -63,14 +63,20 @@ class Measure:
     def _argument(self) -> Column:
         return F.expr(self.source) if self.is_expression else F.col(self.source)
 
+    def _listagg(self) -> str:
+        """LISTAGG in the order of the values, if asked for; no value at all gives an empty text."""
+        separator = self.options.get("separator")
+        separator = separator if isinstance(separator, str) else LIST_SEPARATOR
+        literal = "'" + separator.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        argument = self.source if self.is_expression else quote_ident(self.source)
+        order = f" WITHIN GROUP (ORDER BY {argument})" if self.options.get("order") else ""
+        return f"coalesce(listagg(CAST({argument} AS STRING), {literal}){order}, '')"
+
     def column(self) -> Column:
         if self.passes_through:
             out = self._argument()
         elif self.function == "CONCAT":
-            separator = self.options.get("separator")
-            values = F.collect_list(self._argument())
-            values = F.array_sort(values) if self.options.get("order") else values
-            out = F.concat_ws(separator if isinstance(separator, str) else LIST_SEPARATOR, values.cast("array<string>"))
+            out = F.expr(self._listagg())
         elif self.function == "COUNT_DISTINCT":
             out = F.count_distinct(F.expr(self.source) if self.is_expression or not self.source else self._argument())
         elif self.function in OF_ONE_COLUMN and not self.is_expression and self.source != "*":

@@ -60,7 +60,7 @@ class QualityResult:
     rules: list
 
 
-def _violated(e: Expectation, null_is_violation: bool) -> Column:
+def violated(e: Expectation, null_is_violation: bool) -> Column:
     return F.coalesce(~as_column(e.predicate), F.lit(bool(null_is_violation)))
 
 
@@ -73,7 +73,7 @@ def apply_expectations(df: DataFrame, rules: list[Expectation], dataset: str = "
         metrics = df.sparkSession.createDataFrame(
             [], "dataset string, rule string, action string, failed long, passed long")
         return QualityResult(kept, empty, metrics, obs, [])
-    flags = {e.name: _violated(e, null_is_violation) for e in rules}
+    flags = {e.name: violated(e, null_is_violation) for e in rules}
     x = df.withColumn(FAILED_RULES, F.filter(
         F.array(*[F.when(flags[e.name], F.lit(e.name)) for e in rules]), lambda v: v.isNotNull()))
     fail = [e for e in rules if e.action == "fail"]

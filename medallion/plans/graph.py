@@ -3,7 +3,8 @@
 A node is ``Node(id, op, config, inputs)`` where ``inputs`` maps an input port to ``"node.port"`` (or a list
 of them).  Running a graph only builds lazy DataFrames; nothing executes until a sink or a caller acts.
 Disabled nodes receive and emit ``limit(0)`` frames that keep their schemas (P18).  Row counts per output
-port (P19) come from one job (``row_counts``) with one scan for each port.
+port (P19) are observed on the pass that a sink makes anyway (``Counts``); ``row_counts`` counts ports by a job of its
+own, with a scan for each.
 """
 
 from __future__ import annotations
@@ -11,12 +12,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.operators.aggregate import aggregate
 from medallion.operators.classify import classify
-from medallion.operators.filter import disable, split_filter
+from medallion.operators.filter import disable, split_counts, split_filter
 from medallion.operators.join import join
 from medallion.operators.prepare import prepare
 from medallion.operators.sqlnode import expression_select, run_sql, table_function
@@ -156,7 +157,34 @@ def toposort(nodes: list[Node]) -> list[Node]:
     return order
 
 
-def run_graph(spark: SparkSession, nodes: list[Node], sort: bool = True) -> dict[str, DataFrame]:
+class Counts:
+    """Rows of the nodes' ports, counted by whatever job runs over them.  A split filter counts both of its ports where
+    the rows come in, so the excluded ones are known although nobody reads them."""
+
+    def __init__(self):
+        self.seen: dict[str, Observation] = {}
+
+    def _observation(self, node: Node) -> Observation:
+        self.seen[node.id] = Observation(f"ports_{node.id}")
+        return self.seen[node.id]
+
+    def incoming(self, node: Node, inputs: dict) -> dict:
+        if node.op != "filter" or node.disabled:
+            return inputs
+        return {**inputs, "data": split_counts(inputs["data"], node.config.get("condition"), self._observation(node))}
+
+    def outgoing(self, node: Node, out: dict) -> dict:
+        if node.op == "filter" and not node.disabled or node.op in ("output", "source") or len(out) != 1:
+            return out
+        port, df = next(iter(out.items()))
+        return {port: df.observe(self._observation(node), F.count(F.lit(1)).alias(port))}
+
+    def rows(self) -> list[tuple[str, str, int]]:
+        """(node, port, rows), once a job has run."""
+        return [(node, port, int(n)) for node, seen in self.seen.items() for port, n in seen.get.items()]
+
+
+def run_graph(spark: SparkSession, nodes: list[Node], sort: bool = True, counts: Counts | None = None) -> dict[str, DataFrame]:
     ctx: dict[str, DataFrame] = {}
     nodes = toposort(nodes) if sort else nodes
 
@@ -174,9 +202,13 @@ def run_graph(spark: SparkSession, nodes: list[Node], sort: bool = True) -> dict
         inputs = {port: resolve(ref) for port, ref in node.inputs.items()}
         if node.disabled:
             inputs = disable(inputs)
+        if counts is not None:
+            inputs = counts.incoming(node, inputs)
         out = fn(spark, node.config, inputs)
         if node.disabled:
             out = disable(out)
+        if counts is not None:
+            out = counts.outgoing(node, out)
         for port, df in out.items():
             ctx[f"{node.id}.{port}"] = df
     return ctx
@@ -185,7 +217,6 @@ def run_graph(spark: SparkSession, nodes: list[Node], sort: bool = True) -> dict
 def observe_ports(ctx: dict[str, DataFrame], ports: list[str]) -> dict:
     """Attach a row-count ``Observation`` to each port (P19 without a second scan): the counts are filled
     by whatever action later consumes the port (a sink write), and read with ``obs.get["rows"]``."""
-    from pyspark.sql import Observation
     out = {}
     for ref in ports:
         obs = Observation(f"rows_{ref.replace('.', '_')}")

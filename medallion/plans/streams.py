@@ -301,16 +301,16 @@ def q_export_json_append(spark, sf):
 
 
 @register("table_detail", """
-SELECT 1 AS num_files, true AS has_bytes, COUNT(*) AS rows FROM orders
+SELECT 4 AS num_files, true AS has_bytes, COUNT(*) AS rows FROM orders
 """)
 def q_table_detail(spark, sf):
-    """File count and bytes of the current version of a table that was written as one file after another."""
+    """File count and bytes of the current version of a table that four tasks wrote after another one."""
     t = Table(spark, work_dir(spark, "detail") + "/orders")
     t.overwrite(tbl(spark, sf, "orders"))
-    t.overwrite(tbl(spark, sf, "orders").coalesce(1))
+    t.overwrite(tbl(spark, sf, "orders").repartitionById(4, F.pmod(F.col("o_orderkey"), F.lit(4)).cast("int")))
     rows = t.read().agg(F.count("*").alias("rows"))
     return t.detail().select("num_files", (F.col("size_in_bytes") > 0).alias("has_bytes")).join(
-        F.broadcast(rows), F.col("num_files") == F.lit(1))
+        F.broadcast(rows), F.col("num_files") == F.lit(4))
 
 
 # ============================================================================ S1–S3 schema drift and rescue

@@ -78,17 +78,17 @@ def rendered(df: DataFrame, formula_guard: bool = True, keep: tuple = ()) -> Dat
     return df.select(*cols)
 
 
-def check_single_file_limits(df: DataFrame) -> None:
-    """Row, cell and byte limits of a one-file export (K12); bounded jobs only."""
-    n = df.limit(MAX_ROWS + 1).count()
-    if n > MAX_ROWS:
-        raise ValueError(f"export exceeds {MAX_ROWS:,} rows in one file; write to a table instead")
+def check_single_file_limits(df: DataFrame, max_rows: int | None = None) -> None:
+    """Row, cell and byte limits of a one-file export (K12), from one pass that stops beyond the row limit."""
+    max_rows = MAX_ROWS if max_rows is None else max_rows
+    size = sum((F.coalesce(F.length(F.col(quote_ident(c)).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+    n, size = df.select(size.cast("long").alias("n")).limit(max_rows + 1).agg(F.count("*"), F.sum("n")).first()
+    if n > max_rows:
+        raise ValueError(f"export exceeds {max_rows:,} rows in one file; write to a table instead")
     cells = n * len(df.columns)
     if cells > MAX_CELLS:
         raise ValueError(f"export exceeds {MAX_CELLS:,} cells in one file; write to a table instead")
-    size = df.select(sum((F.coalesce(F.length(F.col(quote_ident(c))), F.lit(0)) for c in df.columns),
-                         F.lit(0)).alias("n")).agg(F.sum("n")).collect()[0][0] or 0
-    if size + BYTES_PER_CELL * cells > MAX_BYTES:
+    if (size or 0) + BYTES_PER_CELL * cells > MAX_BYTES:
         raise ValueError("export is estimated above 2 GiB for one file; write to a table instead")
 
 

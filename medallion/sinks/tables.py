@@ -18,12 +18,14 @@ import json
 import time
 import uuid
 from dataclasses import dataclass, field
+from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.sinks.fs import FS
+from medallion.sources.files import file_listing
 
 BUCKET_COL = "_bucket"
 
@@ -88,8 +90,9 @@ class Table:
     """One versioned table at ``path``."""
 
     def __init__(self, spark: SparkSession, path: str, bucket_by: list[str] | None = None,
-                 buckets: int | None = None, cluster_by: list[str] | None = None):
+                 buckets: int | None = None, cluster_by: list[str] | None = None, cluster_files: int | None = None):
         self.spark = spark
+        self.cluster_files = cluster_files  # a fixed number of key ranges; by size (adaptive execution) if None
         self.path = path.rstrip("/")
         self.fs = FS(spark)
         self._bucket_by = bucket_by
@@ -212,11 +215,7 @@ class Table:
 
     def detail(self) -> DataFrame:
         """Files, rows-free size and layout of the current version (K16), computed from file metadata."""
-        df = self.read()
-        return (df.select(F.col("_metadata.file_path").alias("file_path"),
-                          F.col("_metadata.file_size").alias("file_size"))
-                .groupBy("file_path").agg(F.max("file_size").alias("file_size"))
-                .agg(F.count("*").alias("num_files"), F.sum("file_size").alias("size_in_bytes")))
+        return file_listing(self.read()).agg(F.count("*").alias("num_files"), F.sum("file_size").alias("size_in_bytes"))
 
     # ------------------------------------------------------------------ writes
     def _write_segment(self, df: DataFrame, kind_col: str | None = None) -> list[dict]:
@@ -248,7 +247,8 @@ class Table:
                         found.append({"path": f"{seg}/{name}/{sub}", "bucket": b, "kind": sub.split("=", 1)[1]})
             return found
         if cluster:
-            df = df.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
+            number = [self.cluster_files] if self.cluster_files else []
+            df = df.repartitionByRange(*number, *cluster).sortWithinPartitions(*cluster)
         df.write.parquet(seg)
         return [{"path": seg, "bucket": None}]
 
@@ -438,15 +438,20 @@ def _all(conds: list[Column]) -> Column:
 
 
 class Catalog:
-    """Named tables under one root folder; registers snapshots as temp views for SQL access."""
+    """Named tables under one root folder; registers snapshots as temp views for SQL access.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``places`` gives the folder of tables that don't lie under their own name; it is asked each time a table is
+    named, so that a switch of folders reaches every reader."""
+
+    def __init__(self, spark: SparkSession, root: str, places: Callable[[], dict] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.places = places or dict
 
     def table(self, name: str, **kw) -> Table:
         validate_table_name(name)
-        return Table(self.spark, f"{self.root}/{name.replace('.', '/')}", **kw)
+        place = self.places().get(name, name.replace(".", "/"))
+        return Table(self.spark, f"{self.root}/{place}", **kw)
 
     def read(self, name: str) -> DataFrame:
         return self.table(name).read()

@@ -140,3 +140,9 @@ def read_files(spark: SparkSession, path: str, format: str = "parquet", **option
         elif k != "dataAddress":
             opts[k] = _clean_option(k, v)
     return spark.read.format(fmt).options(**opts).load(path)
+
+
+def file_listing(df: DataFrame, *measures: Column) -> DataFrame:
+    """The files behind ``df``, a frame read from files: path, size and rows of each, and further ``measures``."""
+    return df.groupBy(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size")) \
+        .agg(F.count(F.lit(1)).alias("rows"), *measures)

@@ -14,12 +14,14 @@ micro-batch is handled in ``foreachBatch`` (T9):
    (also bucketed by key, so only touched buckets are read) and replaces those buckets.  Both are
    order-independent, so late or out-of-order files give the same result (T7).
 
-Materialized views are then refreshed in batch (T6, T8).  A full refresh (T3) starts a new epoch - fresh checkpoints,
-stored with the pipeline - and recomputes all derived tables from the landing files.
+Materialized views are then refreshed in batch (T6, T8).  A full refresh (T3) starts a new epoch with fresh checkpoints
+and fills shadow tables from the landing files; readers see the old tables until one pointer, the pipeline's state
+file, switches all of them at once.
 """
 
 from __future__ import annotations
 
+import copy
 import json
 import uuid
 from dataclasses import dataclass, field
@@ -84,8 +86,8 @@ class Pipeline:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.catalog = Catalog(spark, f"{self.root}/tables")
         self.fs = FS(spark)
+        self.catalog = Catalog(spark, f"{self.root}/tables", lambda: self._state()["at"])
 
     # ---------------------------------------------------------------- tables
     def table(self, name: str, ds: Dataset | None = None, keys: list[str] | None = None) -> Table:
@@ -260,12 +262,13 @@ class Pipeline:
         commit retries on a concurrent version.
         """
         state = self._state()
-        if state["reset"]:  # a full refresh was begun: its tables are emptied before anything is read
-            self._reset(state)
+        refresh, work, epoch = state["refresh"], self, state["epoch"]
+        if refresh:  # a full refresh was begun: it is this run's matter
+            epoch, work = refresh["epoch"], self._shadow(state, plan, views)
 
         def one(item):
             ds, flows = item
-            return [self.run_flow(ds, flow, state["epoch"], max_files_per_trigger) for flow in flows]
+            return [work.run_flow(ds, flow, epoch, max_files_per_trigger) for flow in flows]
 
         if parallel and len(plan) > 1:
             from concurrent.futures import ThreadPoolExecutor
@@ -275,27 +278,45 @@ class Pipeline:
             results = [one(item) for item in plan]
         out = [s for r in results for s in r]
         for name, build in (views or {}).items():
-            self.catalog.refresh(name, build(self))
+            work.catalog.refresh(name, build(work))
+        if refresh:
+            self._store({"epoch": epoch, "at": work.catalog.places(), "refresh": None})
         return out
 
-    # The epoch names the checkpoints in use.  It is stored with the pipeline, so that runs after a full refresh
-    # go on from the refresh's file log; ``reset`` lists the tables that a refresh still has to empty.
+    # The state is the last of a row of small files, each created by one rename.  ``epoch`` names the checkpoints in use, so
+    # that runs after a full refresh go on from its file log; ``at`` the folders of tables that a refresh has filled;
+    # ``refresh`` a refresh that is under way.
+    def _states(self) -> list[str]:
+        return sorted(n for n in self.fs.ls(f"{self.root}/_checkpoints/_state") if n.endswith(".json"))
+
     def _state(self) -> dict:
-        path = f"{self.root}/_checkpoints/_state.json"
-        return json.loads(self.fs.read_text(path)) if self.fs.exists(path) else {"epoch": "0", "reset": []}
+        names = self._states()
+        return json.loads(self.fs.read_text(f"{self.root}/_checkpoints/_state/{names[-1]}")) if names \
+            else {"epoch": "0", "at": {}, "refresh": None}
 
     def _store(self, state: dict) -> None:
-        self.fs.write_text(f"{self.root}/_checkpoints/_state.json", json.dumps(state), overwrite=True)
+        if not self.fs.write_text(f"{self.root}/_checkpoints/_state/{len(self._states()):010d}.json", json.dumps(state)):
+            raise RuntimeError(f"{self.root}: another run changes the pipeline's state")
+
+    def _shadow(self, state: dict, plan, views: dict | None) -> Pipeline:
+        """This pipeline with the tables of the refresh in folders of their own."""
+        names, epoch = state["refresh"]["names"], state["refresh"]["epoch"]
+        if sorted(names) != sorted(self._derived(plan, views)):
+            raise ValueError(f"a full refresh of {sorted(names)} was begun: run its datasets and views first")
+        places = {**state["at"], **{name: f"{name.replace('.', '/')}@{epoch}" for name in names}}
+        shadow = copy.copy(self)
+        shadow.catalog = Catalog(self.spark, self.catalog.root, lambda: places)
+        old, new = self.catalog.table(METRICS_TABLE), shadow.catalog.table(METRICS_TABLE)
+        if METRICS_TABLE in names and old.exists() and not new.exists():  # the metrics of other datasets stay
+            new.overwrite(old.read().where(~F.col("dataset").isin([ds.silver for ds, _ in plan])))
+        return shadow
 
-    def _reset(self, state: dict) -> None:
-        for name, dataset in state["reset"]:
-            t = self.catalog.table(name)
-            if t.exists():
-                rows = t.read()
-                # the metrics of other datasets stay
-                t.overwrite(rows.where(F.col("dataset") != dataset) if dataset else rows.limit(0))
-        state["reset"] = []
-        self._store(state)
+    @staticmethod
+    def _derived(plan, views: dict | None) -> list[str]:
+        """The tables that a run of ``plan`` fills."""
+        names = {n for ds, _ in plan
+                 for n in (ds.bronze, ds.silver, ds.silver and f"{ds.silver}_quarantine", *(c.target for c in ds.cdc)) if n}
+        return sorted(names | set(views or {}) | ({METRICS_TABLE} if any(ds.silver for ds, _ in plan) else set()))
 
     def optimize(self, names: list[str], target_bytes: int = 128 * 1024 ** 2, min_segments: int = 4) -> dict:
         """Compact the small segments of the given tables (run between updates, like an OPTIMIZE job)."""
@@ -303,13 +324,11 @@ class Pipeline:
                 if self.catalog.table(n).exists()}
 
     def full_refresh(self, plan, views=None, **kw) -> list[RunStats]:
-        """Recompute everything from the landing files (T3): every derived table - bronze, silver, quarantine, metrics
-        and CDC targets - is emptied and filled again under a new epoch.  The intent is stored first, so a refresh
-        that is interrupted anywhere is completed by the next run."""
-        names = [[n, None] for ds, _ in plan
-                 for n in (ds.bronze, ds.silver, ds.silver and f"{ds.silver}_quarantine", *(c.target for c in ds.cdc)) if n]
-        names += [[METRICS_TABLE, ds.silver] for ds, _ in plan if ds.silver]
-        self._store({"epoch": uuid.uuid4().hex[:12], "reset": names})
+        """Recompute everything from the landing files (T3): bronze, silver, quarantine, metrics, CDC targets and views are
+        filled anew aside, under a new epoch, and then switched together.  The intent is stored first: until the switch
+        every reader sees the old tables, and a refresh that is interrupted anywhere is completed by the next run."""
+        state = self._state()
+        self._store({**state, "refresh": {"epoch": uuid.uuid4().hex[:12], "names": self._derived(plan, views)}})
         return self.run(plan, views, **kw)
 
 
