@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from medallion.llm import decontaminate as decon
 from medallion.llm import jaccard_join, language_id, line_dedup, packing
-from medallion.llm.common import table
+from medallion.llm.common import cut, table
 from medallion.session import work_dir
 
 MIN_LANGUAGE_SCORE = 0.5
@@ -33,11 +33,21 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: of each group of linked documents the one with the smallest id stays (one row of it,
-    if it has several).  Documents with a null id are in no group and stay."""
-    kept = jaccard_join.jaccard_groups(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]) \
-        .unionByName(docs.where("doc_id is null")).select(docs.columns)
+    """N-gram Jaccard join: of each group of linked documents the one with the smallest id stays (null ids come last).
+
+    A document is an id with a text: documents that share an id are told apart by a key of both, rows that repeat one
+    are one document, of which the row with the least hash stays.  So what stays depends on the rows alone.  Should two
+    documents ever share a key, both stay."""
+    other, row = F.xxhash64(F.lit(1), F.reverse("text"), "doc_id"), F.xxhash64(*docs.columns)
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    groups = jaccard_join.jaccard_groups(keyed, id_col="__key").select(F.col("doc_id").alias("__key"), "component_id").distinct()
+    known = keyed.groupBy("__key").agg(F.min("doc_id").alias("id"), F.min(row).alias("__row"),
+                                       (F.min(other) != F.max(other)).alias("__two"))
+    known = cut(known.join(groups, "__key"))
+    best = known.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "__key"))["__key"].alias("best"))
+    kept = known.join(best, "component_id").where("__key = best or __two").select("__key", "__row", "__two")
+    return keyed.withColumn("__hash", row).join(kept, "__key").where("__two or __hash = __row") \
+        .dropDuplicates(["__key", "__hash"]).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,6 +100,19 @@ def test_near_copy_stage_keeps_one_of_each_group(spark, planted):
     assert out.columns == COLUMNS and ids(out) == sorted({find(i) for i in root})
 
 
+def test_repeated_and_null_ids_lose_no_text(spark, odd_docs):
+    """Unrelated texts under one id both stay; of near copies the smallest id stays, of repeated rows one."""
+    rows = [(1, "one two three four five six seven", "en"), (1, "an unrelated text of quite other words here", "de"),
+            (2, "one two three four five six seven", "en"), (2, "one two three four five six seven", "fr"),
+            (None, "one two three four five six seven", "en"), (None, "alone without an id in this table", "en"),
+            (3, None, "en"), (3, None, "en"), (3, "", "en"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in stage("jaccard_join")(spark, docs, SF).collect()), key=str)
+    assert got == sorted([(1, rows[0][1]), (1, rows[1][1]), (None, rows[5][1]), (3, None), (3, ""), (None, None)], key=str)
+    again = [sorted(map(str, stage("jaccard_join")(spark, odd_docs.repartition(n), SF).collect())) for n in (1, 4)]
+    assert again[0] == again[1]
+
+
 def test_contaminated_documents_go(spark, planted):
     pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     windows = set()
