@@ -9,9 +9,10 @@ Defined results: null or word-less text has no words and is not contaminated; nu
 window; repeated items and windows count once per item id; items with a null id are left out; repeated
 documents give one row each; other columns of the inputs are not read, whatever their names.
 
-Scale: one pass over the documents without any shuffle of text.  The benchmark is the stated query set; it goes
-to the executors in blocks of at most ``block_bytes`` of window text (a proven bound on what is broadcast), one
-scan per block, so a benchmark of any size is matched whole.
+Scale: one pass over the documents without any shuffle of text, and no limit on a text's length.  The benchmark is the
+stated query set: its windows are cut and told apart in Spark, and go to the driver and the executors in blocks, by hash,
+of about ``block_bytes`` of window text (the bound on what is broadcast), one scan per block, so a benchmark of any size
+is matched whole.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from medallion.llm.common import give_back
+from medallion.llm.common import cut, give_back
 
 WORD_BYTES = bytes(
     (c + 32 if 65 <= c <= 90 else c) if (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128) else 32
@@ -40,27 +41,35 @@ def windows_of(text: str | None, window: int) -> set[bytes]:
     return {b" " + b" ".join(words[i:i + window]) + b" " for i in range(last + 1)} if words else set()
 
 
+def _item_windows(window: int):
+    def run(batches):
+        for batch in batches:
+            found = [windows_of(text, window) for text in batch.column(1).to_pylist()]
+            at = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array([w for f in found for w in f], pa.binary())],
+                                             names=["item", "win"])
+    return run
+
+
 def _blocks(bench: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int):
-    """Pattern → item ids, in blocks of bounded size; the items come to the driver one partition at a time."""
-    block, size, done = {}, 0, False
-    for item, text in bench.select(id_col, text_col).where(F.col(id_col).isNotNull()).toLocalIterator():
-        for w in windows_of(text, window):
-            ids = block.setdefault(w.decode("latin-1"), set())
-            if not ids:
-                size += len(w) + 64
-            if item not in ids:
-                ids.add(item)
-                size += 8
-        if size > block_bytes:
-            yield block
-            block, size, done = {}, 0, True
-    if block or not done:
+    """Pattern → item ids, in blocks of bounded size.  Windows are cut and told apart in Spark; the driver holds one block
+    at a time, the windows whose hash gives its number."""
+    rows = bench.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("item"),
+                                                         F.col(text_col).cast("string").alias("text"))
+    found = cut(rows.mapInArrow(_item_windows(window), "item long, win binary").distinct())
+    size = found.agg(F.sum(F.length("win") + 72)).first()[0] or 0
+    blocks = max(-(-size // block_bytes), 1)
+    for number in range(blocks):
+        block: dict[str, set] = {}
+        for item, win in found.where(F.pmod(F.xxhash64("win"), F.lit(blocks)) == number).collect():
+            block.setdefault(bytes(win).decode("latin-1"), set()).add(item)
         yield block
 
 
 SCAN_COLUMNS = ("__n_words long, __n_hit long, __items array<long>, __spans array<struct<start: long, end: long>>")
 PART_COLUMNS = "__items array<long>, __first array<long>, __last array<long>"
 _AUTOMATA: dict = {}
+CHAINED = 4
 
 
 def _automaton(shared):
@@ -167,11 +176,14 @@ def annotate(docs: DataFrame, bench: DataFrame, window: int = 10, text_col: str
     out = docs.select("*", F.col(text_col).cast("string").alias("__text"))
     part = StructType([*out.schema.fields, *_parse(PART_COLUMNS)])
     full = StructType([*fields, *_parse(SCAN_COLUMNS)])
-    blocks = [_Key(docs.sparkSession, b) for b in _blocks(bench, item_col, item_text_col, window, block_bytes)]
-    for i, block in enumerate(blocks):
-        end = i == len(blocks) - 1
-        out = out.mapInArrow(_scanner(block, own, i == 0, end), full if end else part)
-    return out
+    blocks, number = _blocks(bench, item_col, item_text_col, window, block_bytes), 0
+    block, following = _Key(docs.sparkSession, next(blocks)), next(blocks, None)
+    while following is not None:
+        out = out.mapInArrow(_scanner(block, own, number == 0, False), part)
+        block, following, number = _Key(docs.sparkSession, following), next(blocks, None), number + 1
+        if number % CHAINED == 0:
+            out = cut(out)  # a task holds the automata of at most so many blocks
+    return out.mapInArrow(_scanner(block, own, number == 0, True), full)
 
 
 def _parse(columns: str):
