@@ -419,6 +419,86 @@ def test_pages_keep_their_articles(spark):
         assert rows[p.page_id] == "\n\n".join(b for b in blocks if b)
 
 
+def stripped(source):
+    """The page without its marks: plain div elements, no class, id or role."""
+    source = re.sub(r"<(/?)(nav|article|footer|aside|main|header|section)\b[^>]*>", r"<\1div>", source)
+    return re.sub(r"<div [^>]*>", "<div>", source)
+
+
+def plain_extract(pages):
+    """Wrapper induction by plain loops: page id → text."""
+    hosts = {}
+    for page_id, url, source in pages:
+        host = (re.match(r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", url or "") or [None, ""])[1].lower()
+        hosts.setdefault(host, []).append((page_id, html_extract.Page(source or "")))
+    out = {}
+    for own in hosts.values():
+        distinct = {}
+        for _, p in own:
+            distinct.setdefault("\n\n".join(b[1] for b in html_extract._taken(p)), p)
+        shapes = list(distinct.values())
+        trees = [p.tree() for p in shapes]
+        reference = max(set(trees), key=trees.count)
+        content, template = set(), set()
+        if len(shapes) >= html_extract.MIN_PAGES:
+            texts = {}
+            for p in shapes:
+                matched = html_extract.align(p.tree(), reference)
+                here = {(matched[b[0]], b[1]): b[4] for b in p.blocks if b[0] in matched}
+                for key, links in here.items():
+                    texts.setdefault(key, []).append(links)
+            slots = {}
+            for (node, text), links in texts.items():
+                chars, linked, shared = slots.get(node, (0, 0, 0))
+                size = len(text) * len(links)
+                slots[node] = chars + size, linked + sum(links), shared + (size if len(links) > 1 else 0)
+                if len(links) >= max(html_extract.MIN_PAGES, html_extract.MIN_SHARE * len(shapes)):
+                    template.add((node, html_extract._digest(text)))
+            content = html_extract.content_nodes(reference, slots)
+        for page_id, p in own:
+            out[page_id] = html_extract.main_text(p, html_extract.align(p.tree(), reference), template, content)
+    return out
+
+
+def test_wrappers_equal_plain_induction(spark):
+    rows = [(r.page_id, r.url, stripped(r.html) if r.page_id % 4 == 0 else r.html)
+            for r in table(spark, "/root/testdata/sf0.1", "pages").where("page_id < 700").collect()]
+    trees = [html_extract.Page(h).tree() for _, _, h in rows]
+    assert len(set(trees)) > 1
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    want = plain_extract(rows)
+    assert sum(r.text == want[r.page_id] for r in got) >= 0.99 * len(got)  # of equally frequent trees either is right
+
+
+def test_wrappers_find_articles_without_any_marks(spark):
+    """Nothing but the template tells menus, adverts and footers from articles here."""
+    pages = table(spark, "/root/testdata/sf0.1", "pages")
+    rows = [(r.page_id, r.url, stripped(r.html), r.html) for r in pages.collect()]
+    assert not any("<article" in r[2] or "class=" in r[2] for r in rows)
+    got = {r.page_id: r.text for r in html_extract.extract(
+        spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(4)).collect()}
+    right = found = wanted = 0
+    for page_id, _, _, source in rows:
+        article = html_extract.main_text(html_extract.Page(source), {}, set()).split()
+        text = got[page_id].split()
+        common = sum((__import__("collections").Counter(article) & __import__("collections").Counter(text)).values())
+        right, found, wanted = right + common, found + len(text), wanted + len(article)
+    precision, recall = right / found, right / wanted
+    assert 2 * precision * recall / (precision + recall) > 0.97 and recall > 0.97
+
+
+@pytest.mark.parametrize("source", [
+    "<span>" * 8000 + "<p>x" * 80_000, "<section>" * 50_000 + "</nav></aside>" * 40_000, "<b><div>" * 60_000 + "</b>" * 60_000,
+    "<article>" + "<i>" * 100_000 + "<p>a" * 60_000 + "</article>", "<a href=x>" * 100_000, "<li><ul>" * 100_000])
+def test_a_megabyte_of_unclosed_tags_is_parsed_in_time(source):
+    import time
+
+    html_extract.Page("<p>warm up</p>")
+    begin = time.process_time()
+    html_extract.Page(source)
+    assert time.process_time() - begin < 4  # about 2 s on an idle machine at most
+
+
 def test_html_odd_rows(spark):
     rows = [(1, None, None), (1, None, None), (None, "x", ""), (2, "http://H/a", "<p>" * 5000 + "deep"),
             (3, "http://h/b", "<p>word</p>" * 50_000), (4, "http://h/c", "<div>" * 3000 + "<h2>a</h2><p>b</p>" * 3000)]
