@@ -5,14 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from medallion.functions.columns import AGE_BRACKETS, AGE_ELSE, SENIORITY_BRACKETS, SENIORITY_ELSE
 from medallion.operators import quality
 from medallion.operators.aggregate import aggregate
 from medallion.operators.filter import all_except, limited
 from medallion.operators.forecast import seasonal_forecast
 from medallion.operators.prepare import prepare
 from medallion.operators.sqlnode import qualify, run_sql
+from medallion.operators.unique import unique
 from medallion.plans.driver import register, tbl
 from medallion.plans.graph import Counts, Node, run_graph
+from medallion.plans.hr_driver import _sql, run_hr
 from medallion.plans.streams import (_ENTITY_SQL, EVENT_COLS, EVENT_RULES, EVENTS, MIN_VALUE, events_silver, land_events)
 from medallion.session import work_dir
 from medallion.sinks import export
@@ -244,3 +247,66 @@ def q_prepare_exact_names(spark, sf):
                                           F.col("c_mktsegment").alias("a b"))
     return prepare(c, [{"type": "text_case", "column": "market`segment", "case": "upper"},
                        {"type": "fill_null", "column": "a b", "with": "none"}])
+
+
+# ---------------------------------------------------------------------------------------- the HR application, whole rows
+def _bracket_sql(value: str, bounds: list[tuple], rest: str) -> str:
+    return "CASE " + " ".join(f"WHEN {value} < {b} THEN '{name}'" for b, name in bounds) + f" ELSE '{rest}' END"
+
+
+@register("hr_silver_employees", _sql(f"""
+SELECT e.source_entity, e.employee_id, CAST(e.extract_ts AS DATE) AS extract_date, e.extract_ts, e.updated_at,
+       c.c_name AS first_name, c.c_mktsegment AS last_name, e.gender, e.birth_date, e.age, e.hire_date,
+       CAST(e.seniority_years AS DOUBLE) AS seniority_years, e.job_title, e.contract_type,
+       'Site ' || c.c_nationkey AS work_location, CAST(NULL AS VARCHAR) AS manager_id,
+       lower('EMP' || c.c_custkey || '@Example.com') AS email, CASE WHEN c.c_custkey % 3 = 0 THEN 0.8 ELSE 1.0 END::DOUBLE AS fte,
+       e.status, e.department_id, e.department_name, e.business_unit, e.region, d.country, d.cost_center,
+       {_bracket_sql("e.age", AGE_BRACKETS, AGE_ELSE)} AS age_bracket,
+       {_bracket_sql("e.seniority_years", SENIORITY_BRACKETS, SENIORITY_ELSE)} AS seniority_bracket, true AS has_file
+FROM emp_kept e JOIN customer c ON c.c_custkey = CAST(substr(e.employee_id, 6) AS BIGINT)
+LEFT JOIN departments d ON d.department_id = e.department_id
+"""))
+def q_hr_silver_employees(spark, sf):
+    """Every column of the silver employees."""
+    s = run_hr(spark, sf).catalog.read("silver_employees")
+    typed = {"seniority_years": F.col("seniority_years").cast("double"), "extract_ts": F.col("extract_ts").cast("timestamp_ntz"),
+             "updated_at": F.col("updated_at").cast("timestamp_ntz")}
+    return s.withColumns(typed).withColumn("has_file", F.col("_source_file").isNotNull()).drop("_source_file")
+
+
+@register("hr_silver_absences", _sql("""
+SELECT source_entity, absence_id, employee_id, absence_type, start_date, CAST(end_date AS DATE) AS end_date, days,
+       CAST(start_date AS TIMESTAMP) + INTERVAL 8 HOUR AS event_timestamp, absence_month, comment FROM abs_kept
+"""))
+def q_hr_silver_absences(spark, sf):
+    """Z3: every column of the silver absences."""
+    s = run_hr(spark, sf).catalog.read("silver_absences")
+    return s.withColumns({"event_timestamp": F.col("event_timestamp").cast("timestamp_ntz"),
+                          "absence_month": F.col("absence_month").cast("timestamp_ntz")})
+
+
+# ---------------------------------------------------------------------------------------- forms that had small tables only
+@register("unique_orders_in_order", """
+SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY o_custkey
+""")
+def q_unique_orders_in_order(spark, sf):
+    """The first order of each customer in the order of a partitioned input, the result in that order."""
+    rows = tbl(spark, sf, "orders").repartition(7).orderBy("o_orderdate", "o_orderkey")
+    return unique(rows, ["o_custkey"], False, keep_input_order=True).select("o_custkey", "o_orderkey")
+
+
+@register("graph_files_of_customers", """
+SELECT c_mktsegment, COUNT(*) AS customers, ROUND(SUM(c_acctbal), 2) AS balance FROM customer WHERE c_nationkey > 3 GROUP BY 1
+""")
+def q_graph_files_of_customers(spark, sf):
+    """A CSV source of several files in a graph, with its types inferred."""
+    path = work_dir(spark, "export") + "/customers_csv"
+    export.export_csv(tbl(spark, sf, "customer").repartition(5), path)
+    ports = run_graph(spark, [
+        Node("files", "source", {"file_source": {"path": path, "format": "csv", "options": {"header": True, "inferSchema": "'true'"}}}),
+        Node("some", "filter", {"condition": "c_nationkey > 3"}, {"data": "files.data"}),
+        Node("sums", "aggregate", {"group_bys": ["c_mktsegment"], "aggregations": [
+            {"columnExpr": {"expr": "*"}, "fn": "COUNT", "alias": "customers"},
+            {"columnExpr": {"expr": "ROUND(SUM(c_acctbal), 2)", "type": "expr"}, "fn": "-", "alias": "balance"}]},
+             {"data": "some.filtered_data"})])
+    return ports["sums.aggregated_data"]
