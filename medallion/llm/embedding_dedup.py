@@ -14,7 +14,9 @@ of more than ``block`` classes is cut into blocks, and each pair of its blocks i
 capped and no task holds more than two blocks.  A task returns sums and its classes' roots, never pairs.
 
 Defined results: vectors that are null, zero, empty, or hold null or non-finite components link with nothing, nor
-do rows with a null id; vectors of different length never link; repeated rows link with each other.
+do rows with a null id; vectors of different length never link; repeated rows link with each other.  Ties: a cosine
+equal to the threshold links, and a component's id is its smallest one.  An empty table gives no rows.  Other columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -23,6 +23,8 @@ a pair): no sampling, no candidate cap.
 
 Defined results: null, empty or blank text has no shingles and links with nothing; rows with a null id link with
 nothing and have a null component; rows with one id are one document for reachability; repeated rows give a row each.
+Texts of any length are shingled whole.  Ties: a component's id is its smallest id, and equally rare shingles are ordered
+by their hash.  An empty table gives no rows.  Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -16,6 +16,8 @@ Defined results: null texts, and texts without any letter, are `und` with score
 nothing to learn from; equal code lengths go to the alphabetically first language; rows with a null id are
 predicted but not learned from; a null ``lang`` is not learned; repeated rows count as often as they stand.
 Before counting and coding, ASCII letters are lower-cased, ASCII digits become 0 and white space a blank.
+Texts of any length are coded whole.  An empty table gives no rows.  Other columns travel along unread, whatever their
+names (but ``__lang``, ``__score``, ``__text`` and ``__letters``).
 """
 
 from __future__ import annotations

@@ -8,7 +8,10 @@ the one with the smallest id among those that hold the line (there all its copie
 was only copied between sites is never lost altogether.
 
 Defined results: null text stays null with no lines; a null site counts as one site of its own; rows with the
-same id share the decision; rows with a null id never lose a line and don't hold a line's first copy.
+same id share the decision; rows with a null id never lose a line and don't hold a line's first copy.  An empty text
+is one blank line, and blank lines are never removed; texts of any length are read whole.  Ties: repeated rows of a
+line's smallest id all keep it.  An empty table gives no rows.  Other columns travel along unread, whatever their names;
+``lines_seen`` and ``lines_removed`` replace columns of those names.
 
 Native DataFrame plan.  Text is shuffled once, for the documents with something to remove to meet their lines;
 before that only 64-bit line hashes move.  A line on a third of all documents is pre-combined in every task, and

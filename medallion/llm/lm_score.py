@@ -18,7 +18,10 @@ A bucket holds about half a million n-grams, so one of several words shares its
 below 1e-5 (a word: below 1e-8).
 
 Defined results: null or empty text is the end alone; rows with a null id are scored but not learned from;
-repeated rows count as often as they stand; with nothing to learn from, every probability is the base one.
+repeated rows count as often as they stand; with nothing to learn from, every probability is the base one.  Texts
+of any length are scored whole.  Ties don't arise: equal texts get equal scores.  A text to learn from is scored with its
+own counts in, so its score is higher than that of the same text held out.  An empty table gives no rows.  Other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations

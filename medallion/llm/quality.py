@@ -11,6 +11,8 @@ Only the texts are inputs of a score.  All labelled rows given are used; nothing
 Defined results: null text is an empty text and gets a score like any other; rows with a null id are scored but
 not learned from; null labels and labels of unknown documents are not learned; repeated rows count as often as
 they stand; without any learnable row, or with labels of one kind only, the score is their mean (0.5 if none).
+Texts of any length are read whole.  Ties: equal statistics get equal scores; scores of one calibration bin are equal.
+An empty table gives no rows.  Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

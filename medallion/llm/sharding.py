@@ -12,7 +12,9 @@ and at most a few tens of thousands of rows on the driver, at any size of input.
 
 A group larger than an even share is a shard's floor: it stays whole, as equal texts must stay together.  Slots
 inside a shard come from counts per (shard, hash of doc_id) cell, so the shard with a giant group is numbered by
-many tasks.  Null text counts as empty.  Null ids, repeated ids and repeated rows are kept, a slot each.
+many tasks.  Null text counts as empty.  Null ids, repeated ids and repeated rows are kept, a slot each.  Texts of any
+length count whole.  Ties: groups are ordered by a hash of their text, and of several smallest capacities' partitions the
+greedy one is taken.  An empty table gives no rows.  Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
