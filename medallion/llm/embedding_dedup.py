@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from medallion.llm.common import components, cut, runs
 
@@ -88,18 +89,19 @@ def _vectors(column) -> np.ndarray:
     return unit(column.flatten().to_numpy(zero_copy_only=False), len(column))
 
 
-def _deal(tables: int, probes: int):
-    """A row for each bucket of each class."""
+def _with_keys(tables: int, probes: int):
+    """The bucket keys of each class, and their codes (the part below the table's number) for the verification."""
     def run(batches):
         for batch in batches:
-            size = np.array([len(v) for v in batch.column(1)], np.int64)
+            vectors = batch.column(batch.schema.get_field_index("v"))
+            size = vectors.value_lengths().to_numpy(zero_copy_only=False)
             for dims in np.unique(size):
-                rows = np.flatnonzero(size == dims)
-                x = _vectors(batch.column(1).take(pa.array(rows)))
-                keys = bucket_keys(x, tables, probes)
+                rows = pa.array(np.flatnonzero(size == dims))
+                keys = bucket_keys(_vectors(vectors.take(rows)), tables, probes)
+                codes = (keys & 0xFFFFFFFF).astype("<u4")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), batch.column(0).take(pa.array(np.repeat(rows, keys.shape[1])))],
-                    names=["bucket", "cid"])
+                    [*batch.take(rows).columns, pa.array(list(keys), pa.list_(pa.int64())),
+                     pa.array([c.tobytes() for c in codes], pa.binary())], names=[*batch.schema.names, "keys", "codes"])
     return run
 
 
@@ -124,10 +126,9 @@ def _verify(threshold: float, tables: int, probes: int):
                 linked &= mine[:, None] != mine[None, :]
             a, b = np.nonzero(linked)
             if len(a):  # one bucket of those that a pair shares counts it
-                used, where = np.unique(np.concatenate([a, b]), return_inverse=True)
-                keys = bucket_keys(x[used], tables, probes)
-                ka, kb = where[:len(a)], where[len(a):]
-                here = np.concatenate([_first_shared(keys[ka[s:s + 65536]], keys[kb[s:s + 65536]]) == bucket
+                codes = np.frombuffer(b"".join(rows.column(7).to_pylist()), "<u4").reshape(len(x), -1).astype(np.int64)
+                keys = codes + (x.shape[1] << 40) + (np.arange(tables).repeat(probes) << 32)
+                here = np.concatenate([_first_shared(keys[a[s:s + 65536]], keys[b[s:s + 65536]]) == bucket
                                        for s in range(0, len(a), 65536)])
                 a, b = a[here], b[here]
             if not len(a):
@@ -158,18 +159,19 @@ def link_embeddings(vectors: DataFrame, threshold: float = 0.9, tables: int = TA
     rows = cut(rows.select("vec_id", "valid", F.when(F.col("valid"), F.col("v")).alias("v"),
                            F.xxhash64("v").alias("h1"), F.xxhash64(F.reverse("v"), F.lit(1)).alias("h2")))
     valid = rows.where("valid")
-    classes = cut(valid.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult"),
-                                                F.first("v").alias("v"))
-                  .withColumn("cid", F.xxhash64("h1", "h2")))
-    dealt = classes.select("cid", "v").mapInArrow(_deal(tables, probes), "bucket long, cid long").distinct()
+    distinct = valid.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult"), F.first("v").alias("v")) \
+        .withColumn("cid", F.xxhash64("h1", "h2"))
+    schema = StructType([*distinct.schema.fields, *StructType.fromDDL("keys array<long>, codes binary").fields])
+    classes = cut(distinct.mapInArrow(_with_keys(tables, probes), schema))  # rotated once
+    dealt = classes.select("cid", F.explode(F.array_distinct("keys")).alias("bucket"))
     sizes = dealt.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1") \
         .select("bucket", F.ceil(F.col("n") / block).alias("blocks"))
     mine = F.pmod(F.xxhash64("cid"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     tasks = dealt.join(sizes, "bucket").select("bucket", "cid", mine.alias("mine"), other.alias("other")) \
         .select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cid") \
-        .join(classes.select("cid", "mult", "v"), "cid") \
-        .select("bucket", "i", "j", "mine", "cid", "mult", "v")
+        .join(classes.select("cid", "mult", "v", "codes"), "cid") \
+        .select("bucket", "i", "j", "mine", "cid", "mult", "v", "codes")
     found = cut(tasks.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
                 .mapInArrow(_verify(threshold, tables, probes), "cid long, n long, root long"))
     roots = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
