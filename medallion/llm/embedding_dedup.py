@@ -6,8 +6,8 @@ vector stands in the bucket of its nearest axes and in the ``probes`` - 1 next b
 bucket are candidates; each candidate pair is verified with the exact cosine in double precision, in exactly one
 of the buckets that it shares (the least), so links are counted once.
 
-At cosine 0.9 and 64 dimensions the default parameters find a pair with probability above 0.99 (above 0.999 at
-0.95); tests measure recall against brute force.
+At cosine 0.9 the default parameters find a pair with probability 0.99 at 64, 384 and 768 dimensions (8, 12 and 16
+tables); tests measure recall against brute force.
 
 Equal vectors are one class before anything is hashed (a vector on a third of all rows is one row here).  A bucket
 of more than ``block`` classes is cut into blocks, and each pair of its blocks is a task of its own: no bucket is
@@ -31,7 +31,12 @@ from pyspark.sql.types import StructType
 
 from medallion.llm.common import components, cut, runs
 
-TABLES, PROBES, BLOCK, SEED = 8, 2, 1024, 29
+PROBES, BLOCK, SEED = 2, 1024, 29
+
+
+def tables_for(dims: int) -> int:
+    """Tables that find a pair at cosine 0.9 with probability 0.99 or more; wide vectors hash less sharply."""
+    return 8 if dims <= 128 else 12 if dims <= 512 else 16
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -49,9 +54,10 @@ def _signs(size: int, tables: int) -> np.ndarray:
     return np.random.default_rng(SEED + size).choice([-1.0, 1.0], (tables, 2, 3, size))
 
 
-def bucket_keys(x: np.ndarray, tables: int = TABLES, probes: int = PROBES) -> np.ndarray:
+def bucket_keys(x: np.ndarray, tables: int | None = None, probes: int = PROBES) -> np.ndarray:
     """Bucket keys of the rows: len(x) x (tables * probes), those of one table side by side."""
     n, dims = x.shape
+    tables = tables or tables_for(dims)
     size = 1 << max(dims - 1, 1).bit_length()
     padded = np.zeros((n, size))
     padded[:, :dims] = x
@@ -89,7 +95,7 @@ def _vectors(column) -> np.ndarray:
     return unit(column.flatten().to_numpy(zero_copy_only=False), len(column))
 
 
-def _with_keys(tables: int, probes: int):
+def _with_keys(tables: int | None, probes: int):
     """The bucket keys of each class, and their codes (the part below the table's number) for the verification."""
     def run(batches):
         for batch in batches:
@@ -111,7 +117,7 @@ def _first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(same, a, np.iinfo(np.int64).max).min(1)
 
 
-def _verify(threshold: float, tables: int, probes: int):
+def _verify(threshold: float, tables: int | None, probes: int):
     """For each pair of blocks of a bucket: the links' weight of each class, and its root among these links."""
     def run(batches):
         for (bucket, i, j), rows in runs(batches, 3):
@@ -127,7 +133,7 @@ def _verify(threshold: float, tables: int, probes: int):
             a, b = np.nonzero(linked)
             if len(a):  # one bucket of those that a pair shares counts it
                 codes = np.frombuffer(b"".join(rows.column(7).to_pylist()), "<u4").reshape(len(x), -1).astype(np.int64)
-                keys = codes + (x.shape[1] << 40) + (np.arange(tables).repeat(probes) << 32)
+                keys = codes + (x.shape[1] << 40) + (np.arange(codes.shape[1] // probes).repeat(probes) << 32)
                 here = np.concatenate([_first_shared(keys[a[s:s + 65536]], keys[b[s:s + 65536]]) == bucket
                                        for s in range(0, len(a), 65536)])
                 a, b = a[here], b[here]
@@ -147,7 +153,7 @@ def _verify(threshold: float, tables: int, probes: int):
     return run
 
 
-def link_embeddings(vectors: DataFrame, threshold: float = 0.9, tables: int = TABLES, probes: int = PROBES,
+def link_embeddings(vectors: DataFrame, threshold: float = 0.9, tables: int | None = None, probes: int = PROBES,
                     block: int = BLOCK, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row for each input row."""
     v = F.col(vector_col).cast("array<double>")

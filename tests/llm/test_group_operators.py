@@ -141,11 +141,12 @@ def test_embedding_links_equal_brute_force(spark, block):
     assert all(r.component_id == want[r.vec_id] and r.kept == (r.vec_id == r.component_id) for r in got)
 
 
-def test_bucket_recall_at_the_threshold():
+@pytest.mark.parametrize("dims, n", [(64, 4000), (384, 1500), (768, 1000)])
+def test_bucket_recall_at_the_threshold(dims, n):
     rng = np.random.default_rng(6)
-    a = rng.standard_normal((4000, 64))
+    a = rng.standard_normal((n, dims))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
-    b = rng.standard_normal((4000, 64))
+    b = rng.standard_normal((n, dims))
     b -= (a * b).sum(1, keepdims=True) * a
     b = 0.9 * a + np.sqrt(1 - 0.81) * b / np.linalg.norm(b, axis=1, keepdims=True)
     shared = (embedding_dedup.bucket_keys(a)[:, :, None] == embedding_dedup.bucket_keys(b)[:, None, :]).any((1, 2))
