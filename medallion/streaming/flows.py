@@ -53,9 +53,9 @@ class CdcSpec:
     sequence: list[str]
     scd_type: int = 1
     track_history: list[str] | None = None  # SCD 2: columns whose change opens a version (None = all)
-    # SCD 2 plan (see cdc.scd2): "window" sorts a key's rows of a batch, or its history when rows come late, in one
-    # task; choose "bucketed" where single keys have very long histories
-    strategy: str = "window"
+    # SCD 2 plan (see cdc.scd2).  None: "window" for in-order rows, which are a batch and one open version for each key,
+    # "segments" where histories are computed anew - first loads and late rows - whatever a key's share of the log
+    strategy: str | None = None
 
 
 @dataclass
@@ -222,7 +222,7 @@ class Pipeline:
         """The whole history of these buckets, that of the batch's keys computed anew from the silver log."""
         keys_df = batch.select(*spec.keys).distinct()
         log = null_safe_join(silver.read(buckets=buckets), keys_df, spec.keys, "left_semi")
-        rebuilt = cdc.scd2(log, spec.keys, spec.sequence, tracked, strategy=spec.strategy)
+        rebuilt = cdc.scd2(log, spec.keys, spec.sequence, tracked, strategy=spec.strategy or "segments")
         if base is None:
             return rebuilt
         others = null_safe_join(target.read(version=base, buckets=buckets), keys_df, spec.keys, "left_anti")
@@ -243,7 +243,7 @@ class Pipeline:
         untouched = null_safe_join(open_cur, keys_df, spec.keys, "left_anti")
         starts = affected.select(*spec.keys, seq.alias("__pseudo"), F.col(cdc.START_AT).alias("__orig"))
         versions = cdc.scd2(affected.select(*cols).unionByName(batch), spec.keys, spec.sequence, tracked,
-                            strategy=spec.strategy)
+                            strategy=spec.strategy or "window")
         fixed = versions.join(starts, [versions[k].eqNullSafe(starts[k]) for k in spec.keys] +
                               [versions[cdc.START_AT] == starts["__pseudo"]], "left")
         versions = fixed.select(*[versions[c] for c in cols],
