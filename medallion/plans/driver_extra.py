@@ -6,14 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medallion.functions.columns import AGE_BRACKETS, AGE_ELSE, SENIORITY_BRACKETS, SENIORITY_ELSE
-from medallion.operators import quality
+from medallion.operators import cdc, quality
 from medallion.operators.aggregate import aggregate
 from medallion.operators.filter import all_except, limited
 from medallion.operators.forecast import seasonal_forecast
 from medallion.operators.prepare import prepare
 from medallion.operators.sqlnode import qualify, run_sql
 from medallion.operators.unique import unique
-from medallion.plans.driver import register, tbl
+from medallion.plans.driver import SCD2_SQL, flat_history, register, tbl
 from medallion.plans.graph import Counts, Node, run_graph
 from medallion.plans.hr_driver import _sql, run_hr
 from medallion.plans.streams import (_ENTITY_SQL, EVENT_COLS, EVENT_RULES, EVENTS, MIN_VALUE, events_silver, land_events)
@@ -22,10 +22,23 @@ from medallion.sinks import export
 from medallion.sinks.tables import Table
 from medallion.sources.files import file_listing, read_json_stream
 from medallion.sources.tables import FlowSpec, table_source
-from medallion.streaming.flows import Pipeline
+from medallion.streaming.flows import Pipeline, View
 from medallion.streaming.tables import StreamedTable
 
 
+# ---------------------------------------------------------------------------------------- history
+@register("scd2_text_sequence", SCD2_SQL)
+def q_scd2_text_sequence(spark, sf):
+    """A sequence of text, whose order is that of the times it names."""
+    e = tbl(spark, sf, "events")
+    moment = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lpad(F.col("event_id").cast("string"), 19, "0"))
+    h = cdc.scd2(e.withColumn("moment", moment), ["user_id"], ["moment"], ["event_type"])
+    times = [F.struct(F.substring(c + ".moment", 1, 26).cast("timestamp_ntz").alias("ts"),
+                      F.substring(c + ".moment", 27, 19).cast("long").alias("event_id")) for c in (cdc.START_AT, cdc.END_AT)]
+    end = F.when(F.col(cdc.END_AT).isNotNull(), times[1])
+    return flat_history(h.drop("moment").withColumns({cdc.START_AT: times[0], cdc.END_AT: end}))
+
+
 # ---------------------------------------------------------------------------------------- streams
 def streamed_events(spark, sf) -> tuple[StreamedTable, StreamedTable, list[dict]]:
     """Bronze filled by two flows, silver by streams over bronze, in two runs: the first between bronze's runs, the
@@ -74,6 +87,26 @@ def q_stream_refresh_reader(spark, sf):
     return seen["before"].unionByName(seen["during"]).unionByName(seen["after"])
 
 
+@register("views_by_declaration", """
+WITH m AS (SELECT o_custkey, COUNT(*) AS n, SUM(o_totalprice) AS total FROM orders GROUP BY o_custkey)
+SELECT c_mktsegment, COUNT(*) AS customers, CAST(SUM(n) AS BIGINT) AS orders, ROUND(SUM(total), 2) AS total
+FROM m JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment
+""")
+def q_views_by_declaration(spark, sf):
+    """Views given in no order, refreshed in the one that their declared tables ask for."""
+    p = Pipeline(spark, work_dir(spark, "declared"))
+    p.run([], {
+        "by_segment": View(("with_segment",), lambda rows: rows.groupBy("c_mktsegment").agg(
+            F.count("*").alias("customers"), F.sum("n").alias("orders"), F.round(F.sum("total"), 2).alias("total"))),
+        "with_segment": View(("by_customer", "customers"), lambda sums, customers: sums.join(
+            customers, F.col("o_custkey") == F.col("c_custkey"))),
+        "by_customer": lambda work: tbl(spark, sf, "orders").groupBy("o_custkey").agg(
+            F.count("*").alias("n"), F.sum("o_totalprice").alias("total")),
+        "customers": lambda work: tbl(spark, sf, "customer"),
+    })
+    return p.catalog.read("by_segment")
+
+
 # ---------------------------------------------------------------------------------------- files
 @register("table_files", """
 SELECT o_orderpriority, CAST(o_orderkey % 4 AS INTEGER) AS part, COUNT(*) AS rows, true AS has_bytes

@@ -24,7 +24,7 @@ from medallion.operators.quality import Expectation
 from medallion.operators.sqlnode import expression_select
 from medallion.operators.unique import unique
 from medallion.sources.tables import PipelineConfig
-from medallion.streaming.flows import CdcSpec, Dataset, Pipeline
+from medallion.streaming.flows import CdcSpec, Dataset, Pipeline, View
 
 # ----------------------------------------------------------------------------------------------------------
 # Fixed values (must equal the reference's for equal results): entity codes, contract types, quality rules,
@@ -211,15 +211,14 @@ def absence_reasons(absences: DataFrame, current: DataFrame, patterns=None) -> D
 
 
 def views(as_of=None) -> dict:
-    """Materialized views in dependency order, each a function of the pipeline (refreshed after the flows)."""
-    def cur(p):
-        return p.catalog.read("gold_employees_current")
+    """Materialized views, each declared by the tables it reads (refreshed after the flows)."""
+    current, absences = "gold_employees_current", "silver_absences"
     return {
-        "silver_employees_last_extract": lambda p: last_extract(p.catalog.read("silver_employees")),
-        "gold_employee_360": lambda p: employee_360(cur(p), p.catalog.read("silver_absences"), as_of),
-        "gold_headcount_by_department": lambda p: headcount(cur(p)),
-        "gold_absenteeism_by_department": lambda p: absenteeism(p.catalog.read("silver_absences"), cur(p)),
-        "gold_absence_reasons_by_department": lambda p: absence_reasons(p.catalog.read("silver_absences"), cur(p)),
+        "silver_employees_last_extract": View(("silver_employees",), last_extract),
+        "gold_employee_360": View((current, absences), lambda c, a: employee_360(c, a, as_of)),
+        "gold_headcount_by_department": View((current,), headcount),
+        "gold_absenteeism_by_department": View((absences, current), absenteeism),
+        "gold_absence_reasons_by_department": View((absences, current), absence_reasons),
     }
 
 

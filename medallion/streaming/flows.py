@@ -72,6 +72,30 @@ class Dataset:
     describe: dict = field(default_factory=dict)
 
 
+@dataclass(frozen=True)
+class View:
+    """A materialized view by declaration: the tables it reads, and the query over them in that order."""
+    reads: tuple[str, ...]
+    query: Callable[..., DataFrame]
+
+    def __call__(self, pipeline: Pipeline) -> DataFrame:
+        return self.query(*[pipeline.catalog.read(name) for name in self.reads])
+
+
+def refresh_order(views: dict[str, Callable]) -> list[str]:
+    """The names of ``views``, each after the views that it reads; else as given.  Views that read each other in a
+    circle are an error."""
+    reads = {name: set(getattr(view, "reads", ())) for name, view in views.items()}
+    open_, order = list(views), []
+    while open_:
+        name = next((n for n in open_ if not reads[n] & set(open_)), None)
+        if name is None:
+            raise ValueError(f"views that read each other in a circle: {sorted(open_)}")
+        open_.remove(name)
+        order.append(name)
+    return order
+
+
 @dataclass
 class RunStats:
     flow: str
@@ -254,7 +278,7 @@ class Pipeline:
     # ---------------------------------------------------------------- whole runs
     def run(self, plan: list[tuple[Dataset, list[FlowSpec]]], views: dict | None = None,
             max_files_per_trigger: int | None = None, parallel: bool = True) -> list[RunStats]:
-        """Run every flow, then refresh the materialized views in order.
+        """Run every flow, then refresh the materialized views in the order that their declarations give.
 
         Datasets write disjoint tables, so with ``parallel`` each dataset's flows run in their own driver
         thread (Spark schedules the jobs of all threads together); the flows of one dataset stay sequential
@@ -277,8 +301,8 @@ class Pipeline:
         else:
             results = [one(item) for item in plan]
         out = [s for r in results for s in r]
-        for name, build in (views or {}).items():
-            work.catalog.refresh(name, build(work))
+        for name in refresh_order(views or {}):
+            work.catalog.refresh(name, views[name](work))
         if refresh:
             self._store({"epoch": epoch, "at": work.catalog.places(), "refresh": None})
         return out

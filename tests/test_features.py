@@ -12,7 +12,7 @@ from medallion.plans.driver_extra import streamed_events
 from medallion.plans.graph import Counts, Node, run_graph
 from medallion.plans.streams import EVENTS, land_events
 from medallion.sources.tables import FlowSpec
-from medallion.streaming.flows import Pipeline
+from medallion.streaming.flows import Pipeline, View, refresh_order
 from medallion.streaming.tables import StreamedTable
 
 SF = "/root/testdata/sf0.001"
@@ -116,3 +116,13 @@ def test_except_and_limit(spark):
     with pytest.raises(ValueError):
         all_except(df, ["nope"])
     assert [r.k for r in limited(df, 2, ["`v.w` DESC NULLS LAST"]).collect()] == [1, 3] and limited(df, 0).count() == 0
+
+
+def test_views_come_after_what_they_read():
+    def build(*_):
+        return None
+
+    views = {"c": View(("b", "stored"), build), "x": build, "b": View(("a", "x"), build), "a": View((), build)}
+    assert refresh_order(views) == ["x", "a", "b", "c"]
+    with pytest.raises(ValueError, match="circle"):
+        refresh_order({"a": View(("b",), build), "b": View(("a",), build)})
