@@ -5,9 +5,10 @@ ordinary size lies in one segment, two at most where a bound falls into it, and
 structs, times - in as many as its share of the rows asks for.  Windows then run by (key, segment), and what crosses a
 bound is carried over by the first and last results of each piece, at most two rows for each bound.
 
-The bounds are every ``PER``-th of a uniform sample (the least hashes), taken by a scalar subquery when the query runs:
-planning starts no job.  Their number follows ``spark.sql.shuffle.partitions``.  A row finds its place by binary search
-in generated code, a projection for each halving.  Bounds decide how rows are dealt, never a result.
+The bounds are every ``PER``-th of a uniform sample, taken by scalar subqueries (a count, then the sample) when the query
+runs: planning starts no job, and a task sends on its share of the sample alone.  Their number follows
+``spark.sql.shuffle.partitions``.  A row finds its place by binary search in generated code, a projection for each
+halving.  Bounds decide how rows are dealt, never a result.
 """
 
 from __future__ import annotations
@@ -26,10 +27,10 @@ class Segments:
     def __init__(self, df: DataFrame, key: str, order: str, segments: int | None = None):
         self.key, self.order = key, order
         self.n = segments or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        value = F.struct(F.col(key).alias("k"), F.col(order).alias("o"))
-        sample = df.select(value.alias("v")).orderBy(F.xxhash64("v")).limit(self.n * PER)
+        rows = df.agg(F.count(F.lit(1))).scalar()
+        sample = df.where(F.rand(17) * rows < self.n * PER).select(F.struct(F.col(key).alias("k"), F.col(order).alias("o")).alias("v"))
         self.bounds = sample.agg(F.sort_array(F.collect_list("v")).alias("v")) \
-            .select(F.filter("v", lambda _, i: i % PER == PER - 1)).scalar()
+            .select(F.slice(F.filter("v", lambda _, i: i % PER == PER - 1), 1, self.n)).scalar()
 
     def place(self, df: DataFrame, place: str, crosses: str) -> DataFrame:
         """``df`` with each row's segment in ``place``, the number of bounds that are not above the row, and in

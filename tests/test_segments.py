@@ -37,7 +37,7 @@ def test_places_follow_the_order_and_split_a_hot_key(spark):
     hot = {r.p for r in placed if r.k.k == 7}
     assert 8 < len(hot) < 25 and all(r.x for r in placed if r.k.k == 7)
     sizes = [sum(r.p == p for r in placed) for p in {r.p for r in placed}]
-    assert len(sizes) == 41 and max(sizes) < 500
+    assert 34 <= len(sizes) <= 41 and max(sizes) < 500
 
 
 @pytest.mark.parametrize("tries", range(3))
