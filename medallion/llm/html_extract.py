@@ -18,8 +18,10 @@ their host.  Besides, what a page itself marks as outside (a form, an advert, re
 template texts inside an article that it marks stay.
 
 Scale: counts are aggregated by Spark, so a host with a third of all pages is no task of its own.  Pages meet their host's
-wrapper (one row for each host, its tree of at most TREE_BYTES) in a join by host; hosts with more than a 1024th of all
-pages (fewer than 1024) are broadcast instead, and their pages stay where they are in that join.
+wrapper (one row for each host, its tree of any size) in a join by host; hosts with more than a 1024th of all pages (fewer
+than 1024) are broadcast instead if their tree has at most TREE_BYTES, and their pages stay where they are in that join.
+Wrappers of such hosts with larger trees are copied once for each 1024th of all pages, and their pages are dealt to the
+copies by hash.
 
 Character references are decoded, white space inside a block becomes one blank, blocks are trimmed and joined by
 two line feeds.  Whole pages are read; nothing is cut.
@@ -43,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import cut, give_back, heavy_keys
+from medallion.llm.common import HEAVY, cut, give_back, heavy_keys
 
 MIN_PAGES, MIN_SHARE, MAX_DEPTH, MAX_INLINE, TREE_BYTES = 3, 0.6, 100, 64, 1 << 16
 REGION_SHARE, TEMPLATE_SHARE = 0.6, 0.5
@@ -433,7 +435,7 @@ def induce(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_
     shapes = cut(shapes)  # parsed once; trees and digests are small
     trees = shapes.groupBy("host", F.xxhash64("tree").alias("t")).agg(F.count("*").alias("n"), F.min("tree").alias("tree"))
     references = trees.groupBy("host").agg(F.max_by("tree", F.struct("n", "t")).alias("reference"), F.sum("n").alias("pages")) \
-        .where((F.col("pages") >= min_pages) & (F.octet_length("reference") <= TREE_BYTES))
+        .where(F.col("pages") >= min_pages)
     texts = shapes.join(references, "host").select("host", "tree", "texts", "reference", "pages") \
         .mapInArrow(_aligned, "host string, pages long, node int, digest long, chars long, links long")
     counted = texts.groupBy("host", "node", "digest", "pages").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"),
@@ -454,15 +456,29 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"),
                         host_of(F.col(url_col)).alias("host"))
-    wrappers = cut(induce(rows))
-    heavy = heavy_keys(cut(rows.groupBy("host").agg(F.count("*").alias("n"))), "host", "n").select("host")
-    some = wrappers.join(heavy, "host").select(F.col("host").alias("heavy"), F.struct("reference", "template", "content").alias("own"))
-    # a page of a heavy host has its wrapper by broadcast; in the join by host it stands under a key that finds nothing
-    key = F.when(F.col("heavy").isNull(), F.col("host")).otherwise(F.concat(F.lit(" "), F.xxhash64("html", "url").cast("string")))
-    light = wrappers.join(heavy, "host", "left_anti").select(F.col("host").alias("key"), F.struct("reference", "template", "content")
-                                                             .alias("wrapper"))
-    met = rows.join(F.broadcast(some), F.col("host") == F.col("heavy"), "left").withColumn("key", key) \
-        .join(light, "key", "left").withColumn("wrapper", F.coalesce("own", "wrapper"))
+    wrappers = induce(rows)
+    counts = cut(rows.groupBy("host").agg(F.count("*").alias("n")))
+    share = max(counts.agg(F.sum("n")).first()[0] or 0, HEAVY) // HEAVY
+    heavy = heavy_keys(counts, "host", "n").select("host", F.ceil(F.col("n") / share).cast("int").alias("copies"))
+    known = cut(wrappers.join(F.broadcast(heavy), "host", "left")
+                .select("host", "copies", F.struct("reference", "template", "content").alias("wrapper"),
+                        (F.octet_length("reference") <= TREE_BYTES).alias("small")))
+    some = known.where(F.col("copies").isNotNull()) \
+        .select(F.col("host").alias("heavy"), F.when(F.col("small"), F.col("wrapper")).alias("own"), "copies")
+    # a page of a heavy host with a small tree has its wrapper by broadcast; in the join by host it stands under a key that
+    # finds nothing.  Pages of one with a larger tree are dealt to the copies of its wrapper
+    hashed = F.xxhash64("html", "url")
+    key = F.when(F.col("own").isNull(), F.col("host")).otherwise(F.concat(F.lit(" "), hashed.cast("string")))
+    part = F.when(F.col("copies").isNull() | F.col("own").isNotNull(), 0).otherwise(F.pmod(hashed, "copies")).cast("int")
+    light = known.where(F.col("copies").isNull() | ~F.col("small")) \
+        .select(F.col("host").alias("key"), F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("part"),
+                "wrapper")
+    met = rows.join(F.broadcast(some), F.col("host") == F.col("heavy"), "left")
+    if light.isEmpty():  # every wrapper is broadcast: the pages stay where they are
+        met = met.withColumnRenamed("own", "wrapper")
+    else:
+        met = met.withColumns({"key": key, "part": part}).join(light, ["key", "part"], "left") \
+            .withColumn("wrapper", F.coalesce("own", "wrapper"))
     kind = rows.schema["page_id"].dataType.simpleString()
     return met.select("page_id", "url", "html", "wrapper.reference", "wrapper.template", "wrapper.content") \
         .mapInArrow(_extract, f"page_id {kind}, url string, text string, n_chars long")

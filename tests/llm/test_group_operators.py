@@ -462,6 +462,23 @@ def plain_extract(pages):
     return out
 
 
+def test_a_tree_of_any_size_makes_a_wrapper(spark):
+    """The tree of these pages has over TREE_BYTES; what tells their template from stories is the wrapper alone."""
+    names = ["".join(w) for w in __import__("itertools").product("abcdefghij", repeat=3)]
+    pad = "".join(f'<div class="{w * 25}"></div>' for w in names)
+    rows = [(i, f"http://wide.example/{i}", page(f"<div><p>Story {i} tells of {i * 7}</p><p>Powered by Example</p></div>"
+                                                 + pad)) for i in range(6)]
+    rows += [(10 + i, f"http://small.example/{i}", page(f"<div><p>A somewhat longer tale {i} of {i * 3}</p><p>Powered by Example</p></div>"))
+             for i in range(3)]
+    assert len(html_extract.Page(rows[0][2]).tree()) > html_extract.TREE_BYTES
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    hosts = html_extract.induce(df.select(html_extract.host_of(df.url).alias("host"), "html"))
+    assert {r.host for r in hosts.collect()} == {"wide.example", "small.example"}
+    got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    assert got == plain_extract(rows) and len(got) == 9
+    assert all("Powered by Example" not in text for text in got.values()), got
+
+
 def test_wrappers_equal_plain_induction(spark):
     rows = [(r.page_id, r.url, stripped(r.html) if r.page_id % 4 == 0 else r.html)
             for r in table(spark, "/root/testdata/sf0.1", "pages").where("page_id < 700").collect()]
