@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from medallion.llm.common import cut, give_back, vocabulary_copy
 
 CAPACITY, END_ID, SHARD_ITEMS = 1024, 2, 2048
-ISLANDS, POPULATION, GENERATIONS, MUTATIONS, EPOCHS, LEFT_SHARE = 3, 3, 3, 24, 3, 8
+ISLANDS, POPULATION, GENERATIONS, MUTATIONS, EPOCHS, LEFT_SHARE = 3, 6, 12, 24, 3, 8
 TRIED = 60  # bins with room that a mutation looks at
 MOST = 1 << 62
 BLOCK_BYTES = 1 << 24  # text whose distinct words are encoded together

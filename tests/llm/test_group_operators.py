@@ -248,6 +248,16 @@ def test_islands_improve_on_best_fit():
     assert len(set(packing.evolve(sizes, 10, 1))) == 4
 
 
+def test_evolution_goes_on_while_the_bound_is_not_reached(monkeypatch):
+    # two of seven items of 334 fill a bin of 1000, so four bins are needed where the bound says three
+    calls, seeds = [], []
+    crossover, best_fit = packing.crossover, packing.best_fit
+    monkeypatch.setattr(packing, "crossover", lambda a, b, *rest: calls.append((a, b)) or crossover(a, b, *rest))
+    monkeypatch.setattr(packing, "best_fit", lambda *args: seeds.append(1) or best_fit(*args))
+    assert len(set(packing.evolve([334] * 7, 1000, 1))) == 4
+    assert len(calls) >= 12 and len(seeds) >= 6
+
+
 @pytest.mark.parametrize("text", ["", " ", "a", " a", "a ", "a  b", "a \nb", "a\n\nb", "tab\tx", "it's we'll", "naïve 你好 42!!",
                                   "<|endoftext|> x", "x y", "\x00z", "x\x85y", "q" * 700, "a\r\nb", "\n", "don't\n'tis"])
 def test_word_encoder_equals_tokenizer(tokenizer, text):
