@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from medallion.operators import cdc, sets
 from medallion.operators.segments import Segments
+from medallion.sinks.tables import Table
+from medallion.streaming.flows import CdcSpec, Pipeline
 
 
 def history(rows):
@@ -97,3 +99,24 @@ def test_percentile_plan_carries_no_array_beside_rows(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "percentile_approx" not in plan and "lambda" not in plan.split("Subquery")[0]
     assert "ReusedExchange" in plan  # the shuffle of the counts serves the pieces' sums as well
+
+
+def test_bounds_from_the_table_that_the_rows_are_part_of(spark):
+    rows = [(i % 40, i, "abc"[i // 7 % 3]) for i in range(3000)]
+    table = spark.createDataFrame(rows, "k int, t int, v string")
+    part = table.where("k < 11")
+    want = sorted(map(str, cdc.scd2(part, ["k"], ["t"], ["v"], strategy="window").collect()))
+    for near in (table, table.where("false"), table.where("k = 39")):
+        got = cdc.scd2(part, ["k"], ["t"], ["v"], segments=16, near=near)
+        assert sorted(map(str, got.collect())) == want
+
+
+def test_histories_computed_anew_take_no_bounds_from_a_join(spark, tmp):
+    silver = Table(spark, f"{tmp}/silver", bucket_by=["k"], buckets=2)
+    silver.append(spark.createDataFrame([(i % 5, i, "ab"[i % 2]) for i in range(60)], "k int, t int, v string"))
+    spec = CdcSpec("history", ["k"], ["t"], 2, ["v"])
+    batch = silver.read().where("k < 3")
+    rebuilt = Pipeline._rebuilt(silver, spec, silver, batch, [0, 1], ["v"], None)
+    assert rebuilt._jdf.queryExecution().optimizedPlan().toString().count("Join LeftSemi") == 1
+    want = cdc.scd2(batch, ["k"], ["t"], ["v"])
+    assert sorted(map(str, rebuilt.collect())) == sorted(map(str, want.collect()))

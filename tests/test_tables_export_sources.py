@@ -192,3 +192,15 @@ def test_merge_upsert_where_an_added_key_meets_a_changed_one(spark, tmp):
         (1_000_003, 2, 10.0)]
     with pytest.raises(ValueError, match="duplicate keys"):
         rows([(7, 45), (7, 45)])
+
+
+def test_rescue_looks_up_each_key_once(spark):
+    lines = ['{"a": 1, "b": "x", "c": null}', '{"a": "n/a", "b": null, "z": 5}', '{"b": "y", "q": null}', "no json", "{}"]
+    names = [f"f{i}" for i in range(12)]
+    schema = spark.createDataFrame([], "a int, b string, c double, " + ", ".join(f"{n} int" for n in names)).schema
+    df = parse_json_lines(spark.createDataFrame([(s,) for s in lines], "line string"), "line", schema)
+    got = [(r.a, r.b, json.loads(r._rescued_data) if r._rescued_data else None) for r in df.collect()]
+    assert got == [(1, "x", None), (None, None, {"a": "n/a", "z": "5"}), (None, "y", None), (None, None, {"_line": "no json"}),
+                   (None, None, None)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_contains" in plan and plan.count("lambdafunction(CASE WHEN") == 0
