@@ -1,3 +1,4 @@
+import glob
 import os
 
 import pytest
@@ -165,3 +166,23 @@ def test_table_descriptions(hr):
     m = p.catalog.table("gold_employees_history").manifest()
     assert m.comment.startswith("Department") and m.properties == {"quality": "gold"}
     assert p.catalog.table("silver_absences").manifest().properties == {"quality": "silver"}
+
+
+def test_absences_land_in_as_many_files_as_their_size_asks_for(spark, tmp):
+    from medallion.plans.hr_driver import land_absences, land_employees
+    sf, size = "/root/testdata/sf0.01", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.read.parquet(f"{sf}/customer.parquet").write.parquet(f"{tmp}/customer.parquet")
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    orders.repartition(6).write.parquet(f"{tmp}/orders.parquet")
+    old = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        land_absences(spark, tmp, f"{tmp}/absences")
+        land_employees(spark, tmp, f"{tmp}/employees", late=True)
+    finally:
+        spark.conf.set(size, old)
+    found = {e: len(glob.glob(f"{tmp}/absences/source_entity={e}/*.txt")) for e in ("FR", "BE")}
+    assert min(found.values()) > 1, found
+    lines = spark.read.text(f"{tmp}/absences").count()
+    assert lines == orders.count()
+    assert all(len(glob.glob(f"{tmp}/employees/source_entity={e}/*.txt")) == 1 for e in ("FR", "BE"))  # a file: a delivery
