@@ -45,7 +45,7 @@ CAPACITY, END_ID, SHARD_ITEMS = 1024, 2, 2048
 ISLANDS, POPULATION, GENERATIONS, MUTATIONS, EPOCHS, LEFT_SHARE = 3, 6, 12, 24, 3, 8
 TRIED = 60  # bins with room that a mutation looks at
 MOST = 1 << 62
-BLOCK_BYTES = 1 << 24  # text whose distinct words are encoded together
+BLOCK_BYTES = 1 << 23  # text whose distinct words are encoded together
 
 # The word pattern of the byte-level tokenizer (README of the public tokenizers, PATTERN).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -63,6 +63,11 @@ def byte_ranks(tokenizer_json: str) -> dict[bytes, int]:
     return {bytes(chars[c] for c in word): i for word, i in model["model"]["vocab"].items() if word not in special}
 
 
+def in_blocks(rows: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """``rows`` in consecutive blocks of about ``BLOCK_BYTES`` by their ``sizes``."""
+    return np.split(rows, np.flatnonzero(np.diff(np.cumsum(sizes) // BLOCK_BYTES)) + 1)
+
+
 class WordEncoder:
     """Token ids of many texts at once, as unsigned 32-bit integers.
 
@@ -102,11 +107,15 @@ class WordEncoder:
         return lists.take(pa.array(np.argsort(np.concatenate([np.flatnonzero(~alone), np.flatnonzero(alone)]))))
 
     def _usual(self, texts: pa.Array) -> list[np.ndarray]:
-        marked = pc.replace_substring(pc.replace_substring(texts, "\n", "\0\n\0"), " ", "\0 ")
-        split = pc.split_pattern(marked, "\0")
-        words = split.flatten().dictionary_encode()
+        # each copy of the block goes as soon as the next one is there
+        split = pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, "\n", "\0\n\0"), " ", "\0 "), "\0")
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        words = split.flatten()
+        del split
+        words = words.dictionary_encode()
         found = self._words(words.dictionary).take(words.indices)
-        at = found.offsets.to_numpy()[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        del words
+        at = found.offsets.to_numpy()[bounds]
         return np.split(found.flatten().to_numpy(), at[1:-1])
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
@@ -118,9 +127,9 @@ class WordEncoder:
             out[i] = np.array(self.bpe.encode_ordinary(texts[int(i)].as_py()), np.uint32)
         usual = np.flatnonzero(~whole.to_numpy(zero_copy_only=False))
         sizes = pc.binary_length(texts).to_numpy()[usual]
-        for part in np.split(usual, np.flatnonzero(np.diff(np.cumsum(sizes) // BLOCK_BYTES)) + 1):
+        for part in in_blocks(usual, sizes):
             if len(part):
-                for i, ids in zip(part, self._usual(texts.take(pa.array(part)))):
+                for i, ids in zip(part, self._usual(texts if len(part) == len(texts) else texts.take(pa.array(part)))):
                     out[i] = ids
         return out
 
@@ -148,13 +157,16 @@ def _tokenise(vocabulary, capacity: int, end_id: int):
             _ENCODERS["words"] = WordEncoder(bytes(vocabulary.value).decode())
         encoder = _ENCODERS["words"]
         for batch in batches:
-            rows = [(doc, *piece) for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)))
-                    for piece in pieces_of(ids.astype("<u4").tobytes() + end, capacity)]
-            cols = list(zip(*rows)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
-                 *(pa.array(c, pa.int64()) for c in cols[2:])],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+            for block in in_blocks(np.arange(len(sizes)), sizes):  # no more ids are held than those of a block
+                docs, texts = (c.slice(block[0] if len(block) else 0, len(block)) for c in batch.columns)
+                rows = [(doc, *piece) for doc, ids in zip(docs.to_pylist(), encoder.encode(texts))
+                        for piece in pieces_of(ids.astype("<u4").tobytes() + end, capacity)]
+                cols = list(zip(*rows)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
+                     *(pa.array(c, pa.int64()) for c in cols[2:])],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
         give_back()
     return run
 

@@ -265,6 +265,33 @@ def test_word_encoder_equals_tokenizer(tokenizer, text):
     assert encoder(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_tokenising_holds_one_block_at_a_time(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 9))) for _ in range(5000)]
+    texts = [" ".join(rng.choices(words, k=2000)) for _ in range(1200)] + [None, "", "one\u00a0two  three"]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts})
+
+    class Vocabulary:
+        value = open(VOCABULARY, "rb").read()
+
+    def tokenise(rows):
+        return [r for b in packing._tokenise(Vocabulary, 1024, 2)(iter([rows])) for r in b.to_pylist()]
+
+    tokenise(batch.slice(0, 1))  # makes the encoder
+    usual = pa.default_memory_pool()
+    pool = pa.proxy_memory_pool(usual)
+    pa.set_memory_pool(pool)
+    try:
+        rows = tokenise(batch)
+    finally:
+        pa.set_memory_pool(usual)
+    assert pool.max_memory() < 4 * batch.nbytes  # a whole batch took over five times its size
+    monkeypatch.setattr(packing, "BLOCK_BYTES", 1 << 30)
+    assert rows == tokenise(batch)
+    monkeypatch.setattr(packing, "BLOCK_BYTES", 1)
+    assert rows[-5:] == tokenise(batch)[-5:] and tokenise(batch.slice(0, 0)) == []
+
+
 def test_word_encoder_over_many_texts(tokenizer):
     texts = [r[0] for r in pa.parquet.read_table(f"{SF}/documents.parquet", columns=["text"]).to_pandas().values]
     texts += [None, "", " ", "\n", "a", "a  b", "b a\nc", " lead", "trail "] * 3
